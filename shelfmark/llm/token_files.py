@@ -27,6 +27,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from shelfmark.session import fresh_path, stash
 
 END_ID = 0
 SHARD_IDS = 16_000_000
-CACHE = 300_000
+CACHE = 600_000
 MAGIC = 0x31534449_4B4D4853
 FINGER_SEED, BUCKET_SEED = 0x5EED, 1
 
@@ -81,12 +82,12 @@ class Encoder:
         if self.JOINED.search(text):
             return self._direct(text)
         first, *words = text.split(" ")
-        cache, fresh = self.cache, {}
-        missing = [w for w in set(words) if w not in cache]
+        known, fresh = self.cache, {}
+        missing = [w for w in set(words) if w not in known]
         if missing:
             cores = {w: w.rstrip(self.MARKS) for w in missing}
             cores = {w: c if c and c[-1].isalpha() else w for w, c in cores.items()}
-            need = [c for c in set(cores.values()) if c not in cache]
+            need = [c for c in set(cores.values()) if c not in known]
             for i in range(0, len(need), 2048):
                 part = need[i : i + 2048]
                 for c, e in zip(part, self.tk.encode_batch_fast([" " + c for c in part], add_special_tokens=False)):
@@ -96,19 +97,25 @@ class Encoder:
                     tail = w[len(c) :]
                     if tail not in self.marks:
                         self.marks[tail] = self._direct(tail)
-                    fresh[w] = (cache.get(c) or fresh[c]) + self.marks[tail]
-            if len(cache) + len(fresh) <= CACHE:
-                cache.update(fresh)
-                fresh = cache
+                    fresh[w] = (known.get(c) or fresh[c]) + self.marks[tail]
+            if len(known) + len(fresh) <= CACHE:
+                known.update(fresh)
+                fresh = known
             else:
-                fresh = fresh | {w: cache[w] for w in set(words) if w in cache}
+                fresh |= {w: known[w] for w in set(words) if w in known}
         else:
-            fresh = cache
+            fresh = known
         if len(self.marks) > 10_000:
             self.marks.clear()
         return (self._direct(first) if first else b"") + b"".join(map(fresh.__getitem__, words))
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder a worker process, so that tasks after the first find words in its cache."""
+    return Encoder(path)
+
+
 def _key(doc_id: int | None) -> bytes:
     return b"null" if doc_id is None else int(doc_id).to_bytes(8, "little", signed=True)
 
@@ -215,7 +222,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> Shards:
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         part, size = TaskContext.get().partitionId(), encoder.dtype.itemsize
