@@ -11,7 +11,8 @@ programming. A turn's costs form a matrix from state to state, and matrices comb
 minimum and plus, which is associative: a conversation is cut into chunks of at most ``CHUNK_TURNS``
 turns, each chunk gives one small matrix, the matrices of a conversation give each chunk its entry
 and exit state, and chunks are then traced back on their own. A conversation that holds a third of
-all rows is spread over as many tasks as others.
+all rows is spread over as many tasks as its
+partitions are; only one matrix for each of these comes together.
 
 Output is one row a turn with its rendered piece; the pieces of a conversation, in order, are the
 rendered conversation. Ties go to the smaller state and then to fewer inserts, so runs agree.
@@ -82,14 +83,22 @@ def chunk_matrix(codes: list[int]) -> list[int]:
     return m.ravel().tolist()
 
 
-def chunk_states(matrices: list[list[int]]) -> tuple[list[tuple[int, int]], int]:
-    """Entry and exit state of each chunk of a conversation, and its total cost."""
+def combine(matrices: list[list[int]]) -> list[int]:
+    """The matrix of matrices one after the other."""
+    out = np.where(np.eye(STATES, dtype=bool), 0, FAR)
+    for m in matrices:
+        out = np.minimum((out[:, :, None] + np.array(m).reshape(STATES, STATES)[None, :, :]).min(1), FAR)
+    return out.ravel().tolist()
+
+
+def chunk_states(matrices: list[list[int]], entry: int = 0, leave: int | None = None) -> tuple[list[tuple[int, int]], int]:
+    """Entry and exit state of each chunk between two states (no ``leave``: to the end), and the whole cost."""
     ms = [np.array(m).reshape(STATES, STATES) for m in matrices]
-    best = [np.where(np.arange(STATES) == 0, 0, FAR)]
+    best = [np.where(np.arange(STATES) == entry, 0, FAR)]
     for m in ms:
         best.append(np.minimum((best[-1][:, None] + m).min(0), FAR))
-    state = int(np.argmin(best[-1] + _END))
-    total, out = int((best[-1] + _END).min()), []
+    state = int(np.argmin(best[-1] + _END)) if leave is None else leave
+    total, out = int(best[-1][state] + (_END[state] if leave is None else 0)), []
     for i in range(len(ms) - 1, -1, -1):
         before = int(np.argmin(best[i] + ms[i][:, state]))
         out.append((before, state))
@@ -151,20 +160,39 @@ def _chunks(turns: DataFrame) -> DataFrame:
 def repair(turns: DataFrame) -> DataFrame:
     """One row a turn: new role, action, inserts before and after it, its conversation's cost, its rendered piece."""
     chunks = _chunks(turns)
-    # a conversation has as many chunks as its turns over CHUNK_TURNS, and one more a partition edge
-    by_conv = chunks.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "chunk", "matrix"))).alias("list"))
+    # chunks of a partition combine to one matrix, so that a conversation gathers one for each partition it spans
+    lists = chunks.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("chunk", "matrix"))).alias("list"))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [combine([c["matrix"] for c in row]) for row in batch.column("list").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("part"), pa.array(made, pa.list_(pa.int64()))], ["conv_id", "part", "matrix"])
+
+    parts = lists.mapInArrow(sums, "conv_id long, part long, matrix array<bigint>")
+    by_conv = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "matrix"))).alias("list"))
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for conv, row in zip(batch.column("conv_id").to_pylist(), batch.column("list").to_pylist()):
+                found, total = chunk_states([p["matrix"] for p in row])
+                out += [(conv, p["part"], a, b, i + 1 == len(row), total) for i, (p, (a, b)) in enumerate(zip(row, found))]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*out)) or [[]] * 6, kinds)], ["_conv", "_part", "entry", "leave", "final", "cost"])
+
+    spans = by_conv.mapInArrow(ends, "_conv long, _part long, entry int, leave int, final boolean, cost long")
 
     def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for row in batch.column("list").to_pylist():
-                found, total = chunk_states([c["matrix"] for c in row])
-                out += [(c["part"], c["chunk"], a, b, i + 1 == len(row), total) for i, (c, (a, b)) in enumerate(zip(row, found))]
-            cols = list(zip(*out)) or [[]] * 6
+            for row in batch.to_pylist():
+                found, _ = chunk_states([c["matrix"] for c in row["list"]], row["entry"], row["leave"])
+                out += [(row["part"], c["chunk"], a, b, row["final"] and i + 1 == len(found), row["cost"]) for i, (c, (a, b)) in enumerate(zip(row["list"], found))]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["part", "chunk", "entry", "leave", "last", "cost"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*out)) or [[]] * 6, kinds)], ["part", "chunk", "entry", "leave", "last", "cost"])
 
-    placed = by_conv.select("list").mapInArrow(states, "part long, chunk long, entry int, leave int, last boolean, cost long")
+    met = lists.join(spans, (F.col("part") == F.col("_part")) & F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv", "_part")
+    placed = met.mapInArrow(states, "part long, chunk long, entry int, leave int, last boolean, cost long")
     schema = "conv_id long, turn long, role string, new_role string, action string, n_inserted int, cost long, rendered string"
     names = [f.split()[0] for f in schema.split(", ")]
 
