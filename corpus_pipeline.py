@@ -12,7 +12,7 @@ from shelfmark.session import fresh_path
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier does not reject (score of at least a half)."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), quality.training_rows())
-    return quality.score(docs, model, docs.columns).filter("score >= 0.5").select(*docs.columns)
+    return quality.score(docs, model, docs.columns, name="_q_score").filter("_q_score >= 0.5").select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,8 +90,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = P
     return fit(*fitting.labelled_sample(docs, labels, "quality", usable, per_class, MAX_CHARS))
 
 
-def score(docs: DataFrame, model: CompressionModel, keep: list[str], text: str = "text") -> DataFrame:
-    """Add ``score`` (higher: better) to every row; the columns ``keep`` pass through."""
+def score(docs: DataFrame, model: CompressionModel, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """Add ``name`` (higher: better) to every row; the columns ``keep`` pass through."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of a fixed size
 
     def make():
@@ -100,11 +100,11 @@ def score(docs: DataFrame, model: CompressionModel, keep: list[str], text: str =
 
         def run(batch: pa.RecordBatch) -> dict[str, list]:
             x = np.array([model.features(t, coders) for t in as_bytes(batch.column(text))]).reshape(-1, 6)
-            return {"score": fitting.probability(model.calibrator, x).tolist()}
+            return {name: fitting.probability(model.calibrator, x).tolist()}
 
         return run
 
-    return per_batch(docs.select(*dict.fromkeys([*keep, text])), make, "score double", keep)
+    return per_batch(docs.select(*dict.fromkeys([*keep, text])), make, f"{name} double", keep)
 
 
 def training_rows() -> Column:
