@@ -9,8 +9,8 @@ looks up its tokens, and a posted rule applies if all its tokens are there. The
 confidence, then support, decides; without any the verdict is allow.
 
 The number of rules is bounded by the support threshold, not by the corpus, and is checked: up to
-``INLINE`` rules the index is a literal in the plan and matching moves no rows; beyond that it is a
-join on the token over distinct URLs.
+``INLINE`` rules the index is a literal in the plan; beyond that it is a join on the token. Either way
+distinct token sets are judged, not URLs, and the verdicts are joined back.
 
 Cases. A null URL or one without ``://`` has an empty host and path, no tokens, and is allowed.
 Repeated URLs are judged alike. No labels: no rules, allow. Extra columns are not read; html is never
@@ -107,20 +107,24 @@ def learned(pages: DataFrame, index: DataFrame, inline: int = INLINE) -> DataFra
     head = index.orderBy(F.desc("confidence"), F.desc("support"), F.desc(F.size("antecedent")), F.desc("verdict"), F.desc(F.array_join("antecedent", " "))).limit(inline + 1).collect()
     if not head:
         return pages.withColumn("learned", F.lit(None).cast("string"))
+    # URLs have far fewer token sets than there are URLs: each set is judged once and joined back
+    tokens = F.col("_tokens")
+    keyed = pages.withColumn("_tokens", tokens_of(F.col("url")))
+    sets = stash(keyed.select("_tokens").distinct(), "token-sets")
     if len(head) > inline:
-        urls = pages.select("url").distinct().withColumn("_tokens", tokens_of(F.col("url")))
-        hit = urls.select("url", "_tokens", F.explode("_tokens").alias("token")).join(index, "token").filter(F.size(F.array_except("antecedent", "_tokens")) == 0)
-        return pages.join(hit.groupBy("url").agg(F.max_by("verdict", _better()).alias("learned")), "url", "left")
-    posts: dict[str, list[int]] = {}
-    for i, r in enumerate(head):
-        posts.setdefault(r["token"], []).append(i)
-    index_map = F.create_map(*(x for t, ids in posts.items() for x in (F.lit(t), F.array(*map(F.lit, ids)))))
-    needs = F.array(*(F.array(*map(F.lit, r["antecedent"])) for r in head))
-    verdicts = F.array(*(F.lit(r["verdict"]) for r in head))
-    tokens = tokens_of(F.col("url"))
-    asked = F.flatten(F.array_compact(F.transform(tokens, lambda t: F.try_element_at(index_map, t))))
-    met = F.filter(asked, lambda i: F.size(F.array_except(F.get(needs, i), tokens)) == 0)
-    return pages.withColumn("learned", F.get(verdicts, F.array_min(met)))
+        hit = sets.select("_tokens", F.explode("_tokens").alias("token")).join(index, "token").filter(F.size(F.array_except("antecedent", "_tokens")) == 0)
+        judged = hit.groupBy("_tokens").agg(F.max_by("verdict", _better()).alias("learned"))
+    else:
+        posts: dict[str, list[int]] = {}
+        for i, r in enumerate(head):
+            posts.setdefault(r["token"], []).append(i)
+        index_map = F.create_map(*(x for t, ids in posts.items() for x in (F.lit(t), F.array(*map(F.lit, ids)))))
+        needs = F.array(*(F.array(*map(F.lit, r["antecedent"])) for r in head))
+        verdicts = F.array(*(F.lit(r["verdict"]) for r in head))
+        asked = F.flatten(F.array_compact(F.transform(tokens, lambda t: F.try_element_at(index_map, t))))
+        met = F.filter(asked, lambda i: F.size(F.array_except(F.get(needs, i), tokens)) == 0)
+        judged = sets.select("_tokens", F.get(verdicts, F.array_min(met)).alias("learned"))
+    return keyed.join(judged, "_tokens", "left").drop("_tokens")
 
 
 def judge(pages: DataFrame, labelled: DataFrame) -> DataFrame:
