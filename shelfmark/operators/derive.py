@@ -17,8 +17,9 @@ def tag_frequency(rows: DataFrame, tags: str = "series") -> DataFrame:
 
 def rarest_tag(rows: DataFrame, key: str, tags: str = "series", usable=predicates.is_named_set_tag) -> DataFrame:
     """``(key, set_tag)``: each row's rarest usable tag, the earlier one in a tie."""
-    freq = tag_frequency(rows, tags)
-    placed = rows.select(key, F.posexplode(tags).alias("pos", "tag")).filter(usable(F.col("tag")))
+    # the rule is asked of each distinct tag, not of each occurrence
+    freq = tag_frequency(rows, tags).filter(usable(F.col("tag")))
+    placed = rows.select(key, F.posexplode(tags).alias("pos", "tag"))
     return placed.join(freq, "tag").groupBy(key).agg(F.min_by("tag", F.struct("freq", "pos")).alias("set_tag"))
 
 

@@ -237,7 +237,9 @@ def breadcrumbs(page: Column) -> Column:
 
 def franchise_of(crumbs: Column) -> Column:
     """Struct (section, franchise) of a trail of three crumbs or more."""
-    return F.when(F.size(crumbs) >= 3, F.struct(F.get(crumbs, F.lit(1))["name"].alias("section"), F.get(crumbs, F.lit(2))["name"].alias("franchise")))
+    # through a one-element array, so that the trail is parsed once and not for each use
+    made = lambda x: F.when(F.size(x) >= 3, F.struct(F.get(x, F.lit(1))["name"].alias("section"), F.get(x, F.lit(2))["name"].alias("franchise")))
+    return F.get(F.transform(F.array(crumbs), made), F.lit(0))
 
 
 def facet_vocabulary(pages: DataFrame, page: Column, key: str) -> DataFrame:
