@@ -25,7 +25,7 @@ from shelfmark.session import stash
 
 LEAST = 50
 #: Measure: (slack below the lower fence or None for no lower fence, slack above the upper fence).
-SLACK: dict[str, tuple[int | None, int]] = {"mean_len": (150, 300), "symbol_share": (None, 40), "dup_share": (None, 250), "repeat_share": (None, 150)}
+SLACK: dict[str, tuple[int | None, int]] = {"mean_len": (150, 300), "symbol_share": (None, 40), "dup_share": (None, 500), "repeat_share": (None, 300)}
 WINDOW_WORDS = 8
 SYMBOLS = b"#*$%&|<>"
 _NOT_SYMBOL = bytes(c for c in range(256) if c not in SYMBOLS)
