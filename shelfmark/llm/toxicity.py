@@ -37,6 +37,7 @@ PER_CLASS = 3000
 MAX_CHARS = 60_000
 MAX_TERMS = 4000
 STEMS = (4, 5, 6)
+MIN_SHARE = 0.01
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -130,33 +131,40 @@ def _terms(text: bytes) -> set[tuple[int, bytes]]:
     return {(0, w) for w in words} | {(n, w[:n]) for n in STEMS for w in words if len(w) >= n}
 
 
-def fit(sample: list[tuple[bytes, int]], totals: dict[int, int]) -> Grammar:
-    """Odd rows of the sample show the words, even ones fit the calibrator."""
-    g = Grammar()
-    for symbol, words in SEEDS.items():
-        g.words.update({w.encode(): (symbol, 3.0) for w in words.split()})
-    shown, fitted = (sample[1::2], sample[::2]) if len(sample) >= 40 else (sample, sample)
+def learn_terms(g: Grammar, shown: list[tuple[bytes, int]], totals: dict[int, int]) -> None:
+    """Seeds, and the words and stems that the shown texts set apart."""
+    g.words = {w.encode(): (symbol, 3.0) for symbol, words in SEEDS.items() for w in words.split()}
+    g.stems = {}
     toxic, clean = Counter(), Counter()
     n1 = n0 = 0
     for text, y in shown:
         if y:
             toxic.update(_terms(text))
             n1 += 1
-    least = 3 if n1 < 300 else 5
+    # chance finds are rare in many documents: a term must show in a hundredth of the toxic ones
+    least = max(3, math.ceil(MIN_SHARE * n1))
     toxic = Counter({t: c for t, c in toxic.items() if c >= least})
     for text, y in shown:
         if not y:
             clean.update(_terms(text) & toxic.keys())
             n0 += 1
     odds = {t: math.log((c + 0.1) / (n1 + 1)) - math.log((clean[t] + 0.1) / (n0 + 1)) for t, c in toxic.items()}
-    #: A term speaks for itself if its documents are toxic at least nine times in ten at the true rate of classes.
+    # a term speaks for itself if its documents are toxic at least nine times in ten at the true rate of classes
     prior = math.log(max(totals.get(0, 1), 1) / max(totals.get(1, 1), 1))
     good = sorted((t for t, v in odds.items() if v >= prior + math.log(9)), key=lambda t: (-toxic[t] * odds[t], t))[:MAX_TERMS]
     for n, term in good:
+        weight = min(odds[(n, term)], 6.0)
         if n:
-            g.stems.setdefault(n, {})[term] = min(odds[(n, term)], 6.0)
+            g.stems.setdefault(n, {})[term] = weight
         elif g.words.get(term, (INSULT, 0))[0] == INSULT:
-            g.words[term] = (INSULT, min(odds[(n, term)], 6.0))
+            g.words[term] = (INSULT, weight)
+
+
+def fit(sample: list[tuple[bytes, int]], totals: dict[int, int]) -> Grammar:
+    """The calibrator is fitted on even rows under terms from odd ones; the terms kept are those of all rows."""
+    g = Grammar()
+    shown, fitted = (sample[1::2], sample[::2]) if len(sample) >= 40 else (sample, sample)
+    learn_terms(g, shown, totals)
     x = np.array([g.features(t) for t, _ in fitted]).reshape(-1, 4)
     y = np.array([y for _, y in fitted], dtype=float)
     weight = np.array([totals.get(int(v), 1) / max(1, (y == v).sum()) for v in y])
@@ -164,6 +172,7 @@ def fit(sample: list[tuple[bytes, int]], totals: dict[int, int]) -> Grammar:
         g.calibrator = fitting.logistic(x, y, weight * len(y) / weight.sum(), 0.1)
     else:  # nothing to fit on: one full insult is even odds
         g.calibrator = {"mean": [0.0] * 4, "scale": [1.0] * 4, "beta": [-4.0, 3.0, 0.0, 0.0, 0.0]}
+    learn_terms(g, sample, totals)
     return g
 
 
