@@ -36,18 +36,18 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return read_catalog(spark, path, schema)
 
 
-def enriched(c=F.col) -> Column:
+def worked_on(c=F.col) -> Column:
     """Marks of a row that an earlier run has worked on."""
     some = lambda f: F.coalesce(c(f) != "", F.lit(False))
     return F.coalesce(c("hdbChecked"), F.lit(False)) | some("marketValueComplete") | some("marketValueLoose") | some("pricechartingId") | some("upc")
 
 
 def choose_source(spark: SparkSession, base: str, output: str, explicit: bool = False) -> str:
-    """The earlier output if it holds an enriched row, unless the input was named."""
+    """The earlier output if it holds a row that was worked on, unless the input was named."""
     p = spark._jvm.org.apache.hadoop.fs.Path(output)
     if explicit or not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         return base
-    return base if read_catalog(spark, output).filter(enriched()).limit(1).isEmpty() else output
+    return base if read_catalog(spark, output).filter(worked_on()).limit(1).isEmpty() else output
 
 
 def write_catalog(catalog: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
