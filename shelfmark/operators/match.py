@@ -215,8 +215,9 @@ def match_listings(records: DataFrame, listings: DataFrame) -> DataFrame:
     A valid code is tried first (one row: taken; more: the best); records without such rows go by title.
     """
     known = listings.filter(predicates.listing_console(F.col("console")))
+    records = records.drop(*(set(listings.columns) & set(records.columns)))
     rec = records.withColumns({"_upc": X.normalise_upc(F.col("upc")), "_q": X.search_query(F.col("title"), F.col("funkoNumber"))})
-    by_code = rec.join(listings, F.col("_upc") == F.col("query_key"))
+    by_code = rec.join(known, F.col("_upc") == F.col("query_key"))
     n = F.count("*").over(Window.partitionBy("_ord"))
     by_code = by_code.withColumn("matched_by", F.when(n == 1, "upc").otherwise("upc-multi"))
     by_title = rec.join(by_code.select("_ord").distinct(), "_ord", "left_anti").join(known, F.col("_q") == F.col("query_key")).withColumn("matched_by", F.lit("title"))

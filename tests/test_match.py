@@ -172,3 +172,15 @@ def test_short_tokens(spark):
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(rows)], "_ord long, a string, b string")
     assert [x for (x,) in out(df.select("_ord", match.short_tokens_shared(c("a"), c("b")).alias("x")), "x")] == [r[2] for r in rows]
     assert df.select(X.id_tail(F.lit("a-12"))).first()[0] == "12"
+
+
+def test_listings_by_code_then_title(spark):
+    recs = catalog(spark, [{"title": "Goku", "upc": "849803097097"}, {"title": "Goku (Metallic)", "upc": "889698123456"}, {"title": "Krillin (Metallic)", "funkoNumber": "110"}, {"title": "Nobody"}])
+    rows = [
+        ("849803097097", "Other #1", "funko-pop-x", 0), ("889698123456", "Goku #2", "funko-pop-x", 0), ("889698123456", "Goku [Metallic] #2", "funko-pop-x", 1),
+        ("Krillin #110 funko", "Krillin #110", "funko-pop-x", 1), ("Krillin #110 funko", "Krillin [Metallic] #110", "games", 0), ("Nobody funko", "Somebody Else", "funko-pop-x", 0),
+    ]
+    got = match.match_listings(recs, spark.createDataFrame(rows, "query_key string, name string, console string, pos int"))
+    assert out(got, "_ord", "name", "matched_by", "match.ok", "match.approximate") == [
+        (0, "Other #1", "upc", True, False), (1, "Goku [Metallic] #2", "upc-multi", True, False), (2, "Krillin #110", "title", True, True), (3, "Somebody Else", "title", False, False),
+    ]
