@@ -184,3 +184,21 @@ def test_listings_by_code_then_title(spark):
     assert out(got, "_ord", "name", "matched_by", "match.ok", "match.approximate") == [
         (0, "Other #1", "upc", True, False), (1, "Goku [Metallic] #2", "upc-multi", True, False), (2, "Krillin #110", "title", True, True), (3, "Somebody Else", "title", False, False),
     ]
+
+
+def test_reports(spark):
+    from shelfmark.operators import report
+    from shelfmark.sources.catalog import merge_report
+
+    df = catalog(spark, [{"title": "A #1", "upc": "849803097097", "marketValueLoose": "1.00"}, {"title": "B"}, {"title": "C", "marketValueNew": "2.00", "handle": "pc-c"}])
+    cov = report.catalog_coverage(df).first()
+    assert (cov["total"], cov["priced"], cov["unpriced_neither"], cov["priced_no_upc"], cov["priced_pct"]) == (3, 2, 1, 1, "66.7%")
+    audit = report.audit(df, c("handle").startswith("pc-")).first()
+    assert (audit["priced"], audit["upc"], audit["priced_no_upc"], audit["discovered"], audit["discovered_upc"]) == (2, 1, 1, 1, 0)
+    counts = report.audit(df, F.lit(False))
+    assert report.converged(counts, counts).first()["converged"] is True
+    rows, seen = report.observed(df, "seen", priced=predicates.has_price(c("marketValueLoose"), c("marketValueComplete"), c("marketValueNew")))
+    rows.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 3, "priced": 2}
+    pairs = spark.createDataFrame([(0, 1)], "_ord long, target long")
+    assert [tuple(r) for r in merge_report(pairs, df, df).collect()] == [(None, "A #1", "B")]
