@@ -12,19 +12,21 @@ one, in any order, is a near match; it is reported and counted, and does not con
 
 Shards split documents between rows, never windows, so no key gathers anything: a passage shared by a
 third of the corpus costs each shard its own part. The benchmark is the query set; it is broadcast in
-blocks of at most ``BLOCK_WORDS`` words, each answered against the whole index.
+blocks of at most ``BLOCK_WORDS`` words, each answered against the whole index. Where there are several
+blocks the rows are numbered and written once, and the blocks' answers meet under that number.
 
 Cases. Null and empty texts have no words and no hits; an item without words has no window; one of
-fewer than ten words is one window. Items of equal text all match; repeated items count once by id.
+fewer than ten words is one window. Items of equal text all match; repeated items count once by id;
+an item without id could not be named and is none.
 Repeated documents are rows of their own. Empty tables give no hits. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ SHARD_DOCS = 2000
 BLOCK_WORDS = 2_000_000
 NEAR_TERMS, NEAR_SPAN = 4, 20
 
-INDEX_SCHEMA = "shard string, doc_ids array<bigint>, bounds binary, terms binary, starts binary, positions binary"
+INDEX_SCHEMA = "rows array<bigint>, doc_ids array<bigint>, bounds binary, terms binary, starts binary, positions binary"
 
 
 @dataclass
@@ -77,11 +79,12 @@ def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[
 
 
 def build_index(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """The stored index of ``docs(doc_id, text)`` over the terms of a block."""
+    """The stored index of ``docs(_dc_row, doc_id, text)`` over the terms of a block."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # at most BLOCK_WORDS terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = sent.value.get
+        rows: list[int] = []
         ids: list[int | None] = []
         bounds, parts, n = [0], [], 0
 
@@ -91,25 +94,25 @@ def build_index(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
             at = at[np.argsort(terms[at], kind="stable")]
             found, first = np.unique(terms[at], return_index=True)
             ends = np.asarray(bounds, np.int64)
-            name = hashlib.md5(repr((ids[:1], ids[-1:], n, len(ids))).encode()).hexdigest()
             blobs = [x.tobytes() for x in (ends, found.astype(np.int32), np.append(first, len(at)).astype(np.int64), at)]
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([ids], pa.list_(pa.int64())), *(pa.array([b], pa.binary()) for b in blobs)], ["shard", "doc_ids", "bounds", "terms", "starts", "positions"])
+            longs = pa.list_(pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([rows], longs), pa.array([ids], longs), *(pa.array([b], pa.binary()) for b in blobs)], ["rows", "doc_ids", "bounds", "terms", "starts", "positions"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
+            for row, doc_id, text in zip(batch.column("_dc_row").to_pylist(), batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))):
                 words = alnum_words(text)
+                rows.append(row)
                 ids.append(doc_id)
                 parts.append(np.fromiter((get(w, -1) for w in words), np.int32, len(words)))
                 n += len(words)
                 bounds.append(n)
                 if n >= SHARD_WORDS or len(ids) >= SHARD_DOCS:
                     yield flush()
-                    ids, bounds, parts, n = [], [0], [], 0
+                    rows, ids, bounds, parts, n = [], [], [0], [], 0
         if ids:
             yield flush()
 
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, INDEX_SCHEMA)
-    return stash(made, "postings")
+    return stash(docs.select("_dc_row", "doc_id", "text").mapInArrow(run, INDEX_SCHEMA), "postings")
 
 
 def document_counts(index: DataFrame, terms: int) -> np.ndarray:
@@ -183,7 +186,7 @@ class Plan:
         return places, near
 
 
-HITS_SCHEMA = "shard string, slot int, doc_id long, n_words long, hit_from array<bigint>, hit_to array<bigint>, items array<string>, near array<string>"
+HITS_SCHEMA = "_dc_row long, doc_id long, n_words long, hit_from array<bigint>, hit_to array<bigint>, items array<string>, near array<string>"
 
 
 def search(index: DataFrame, queries: Queries) -> DataFrame:
@@ -217,7 +220,7 @@ def search(index: DataFrame, queries: Queries) -> DataFrame:
                     merged.append(out)
                 longs, names = pa.list_(pa.int64()), pa.list_(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["shard"]] * n), pa.array(range(n), pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(np.diff(bounds)), pa.array([[a for a, _ in m] for m in merged], longs), pa.array([[b for _, b in m] for m in merged], longs)]
+                    [pa.array(row["rows"], pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(np.diff(bounds)), pa.array([[a for a, _ in m] for m in merged], longs), pa.array([[b for _, b in m] for m in merged], longs)]
                     + [pa.array([sorted(s) for s in x], names) for x in (items, [c - i for c, i in zip(close, items)])],
                     [f.split()[0] for f in HITS_SCHEMA.split(", ")],
                 )
@@ -227,15 +230,20 @@ def search(index: DataFrame, queries: Queries) -> DataFrame:
 
 def hits(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, n_words, n_hit, items, near`` for every row of ``docs``."""
-    found = [search(build_index(docs, q.terms), q) for q in blocks_of(benchmark, block_words)] or [search(build_index(docs, {}), Queries())]
-    if len(found) == 1:
-        return found[0].select("doc_id", "n_words", F.aggregate(F.zip_with("hit_to", "hit_from", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y).alias("n_hit"), "items", "near")
-    # blocks index the same documents in the same shards: their spans are merged by shard and slot
+    rows = docs.select(F.monotonically_increasing_id().alias("_dc_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    blocks = blocks_of(benchmark, block_words)
+    head = list(islice(blocks, 2))
+    if len(head) < 2:
+        one = head[0] if head else Queries()
+        found = search(build_index(rows, one.terms), one)
+        return found.select("doc_id", "n_words", F.aggregate(F.zip_with("hit_to", "hit_from", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y).alias("n_hit"), "items", "near")
+    rows = stash(rows, "numbered")  # each block must see the same numbers
+    found = [search(build_index(rows, q.terms), q) for q in chain(head, blocks)]
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
     pairs = F.arrays_zip("hit_from", "hit_to")
-    one = every.groupBy("shard", "slot").agg(
+    one = every.groupBy("_dc_row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list(pairs))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"),
     )

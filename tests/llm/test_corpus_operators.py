@@ -28,6 +28,14 @@ def test_decontam_equals_brute_force(spark, docs, none):
     assert clean.columns == docs.columns and clean.count() == sum(not w[5] for w in want)
 
 
+def test_decontam_blocks_keep_repeated_rows_apart(spark):
+    text = "a b c d e f g h i j k l"
+    docs = spark.createDataFrame([(1, text)] * 6, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([("x", "a b c d e f g h i j"), ("y", "c d e f g h i j k l"), ("z", "q r")], "item_id string, text string")
+    got = decontam.hits(docs, bench, block_words=10).collect()
+    assert [(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got] == [(1, 12, 12, ["x", "y"])] * 6
+
+
 def test_near_match_is_reported_and_does_not_contaminate(spark):
     bench = spark.createDataFrame([(1, "zeta eta theta iota kappa lambda mu nu xi omicron")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "lambda kappa mu eta x zeta iota theta xi omicron nu"), (2, "zeta only")], "doc_id long, text string")
