@@ -12,6 +12,7 @@ rows are scanned each. Overlapping places of a phrase all count. Extra columns a
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -80,16 +81,26 @@ class Scanner:
         places: list[tuple[int, str]] = []
         for phrase, label in BASE.items():
             needle = f" {phrase} ".encode()
-            at = padded.find(needle)
+            at, seen, words_before = padded.find(needle), 0, 0
             while at >= 0:
-                places.append((padded.count(b" ", 0, at), label))
+                words_before += padded.count(b" ", seen, at)
+                seen = at
+                places.append((words_before, label))
                 at = padded.find(needle, at + 1)
         base = {label for _, label in places}
         found = sorted(((e / len(n.text), s, t, n.label, e) for n in self.notices for s, t, e in n.find(flat)), key=lambda f: (f[0], f[1] - f[2], f[1], f[3]))
-        taken: list[tuple] = []
+        taken: list[tuple] = []  # disjoint, in the order of their starts
+        starts: list[int] = []
         for f in found:
-            if all(f[2] <= g[1] or f[1] >= g[2] for g in taken):
-                taken.append(f)
+            i = bisect_left(starts, f[1])
+            if (i == 0 or taken[i - 1][2] <= f[1]) and (i == len(taken) or f[2] <= starts[i]):
+                taken.insert(i, f)
+                starts.insert(i, f[1])
+        spans, seen, words_before = [], 0, 0
+        for _, start, end, label, edits in taken:
+            words_before += flat.count(b" ", seen, start)
+            seen = start
+            spans.append(f"{label}:{words_before}-{words_before + flat.count(b' ', start, end)}:{edits}")
         return {
             "n_words": len(words),
             "n_base": len(places),
@@ -98,7 +109,7 @@ class Scanner:
             "base_labels": ",".join(sorted(base)),
             "labels": ",".join(sorted(base | {f[3] for f in taken})),
             "score": 1.0 if base else max((1 - f[0] for f in taken), default=0.0),
-            "spans": ";".join(f"{f[3]}:{flat.count(b' ', 0, f[1])}-{flat.count(b' ', 0, f[2])}:{f[4]}" for f in sorted(taken, key=lambda f: f[1])),
+            "spans": ";".join(spans),
         }
 
 
