@@ -2,9 +2,11 @@
 
 Method. A notice that may differ by ``k`` edits is split into ``k + 1`` pieces; wherever it occurs,
 at least one piece occurs unchanged (pigeonhole). Pieces are searched as plain strings, and only
-around their places the regex library looks for the whole notice with at most ``k`` errors, in its
-best-match mode, which verifies the edits and gives the span. Of overlapping matches the one with
-the fewest edits for its length stays. Text is compared as lower-case words with single blanks.
+around each of their places, in a window of the notice's length and ``k`` more on both sides, the
+regex library looks for the whole notice with at most ``k`` errors, in its best-match mode, which
+verifies the edits and gives the span. Windows are verified one by one, so that a better match
+nearby hides none and the work grows with the places. Of overlapping matches the one with the
+fewest edits for its length stays. Text is compared as lower-case words with single blanks.
 
 Cases. Null and empty texts have no words and no labels, score 0. A text is searched whole. Repeated
 rows are scanned each. Overlapping places of a phrase all count. Extra columns are not read.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -40,6 +43,10 @@ NOTICES = (
 )
 
 
+#: Verified windows kept by their text; repeated lines ask for the same ones.
+KEPT_WINDOWS = 4096
+
+
 @dataclass
 class Notice:
     text: bytes
@@ -50,24 +57,32 @@ class Notice:
         n, k = len(self.text), self.edits
         cuts = [n * i // (k + 1) for i in range(k + 2)]
         self.seeds = [(self.text[a:b], a) for a, b in zip(cuts, cuts[1:])]
+        self.verify = lru_cache(KEPT_WINDOWS)(self._verify)
         self.pattern = regex.compile(rb"(?b)(?:" + regex.escape(self.text) + rb"){e<=%d}" % k)
 
     def find(self, text: bytes) -> list[tuple[int, int, int]]:
         """``(start, end, edits)`` of matches around exact seeds."""
-        windows: list[list[int]] = []
+        n, k, size = len(text), self.edits, len(self.text)
+        places: set[int] = set()
         for seed, offset in self.seeds:
             at = text.find(seed)
             while at >= 0:
-                windows.append([max(0, at - offset - self.edits), at - offset + len(self.text) + self.edits])
+                places.add(at - offset)
                 at = text.find(seed, at + 1)
-        windows.sort()
-        merged: list[list[int]] = []
-        for w in windows:
-            if merged and w[0] <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], w[1])
-            else:
-                merged.append(w)
-        return [(a + m.start(), a + m.end(), sum(m.fuzzy_counts)) for a, b in merged for m in self.pattern.finditer(text[a:b])]
+        found = set()
+        for at in places:
+            if at >= 0 and text.startswith(self.text, at):
+                found.add((at, at + size, 0))
+                continue
+            low = max(0, at - k)
+            hit = self.verify(text[low : min(n, at + size + k)])
+            if hit:
+                found.add((low + hit[0], low + hit[1], hit[2]))
+        return sorted(found)
+
+    def _verify(self, window: bytes) -> tuple[int, int, int] | None:
+        m = self.pattern.search(window)
+        return (m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
 
 
 class Scanner:

@@ -105,3 +105,11 @@ def test_seeds_miss_no_match():
                 t.insert(i, rng.choice(b"abcxyz"))
         text = b"some words before " + bytes(t) + b" and after"
         assert n.find(text) and n.pattern.search(text)
+
+
+def test_a_better_match_hides_no_other():
+    n = licenses.Notice(b"licensed under the apache license version 2 0", "a", 3)
+    text = b"licensd under the apache license version 2 0 licensed under the apache license version 2 0"
+    assert {(0, 44, 1), (45, 90, 0)} <= set(n.find(text))
+    got = licenses.Scanner([("licensed under cc by 4 0", "cc-by", 1)]).scan(b"licensed under cc by 4 0. licensd under cc by 4 0! licensed undr cc by 4 0")
+    assert got["spans"] == "cc-by:0-5:0;cc-by:6-11:1;cc-by:12-17:1"
