@@ -200,21 +200,26 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     runs = placed.repartition("part", "key").sortWithinPartitions("part", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] | None = None
+        kept: list[list[np.ndarray]] = []  # batches of the run that is open, joined once it ends
         out = lambda u, v: pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (u, v)], ["u", "v"])
+        joined = lambda: [np.concatenate(x) for x in zip(*kept)]
         for batch in batches:
             now = [batch.column("part").to_numpy(), batch.column("key").to_numpy(), batch.column("fp").to_numpy().view(np.uint64), batch.column("home").to_numpy(zero_copy_only=False)]
-            now = [np.concatenate([a, b]) for a, b in zip(kept, now)] if kept else now
             if not len(now[0]):
                 continue
+            goes_on = kept and kept[0][0][0] == now[0][-1] and kept[0][1][0] == now[1][-1]
+            kept.append(now)
+            if goes_on:  # rows are sorted: this whole batch is of the open run
+                continue
+            whole = joined()
             # the last run may go on in the next batch
-            change = np.flatnonzero((now[1] != now[1][-1]) | (now[0] != now[0][-1]))
+            change = np.flatnonzero((whole[1] != whole[1][-1]) | (whole[0] != whole[0][-1]))
             cut = change[-1] + 1 if len(change) else 0
-            kept = [a[cut:] for a in now]
+            kept = [[a[cut:] for a in whole]]
             if cut:
-                yield out(*_links(*(a[:cut] for a in now), radius))
-        if kept and len(kept[0]):
-            yield out(*_links(*kept, radius))
+                yield out(*_links(*(a[:cut] for a in whole), radius))
+        if kept:
+            yield out(*_links(*joined(), radius))
 
     return runs.mapInArrow(run, "u long, v long")
 

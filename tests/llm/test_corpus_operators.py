@@ -74,6 +74,19 @@ def test_links_lose_no_component(spark, seed, spread):
     assert dict(tuples(got, "doc_id", "component_id")) == want
 
 
+def test_runs_over_many_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    fps = list(range(0, 1 << 16, 97)) + [(1 << 40) + i for i in range(40)]
+    want = brute.components(list(enumerate(fps)))
+    try:
+        spark.conf.set(key, "7")
+        got = simhash.grouped(spark.createDataFrame(list(enumerate(fps)), "doc_id long, fp long"))
+        assert dict(tuples(got, "doc_id", "component_id")) == want
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_forest_and_fit():
     rng = np.random.default_rng(4)
     fps = np.unique(rng.integers(0, 1 << 14, 4000).astype(np.uint64) * np.uint64(0x0004000100010001))
