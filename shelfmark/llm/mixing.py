@@ -55,8 +55,11 @@ def source_targets(per_source: DataFrame) -> DataFrame:
     return t.select("source", "source_size", "weight", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def allot(rows: DataFrame) -> DataFrame:
-    """Add ``source_size, target, copies`` to rows that have ``doc_id, source, size``."""
+def allot(rows: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``source_size, target, copies`` to rows that have ``doc_id, source, size``.
+
+    ``tie`` names columns that order rows of one id and size, where rows carry more than these.
+    """
     rows = rows.withColumn("_mx_bucket", _bucket(F.col("doc_id")))
     key = ["_mx_source", "_mx_size", "_mx_bucket"]
     # null is no join key: "n" for null, "s" before any name
@@ -72,7 +75,7 @@ def allot(rows: DataFrame) -> DataFrame:
     targets = targets.withColumn("_mx_rate", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * ONE)).otherwise(0)).withColumn("_mx_offset", offset)
     placed = cells.join(sizes, ["_mx_source", "_mx_size"]).join(targets, "_mx_source")
     placed = placed.select(*key, (F.col("in_source") + F.col("in_size")).alias("_mx_base"), "source_size", "target", "_mx_rate", "_mx_offset")
-    rows = rows.withColumn("_mx_nr", F.row_number().over(Window.partitionBy(*key).orderBy("doc_id")))
+    rows = rows.withColumn("_mx_nr", F.row_number().over(Window.partitionBy(*key).orderBy("doc_id", *tie)))
     rows = rows.join(placed, key)
     upto = (F.col("_mx_base") + F.col("_mx_nr")) * F.col("_mx_rate") + F.col("_mx_offset")
     copies = (F.shiftright(upto, 24) - F.shiftright(upto - F.col("_mx_rate"), 24)).cast("int")
@@ -82,8 +85,8 @@ def allot(rows: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, in its own columns."""
     names = docs.columns
-    kept = docs.select(F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size"), F.struct(*names).alias("_mx_row"))
-    taken = allot(kept).filter("copies > 0")
+    kept = docs.select(F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("_mx_tie"), F.struct(*names).alias("_mx_row"))
+    taken = allot(kept, ("_mx_tie",)).filter("copies > 0")
     return taken.select("_mx_row", F.explode(F.sequence(F.lit(1), "copies"))).select("_mx_row.*")
 
 

@@ -165,6 +165,13 @@ def test_mixing(spark, docs, none):
     assert all(abs(r["n"] - r["t"]) <= 60 for r in per)
 
 
+def test_mixing_repeated_ids_agree_between_runs(spark):
+    rows = [(7, f"{w} {v}", None, "a" if i % 3 else "b", 0) for i, (w, v) in enumerate(itertools.product("abcdefgh", repeat=2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    once = tuples(mixing.mix(docs.repartition(5, "text")))
+    assert once == tuples(mixing.mix(docs.repartition(2, "n_chars").orderBy(F.desc("text")))) and len(set(once)) > 20
+
+
 def test_targets_refill_by_weight(spark):
     sizes = {"a": 1, "b": 500, "c": 10, "d": 489, None: 0}
     df = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
