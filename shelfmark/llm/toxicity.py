@@ -10,7 +10,8 @@ report, clause end or other. Five transducers read that stream and rewrite or we
 * ``insult``: a second insult in a clause weighs more than the first.
 
 They are composed once into one deterministic machine, which walks each text clause by clause; a
-clause's score is the sum of its weighted arcs. The insult words are a seed list and what the
+clause's score is the sum of its weighted arcs. A target is in reach on either side of the word: where
+the clause has one anywhere, the walk starts in the state that a target leads to. The insult words are a seed list and what the
 labelled sample shows beside it: words, and stems of four to six bytes with any ending, whose
 documents are toxic far more often than others. Clause scores go through a logistic calibrator.
 
@@ -98,27 +99,39 @@ class Grammar:
         known, stems = self.words, list(self.stems.items())
         if not any(w in known and known[w][0] in (INSULT, THREAT) for w in words) and not any(w[:n] in s for n, s in stems for w in words):
             return len(words), []
-        found, arcs = [], self.machine.arcs
-        low, at, state, score, first = text.translate(ALNUM_LOWER), 0, 0, 0.0, 0
+        found, run = [], []
+        low, at, first = text.translate(ALNUM_LOWER), 0, 0
         for w in words:
             start = low.index(w, at)
             if any(c in CLAUSE_END for c in text[at:start]):
-                if score:
+                if score := self.weigh(run):
                     found.append((score, first, at))
-                state, score, first = 0, 0.0, start
+                run, first = [], start
             symbol, weight = known.get(w, (OTHER, 0.0))
             if symbol == OTHER:
                 for n, s in stems:
                     if w[:n] in s:
                         symbol, weight = INSULT, s[w[:n]]
-            state, out, factor = arcs[state][symbol]
-            if out == INSULT:
-                score += weight * factor
+            if symbol != OTHER:
+                run.append((symbol, weight))
             at = start + len(w)
-        if score:
+        if score := self.weigh(run):
             found.append((score, first, at))
         return len(words), found
 
+    def weigh(self, run: list[tuple[int, float]]) -> float:
+        """Score of one clause, given its symbols but OTHER, which no transducer acts on."""
+        symbols = {s for s, _ in run}
+        if INSULT not in symbols and THREAT not in symbols:
+            return 0.0
+        arcs, score = self.machine.arcs, 0.0
+        state = arcs[0][TARGET][0] if TARGET in symbols else 0
+        for symbol, weight in run:
+            state, out, factor = arcs[state][symbol]
+            if out == INSULT:
+                score += weight * factor
+        return score
+
     def features(self, text: bytes | None) -> list[float]:
         n, found = self.clauses(text)
         scores = [s for s, _, _ in found]

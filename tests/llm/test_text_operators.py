@@ -53,6 +53,18 @@ def test_grammar_scores_clauses():
     assert g.clauses(b"ok. You idiot! fine")[1][0][1:] == (4, 13)
 
 
+def test_a_target_counts_on_either_side():
+    g = toxicity.fit([], {})
+    score = lambda t: sum(s for s, _, _ in g.clauses(t.encode())[1])
+    for text in ("I will kill you", "kill them", "hurt these people"):
+        assert score(text) > 0
+    assert score("kill them") == score("them kill")
+    assert score("stupid people") == score("people stupid") > score("stupid thing")
+    assert score("kill time") == 0 and score("kill time. you see") == 0 and score("you see. kill time") == 0
+    assert 0 < score("I will not kill you") < score("I will kill you") > score("it said kill you") > 0
+    assert g.clauses(b"ok. Kill them! fine")[1][0][1:] == (4, 13)
+
+
 def test_grammar_learns_words_and_stems():
     rng = random.Random(1)
     plain = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(20))
