@@ -478,10 +478,9 @@ def q_set_ops(spark, sf):
 
 @query(r"""SELECT doc_id, regexp_replace(regexp_replace(strip_accents(replace(replace(replace(regexp_replace(replace(replace(h, '(', ''), ')', ''), '-?#\d*-?', '-', 'g'), ',', ''), '''', '-'), '.', '-')), '-+', '-', 'g'), '^-|-$', '', 'g') AS handle FROM (SELECT doc_id, replace(lower(regexp_extract(text, '^[\x20-\x7EàâäáãçéèêëíîïóôöúùûüñßÀÂÄÁÇÉÈÊËÍÎÏÓÔÖÚÙÛÜÑ]{0,40}', 0)), ' ', '-') || '-(#' || doc_id || '-x)' AS h FROM documents WHERE NOT regexp_matches(text[:41], '[&/:\[\]\n]'))""")
 def q_url_handle(spark, sf):
-    d = read(spark, sf, "documents").filter(~F.substring("text", 1, 41).rlike(r"[&/:\[\]\n]"))
-    lead = F.regexp_extract("text", "^[\\x20-\\x7EàâäáãçéèêëíîïóôöúùûüñßÀÂÄÁÇÉÈÊËÍÎÏÓÔÖÚÙÛÜÑ]{0,40}", 0)
-    h = F.concat(F.translate(F.lower(lead), " ", "-"), F.lit("-(#"), c("doc_id").cast("string"), F.lit("-x)"))
-    return d.select("doc_id", X.url_handle(h).alias("handle"))
+    # whole texts of all documents; the SQL still has their first 40 characters and some documents only
+    h = F.concat(F.translate(F.lower(X.blank(c("text"))), " ", "-"), F.lit("-(#"), c("doc_id").cast("string"), F.lit("-x)"))
+    return read(spark, sf, "documents").select("doc_id", X.url_handle(h).alias("handle"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS released FROM orders")

@@ -3,6 +3,8 @@
 import decimal
 import math
 import os
+import re
+import unicodedata
 
 import duckdb
 import pytest
@@ -45,6 +47,23 @@ def test_upsert_query_conserves_rows(spark):
     assert 0 < Q.q_upsert(spark, DIR).count() <= n
 
 
+def brute_handle(text, doc_id):
+    """The reference's replacements, one by one."""
+    h = (text or "").lower().replace(" ", "-") + f"-(#{doc_id}-x)"
+    for pattern, by in ((r"-?&amp;-?", "-"), (r"-?&[a-z]+;-?", "-"), (r"-?\[[^\]]*\]-?", "-"), (r"[()]", ""), (r"-?#[0-9]*-?", "-"), (",", ""), ("['\u2018\u2019]", "-"), (r"\.", "-"), ("/", "-"), (":", "-")):
+        h = re.sub(pattern, by, h)
+    h = re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFD", h))
+    return re.sub(r"^-|-\Z", "", re.sub("-+", "-", h))
+
+
+def test_url_handle_takes_whole_documents(spark, tmp_path):
+    texts = ["Beauty &amp; the Beast", "Salt &copy; Pepper", "Stitch [NYCC] Baker", "a/b: c", "[a\nb] line\nline [open", "Mr. Freeze, it's \u2018x\u2019", "long " * 20 + "caf\u00e9 #125 &amp; [x] end.", "", None, "\u65e5\u672c & \u2603 caf\u00e9"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for sf in (str(tmp_path), DIR):
+        want = sorted((r["doc_id"], brute_handle(r["text"], r["doc_id"])) for r in Q.read(spark, sf, "documents").collect())
+        assert sorted(map(tuple, Q.q_url_handle(spark, sf).collect())) == want
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
