@@ -7,8 +7,9 @@ terms are rare. A test window is answered by taking its terms from the rarest on
 posting list by the term's offset, and intersecting; what is left are the exact places of the window.
 Windows whose rarest term the shard lacks cost nothing. A document word within a place is hit.
 
-Proximity: an item whose ``NEAR_TERMS`` rarest terms all stand within ``NEAR_SPAN`` words of the rarest
-one, in any order, is a near match; it is reported and counted, and does not contaminate.
+Proximity: an item whose ``NEAR_TERMS`` rarest terms (all, if it has fewer, but at least two) stand within
+``NEAR_SPAN`` words of the rarest one, in any order, is a near match. Terms that no document has are passed
+over. Near matches do not contaminate; ``op6_near`` returns them.
 
 Shards split documents between rows, never windows, so no key gathers anything: a passage shared by a
 third of the corpus costs each shard its own part. The benchmark is the query set; it is broadcast in
@@ -144,8 +145,9 @@ class Plan:
                 self.by_rarest[window[order[0]]].append((order[0], [(window[i], i) for i in order[1:]], len(window), owners))
         self.near: dict[int, list[tuple[list[int], str]]] = defaultdict(list)
         for name, terms in queries.items:
-            rare = sorted(terms, key=lambda t: (counts[t], t))[:NEAR_TERMS]
-            if len(rare) == NEAR_TERMS and counts[rare[0]]:
+            asked = min(NEAR_TERMS, len(terms))
+            rare = sorted((t for t in terms if counts[t]), key=lambda t: (counts[t], t))[:asked]
+            if len(rare) == asked > 1:
                 self.near[rare[0]].append((rare[1:], name))
 
     def answer(self, bounds: np.ndarray, terms: np.ndarray, starts: np.ndarray, positions: np.ndarray):
@@ -260,6 +262,12 @@ def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items found in other words: near matches of each document without its exact ones."""
+    found = hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.size("near").cast("long").alias("n_near"), F.array_join("near", ",").alias("near"))
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, in their own columns.
 

@@ -16,4 +16,5 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_simhash": simhash.op9_simhash,
     "op10_chat": chat.op10_chat,
+    "op6_near": decontam.op6_near,
 }

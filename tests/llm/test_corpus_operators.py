@@ -42,6 +42,16 @@ def test_near_match_is_reported_and_does_not_contaminate(spark):
     assert tuples(decontam.hits(docs, bench), "doc_id", "n_hit", "near") == [(1, 0, ["1"]), (2, 0, [])]
 
 
+def test_near_passes_over_terms_without_postings_and_takes_short_items(spark, tmp_path):
+    bench = spark.createDataFrame([(1, "zeta eta theta iota kappa lambda absent"), (2, "omicron pi rho"), (3, "solo solo"), (4, "tau gone")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "iota theta x eta zeta lambda y kappa"), (2, "rho and pi and omicron"), (3, "solo tau"), (4, "omicron pi rho")], "doc_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = [(1, 1, "1"), (2, 1, "2"), (3, 0, ""), (4, 0, "")]
+    assert tuples(decontam.op6_near(spark, str(tmp_path)), "doc_id", "n_near", "near") == want
+    assert tuples(decontam.hits(docs, bench, block_words=3), "doc_id", F.array_join("near", ",").alias("n")) == [(d, n) for d, _, n in want]
+
+
 def test_simhash_equals_brute_force(docs, none, spark):
     keyed = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).select("doc_id", "text")
     rows = [tuple(r) for r in keyed.collect()]
