@@ -225,13 +225,13 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def grouped(prints: DataFrame) -> DataFrame:
-    """Add ``component_id`` to written rows of ``doc_id, fp``."""
+    """Add ``component_id``, the least id or null, and ``component``, the least print, to written rows of ``doc_id, fp``."""
     classes = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
     joined = components(links(classes.select("fp")))
     ids = classes.join(joined, classes["fp"] == joined["node"])
     least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
-    moved = joined.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    ids = stash(classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")), "component-ids")
+    moved = joined.join(least, "component").select(F.col("node").alias("fp"), "component_id", "component")
+    ids = stash(classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("component", "fp").alias("component")), "component-ids")
     return prints.join(ids, "fp")
 
 
@@ -239,10 +239,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     """One document of each group, that of the smallest id, in its own columns."""
     keyed = docs.withColumn("_sh_key", F.xxhash64("doc_id", "text"))
     prints = stash(fingerprints(keyed.select(F.col("_sh_key"), F.col("doc_id").cast("long").alias("doc_id"), "text"), ["_sh_key", "doc_id"]), "prints")
-    # null ids link too: a class has the print in any case
-    rows = grouped(prints).withColumn("_sh_group", F.coalesce(F.col("component_id"), F.col("fp")))
+    # by the component itself, as its least id may be null or stand in another one too
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_key")
-    first = rows.groupBy(F.col("component_id").isNull().alias("_sh_none"), "_sh_group").agg(F.min(order).alias("m"))
+    first = grouped(prints).groupBy("component").agg(F.min(order).alias("m"))
     chosen = stash(first.select(F.col("m._sh_key").alias("_sh_key")), "chosen")
     gone = stash(prints.join(chosen, "_sh_key", "left_anti").select("_sh_key").distinct(), "gone")
     left = keyed.join(gone, "_sh_key", "left_anti")

@@ -67,6 +67,23 @@ def test_simhash_equals_brute_force(docs, none, spark):
     assert simhash.dedup(none).count() == 0
 
 
+def test_dedup_keeps_one_of_a_component_whatever_its_ids(spark):
+    rng = random.Random(5)
+    words = [[f"w{rng.randrange(5000)}" for _ in range(300)] for _ in range(2)]
+    bits = lambda a, b: (brute.simhash(a) ^ brute.simhash(b)).bit_count()
+    texts = []
+    for w in words:
+        whole = " ".join(w)
+        near = next(t for i in range(300) if 1 <= bits(whole, t := " ".join(w[:i] + w[i + 1 :])) <= 3)
+        texts.append((whole, near))
+    (a, a2), (b, b2) = texts
+    assert bits(a, b) > 3
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.dedup(frame([(None, a), (None, a2), (1, b), (2, b2)]))
+    assert kept.count() == 2 and kept.filter("doc_id = 1").count() == 1
+    assert {r["text"] in (a, a2) for r in simhash.dedup(frame([(7, a), (8, a2), (7, b)])).collect()} == {True, False}
+
+
 @pytest.mark.parametrize("seed,spread", [(0, 64), (1, 14), (2, 64)])
 def test_links_lose_no_component(spark, seed, spread):
     rng = random.Random(seed)
