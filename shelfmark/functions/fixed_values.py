@@ -81,3 +81,17 @@ STRING_FIELDS = (
     "amazonSku", "franchise", "funkoSection", "setTag", "franchiseSuggestion", "category", "console", "exclusiveRetailer",
 )
 PRICED_SOURCE, SHOP_SOURCE = "pricecharting", "funko.com"
+#: Console sets that discovery never falls below, in the reference's order.
+CONSOLE_SLUGS = tuple(
+    f"funko-pop-{s}"
+    for s in (
+        "8-bit ad-icons air-force albums animation aquasox army around-the-world art-cover art-series artists asia bape basketball bitty board-games "
+        "books boxing broadway build-a-bear candy christmas classics college comedians comic-covers comics conan deluxe deluxe-moment die-cast "
+        "digital directors disney drag-queens fantastic-beasts fantastik-plastik fashion foodies freddy-funko game-covers game-of-thrones games golf "
+        "gpk halo harry-potter heroes hockey holidays house-of-the-dragons icons lance league-of-legends magazine-covers magic-the-gathering marines "
+        "marvel minis mlb moment monsters movie-posters movies muppets my-little-pony myths nascar navy nba-mascots nfl pets plants plus pusheen "
+        "racing retro-toys rides rocks royals sanrio sci-fi se sesame-street snl soccer south-park sports-legends stan-lee star-wars television "
+        "tennis the-vote town town-christmas trading-cards trains trolls ufc uglydoll valiant vans vhs-covers wnba wreck-it-ralph wrestling wwe "
+        "wwe-covers zodiac"
+    ).split()
+)

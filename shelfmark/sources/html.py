@@ -251,8 +251,9 @@ def facet_vocabulary(pages: DataFrame, page: Column, key: str) -> DataFrame:
     return rows.groupBy(key, "dim", "name").agg(F.min_by("count", "pos").alias("count"))
 
 
-def console_slugs(page: Column, known: Column) -> Column:
-    """Set slugs on a page in order of first sight, then known ones not seen."""
+def console_slugs(page: Column, known: Column | None = None) -> Column:
+    """Set slugs on a page in order of first sight, then known ones (by default the fixed list) not seen."""
+    known = F.array(*map(F.lit, V.CONSOLE_SLUGS)) if known is None else known
     return F.array_union(F.array_distinct(F.regexp_extract_all(X.blank(page), F.lit(r"/console/(funko-pop-[a-z0-9-]+)"), 1)), known)
 
 

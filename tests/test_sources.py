@@ -70,3 +70,10 @@ def test_stream_resumes(spark, tmp_path):
         run_new_files(spark, *args).awaitTermination(60)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r["twice"] for r in got.collect()) == [2 * i for i in range(10)]
+
+
+def test_console_slugs_unite_with_the_fixed_list(spark):
+    pages = spark.createDataFrame([('<a href="/console/funko-pop-new"><a href="/console/funko-pop-zodiac">',), (None,)], "h string")
+    new, none = (r[0] for r in pages.select(html.console_slugs(F.col("h"))).collect())
+    assert len(none) == 109 and none[0] == "funko-pop-8-bit" and none[-1] == "funko-pop-zodiac"
+    assert new == ["funko-pop-new", "funko-pop-zodiac", *none[:-1]]
