@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,12 +157,39 @@ def test_token_files_equal_the_library(docs, none, tmp_path):
 
 
 def test_encoder_equals_the_library_on_odd_text():
-    e = token_files.Encoder(token_files.tokenizer_path())
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(token_files.tokenizer_path())
+    e = token_files.Encoder(token_files.tokenizer_path(), keep=60)  # so few that words are shed all the time
     rng = random.Random(5)
-    parts = [" ", "  ", "\n", "\t", "\u00a0", "a", "é", "'s", "'", "7", ".", "!!", "word", "don't", "<|endoftext|>", "中", " \n", "\x1c", "\u3000"]
-    for _ in range(3000):
-        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
-        assert e.encode(t) == e._direct(t), repr(t)
+    parts = [" ", "  ", "\n", "\t", "\u00a0", "a", "é", "'s", "'", "7", ".", "!!", "word", "don't", "<|endoftext|>", "中", " \n", "\x1c", "\u3000", "\x85", "\u200b"]
+    for _ in range(200):
+        texts = [None, "", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(rng.randint(0, 40)))]
+        ids, sizes = e.encode(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes)
+        for t, a, b in zip(texts, ends - sizes, ends):
+            assert ids[a:b].tolist() == [*tk.encode(t or "", add_special_tokens=False).ids, 0], repr(t)
+    assert [len(x) for x in e.encode(pa.array([], pa.string()))] == [0, 0]
+
+
+@pytest.mark.parametrize("shard_ids", [1, 7, 50, 10**6])
+def test_lookup_over_all_shards(spark, docs, none, tmp_path, shard_ids):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(token_files.tokenizer_path())
+    rows = docs.filter("doc_id is null or doc_id <> 8").select("doc_id", "text")  # 8: one very long text
+    rows = rows.unionByName(rows.limit(0)).unionByName(spark.createDataFrame([(5, f"five {i}") for i in range(9)] + [(-3, "minus")], "doc_id long, text string"))
+    made = token_files.write(rows, f"file://{tmp_path}/ids", token_files.tokenizer_path(), shard_ids)
+    want = Counter((r["doc_id"], tuple([*tk.encode(r["text"] or "", add_special_tokens=False).ids, 0])) for r in rows.collect())
+    asked = spark.createDataFrame([(k,) for k in [*range(-5, 30), None, None, 5, 5, 10**12, -(10**12)]], "doc_id long")
+    got = made.lookup(asked).collect()
+    assert Counter((r["doc_id"], tuple(np.frombuffer(r["ids"], "<u2").tolist())) for r in got) == want
+    starts = sorted((r["start"], len(r["ids"]) // 2) for r in got)
+    assert [a for a, _ in starts] == [sum(n for _, n in starts[:i]) for i in range(len(starts))]
+    assert made.lookup(asked.filter("doc_id > 100")).isEmpty() and made.lookup(asked.limit(0)).isEmpty()
+    assert made.files.count() >= (len(got) if shard_ids == 1 else 1)
+    nothing = token_files.write(none, f"file://{tmp_path}/none", token_files.tokenizer_path())
+    assert nothing.files.isEmpty() and nothing.lookup(asked).isEmpty()
 
 
 def test_perfect_hash_and_unknown_keys(tmp_path):
