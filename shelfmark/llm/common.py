@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ BLANK_WORD = r"[^\x20\x09-\x0D]+"
 
 #: ASCII to lower case, with all ASCII characters but letters and digits turned to blanks; other bytes stay.
 ALNUM_LOWER = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+#: Bytes of text that are worked on at a time, where that is done by whole columns.
+SLICE_BYTES = 4_000_000
 #: A-Z to lower case and nothing else.
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -25,6 +29,36 @@ def alnum_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(ALNUM_LOWER).split()
 
 
+def alnum_lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``alnum_words`` of all rows in one array, and how many each row has."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    low = bytes(column.buffers()[2] or b"")[edges[0] : edges[-1]].translate(ALNUM_LOWER) if len(column) else b""
+    texts = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer((edges - edges[0]).astype(np.int64)), pa.py_buffer(low))
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    words = lists.flatten()
+    if len(empty := np.flatnonzero(pc.binary_length(pc.ascii_trim_whitespace(texts)).to_numpy() == 0)):
+        words = words.filter(pc.not_equal(words, ""))  # a text without words is split to one empty word
+        counts[empty] = 0
+    return words, counts
+
+
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices whose texts have about ``size`` bytes, or one longer text."""
+    length = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff((np.cumsum(length) - length) // size)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
+
+
+def row_key(*columns: str) -> Column:
+    """128 bits of hash, as text, that stand for the row's values."""
+    return F.concat(F.hex(F.xxhash64(*columns)), F.lit("-"), F.hex(F.xxhash64(F.lit("row"), *reversed(columns))))
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without building Python strings."""
     return column.cast(pa.binary()).to_pylist()

@@ -31,6 +31,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 from math import isqrt
 
 import numpy as np
@@ -42,15 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import table
+from shelfmark.llm.common import slices, table
 from shelfmark.session import drop_stash, fresh_path, stash
 
 END_ID = 0
 SHARD_IDS = 16_000_000
 #: Words kept by a worker; at that number the half that was met least often goes.
 CACHE = 500_000
-#: Bytes of text that are encoded at a time, beside whole texts that are longer.
-SLICE_BYTES = 4_000_000
 #: Least bytes of input that a range partition should have; from 25 GB on they grow with the square root of it, to 500 MB at 100 TB.
 PART_BYTES = 8_000_000
 MAGIC = 0x31534449_4B4D4853
@@ -381,23 +380,17 @@ def encoded(docs: DataFrame, tokenizer: str, bounds: np.ndarray, null_ranges: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
-        for batch in batches:
-            texts, keys, tie = (batch.column(k) for k in ("text", "doc_id", "tie"))
+        for batch in chain.from_iterable(map(slices, batches)):
+            keys, tie = batch.column("doc_id"), batch.column("tie")
             key, row = pc.fill_null(keys, 0).to_numpy(), tie.to_numpy()
             low, high = np.searchsorted(bounds, key), np.searchsorted(bounds, key, side="right")
             place = low + row % (high - low + 1)
             none = keys.is_null().to_numpy(zero_copy_only=False)
             place[none] = len(bounds) + 1 + row[none] % max(null_ranges, 1)
-            length = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
-            group = (np.cumsum(length) - length) // SLICE_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                if a < b:
-                    ids, sizes = encoder.encode(texts.slice(a, b - a))
-                    edges = np.append(0, np.cumsum(sizes)) * encoder.dtype.itemsize
-                    made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(edges), pa.py_buffer(ids)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(place[a:b], pa.int32()), keys.slice(a, b - a), tie.slice(a, b - a), made], ["range", "doc_id", "tie", "ids"])
-            pa.default_memory_pool().release_unused()
+            ids, sizes = encoder.encode(batch.column("text"))
+            edges = np.append(0, np.cumsum(sizes)) * encoder.dtype.itemsize
+            made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(ids)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), keys, tie, made], ["range", "doc_id", "tie", "ids"])
 
     return docs.mapInArrow(run, "range int, doc_id long, tie long, ids binary")
 

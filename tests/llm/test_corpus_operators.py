@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -37,6 +38,46 @@ def test_decontam_blocks_keep_repeated_rows_apart(spark):
     assert [(r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in got] == [(1, 12, 12, ["x", "y"])] * 6
 
 
+def test_one_stored_index_answers_all_blocks(spark, docs, monkeypatch):
+    built = []
+    real = decontam.build_index
+    monkeypatch.setattr(decontam, "build_index", lambda d: built.append(1) or real(d))
+    bench = spark.createDataFrame([("x", "the quick brown fox"), ("y", "word1 word2 word3"), ("z", "moron. LOSER")], "item_id string, text string")
+    got = decontam.hits(docs, bench, block_words=3)
+    want = brute.decontam([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in bench.collect()])
+    assert len(built) == 1 and len(list(decontam.blocks_of(bench, 3))) == 3
+    assert tuples(got, "doc_id", "n_words", "n_hit") == sorted((w[:3] for w in want), key=repr)
+
+
+@pytest.mark.parametrize("shard_words", [1, 50, 29_990])
+def test_the_index_holds_all_terms_in_any_shards(docs, shard_words):
+    index = decontam.build_index(docs.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text"), shard_words)
+    got = {}
+    for row in index.collect():
+        terms, bounds = decontam._terms(row["terms"], row["term_sizes"]), np.frombuffer(row["bounds"], "<i8")
+        assert terms == sorted(set(terms))
+        words, at = {}, 0
+        for t, n, size in zip(terms, np.frombuffer(row["counts"], "<i4"), np.frombuffer(row["sizes"], "<i4")):
+            places = decontam.decoded(np.frombuffer(row["postings"], np.uint8)[at : at + size])
+            assert len(places) == n
+            words |= dict.fromkeys(places.tolist(), t)
+            at += size
+        for number, key, a, b in zip(row["rows"], row["doc_ids"], bounds, bounds[1:]):
+            got[number] = (key, [words[i].decode() for i in range(a, b)])
+    rx = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = {c: c + 32 for c in range(65, 91)}
+    want = [(None if r["doc_id"] is None else f"d{r['doc_id']}", rx.findall((r["text"] or "").translate(low))) for r in docs.collect()]
+    assert sorted(got.values(), key=repr) == sorted(want, key=repr)
+
+
+def test_coding_round_trip():
+    rng = np.random.default_rng(9)
+    for top in (2, 1 << 7, 1 << 14, 1 << 21, 1 << 30):
+        gaps = rng.integers(0, top, 500)
+        blob, size = decontam.coded(gaps)
+        assert decontam.decoded(blob).tolist() == np.cumsum(gaps).tolist() and size.sum() == len(blob)
+
+
 def test_near_match_is_reported_and_does_not_contaminate(spark):
     bench = spark.createDataFrame([(1, "zeta eta theta iota kappa lambda mu nu xi omicron")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "lambda kappa mu eta x zeta iota theta xi omicron nu"), (2, "zeta only")], "doc_id long, text string")
