@@ -2,14 +2,21 @@
 
 Method. A notice that may differ by ``k`` edits is split into ``k + 1`` pieces; wherever it occurs,
 at least one piece occurs unchanged (pigeonhole). Pieces are searched as plain strings, and only
-around each of their places, in a window of the notice's length and ``k`` more on both sides, the
-regex library looks for the whole notice with at most ``k`` errors, in its best-match mode, which
-verifies the edits and gives the span. Windows are verified one by one, so that a better match
-nearby hides none and the work grows with the places. Of overlapping matches the one with the
-fewest edits for its length stays. Text is compared as lower-case words with single blanks.
+around each of their places, in a window of the notice's length and ``k`` more on both sides, widened
+to whole words, the regex library looks for the whole notice with at most ``k`` errors, in its
+best-match mode, which verifies the edits and gives the span. Windows are verified one by one, so
+that a better match nearby hides none and the work grows with the places.
+
+A match stands on whole words, and edits never change what names the licence: of the notice's own
+``names``, those of up to four letters stand in the span unchanged and longer ones within one edit,
+in order; and where the notice has a version, the span's numbers are the first of the notice's. So a
+short name is never edited into another. Names compete: of overlapping matches the one with the
+fewest edits for its length stays, and a match without a label (a text that denies the notice) takes
+its place and gives none. Text is compared as lower-case words with single blanks.
 
 Cases. Null and empty texts have no words and no labels, score 0. A text is searched whole. Repeated
-rows are scanned each. Overlapping places of a phrase all count. Extra columns are not read.
+rows are scanned each. Overlapping places of a phrase all count. Equal matches: the longer, the
+earlier, then the lesser label stays. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,21 +32,36 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark.llm.common import alnum_words, as_bytes, per_batch, table
 
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Notice text, label, edits allowed.
+#: Notice text, label, edits allowed, names that edits may not change.
 NOTICES = (
-    ("released under the mit license", "mit", 3),
-    ("licensed under the mit license", "mit", 3),
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
-    ("licensed under the apache license version 2 0", "apache-2", 4),
-    ("licensed under cc by nc 4 0", "cc-by-nc", 2),
-    ("licensed under cc by 4 0", "cc-by", 1),
-    ("licensed under cc by sa 4 0", "cc-by-sa", 1),
-    ("licensed under the gnu general public license version 3", "gpl-3", 4),
-    ("licensed under the gnu general public license version 2", "gpl-2", 4),
-    ("licensed under the gnu lesser general public license", "lgpl", 4),
-    ("redistribution and use in source and binary forms with or without modification", "bsd", 6),
-    ("subject to the terms of the mozilla public license v 2 0", "mpl-2", 4),
-    ("this is free and unencumbered software released into the public domain", "unlicense", 5),
+    ("released under the mit license", "mit", 3, "mit"),
+    ("licensed under the mit license", "mit", 3, "mit"),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6, ""),
+    ("licensed under the apache license version 2 0", "apache-2", 4, "apache 2"),
+    ("licensed under cc by 4 0", "cc-by", 2, "cc by"),
+    ("licensed under cc by sa 4 0", "cc-by-sa", 2, "cc by sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd", 2, "cc by nd"),
+    ("licensed under cc by nc 4 0", "cc-by-nc", 2, "cc by nc"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa", 2, "cc by nc sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd", 2, "cc by nc nd"),
+    ("licensed under the gnu general public license version 3", "gpl-3", 4, "gnu general 3"),
+    ("licensed under the gnu general public license version 2", "gpl-2", 4, "gnu general 2"),
+    ("licensed under the gnu lesser general public license", "lgpl", 4, "gnu lesser general"),
+    ("licensed under the gnu affero general public license", "agpl", 4, "gnu affero general"),
+    ("licensed under the gpl license", "gpl", 3, "gpl"),
+    ("released under the gpl license", "gpl", 3, "gpl"),
+    ("licensed under the bsd license", "bsd", 3, "bsd"),
+    ("released under the bsd license", "bsd", 3, "bsd"),
+    ("redistribution and use in source and binary forms with or without modification", "bsd", 6, ""),
+    ("licensed under the isc license", "isc", 3, "isc"),
+    ("released under the isc license", "isc", 3, "isc"),
+    ("licensed under the eclipse public license", "epl", 3, "eclipse"),
+    ("licensed under the epl license", "epl", 3, "epl"),
+    ("subject to the terms of the mozilla public license v 2 0", "mpl-2", 4, "mozilla 2"),
+    ("this is free and unencumbered software released into the public domain", "unlicense", 5, "domain"),
+    ("unlicensed under the mit license", "", 0, "mit"),
+    ("not licensed under the mit license", "", 0, "mit"),
+    ("not released under the mit license", "", 0, "mit"),
 )
 
 
@@ -47,21 +69,45 @@ NOTICES = (
 KEPT_WINDOWS = 4096
 
 
+def _one_edit(a: bytes, b: bytes) -> bool:
+    """At most one letter is put in, left out or changed."""
+    if a == b:
+        return True
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[i + (len(a) >= len(b)) :] == b[i + (len(b) >= len(a)) :]
+
+
 @dataclass
 class Notice:
     text: bytes
     label: str
     edits: int
+    names: bytes = b""
 
     def __post_init__(self):
         n, k = len(self.text), self.edits
         cuts = [n * i // (k + 1) for i in range(k + 2)]
         self.seeds = [(self.text[a:b], a) for a, b in zip(cuts, cuts[1:])]
         self.verify = lru_cache(KEPT_WINDOWS)(self._verify)
-        self.pattern = regex.compile(rb"(?b)(?:" + regex.escape(self.text) + rb"){e<=%d}" % k)
+        self.pattern = regex.compile(rb"(?b)(?<![^ ])(?:" + regex.escape(self.text) + rb"){e<=%d}(?![^ ])" % k)
+        self.named = self.names.split()
+        self.numbers = [w for w in self.text.split() if w.isdigit()]
+        self.versioned = any(w.isdigit() for w in self.named)
+
+    def is_named(self, span: bytes) -> bool:
+        """The span has the notice's names, in order, and its version."""
+        words = span.split()
+        if self.versioned:
+            numbers = [w for w in words if w.isdigit()]
+            if not numbers or numbers != self.numbers[: len(numbers)]:
+                return False
+        left = iter(words)
+        return all(any(w == name or len(name) > 4 and _one_edit(w, name) for w in left) for name in self.named)
 
     def find(self, text: bytes) -> list[tuple[int, int, int]]:
-        """``(start, end, edits)`` of matches around exact seeds."""
+        """``(start, end, edits)`` of matches around exact seeds, on whole words."""
         n, k, size = len(text), self.edits, len(self.text)
         places: set[int] = set()
         for seed, offset in self.seeds:
@@ -71,23 +117,30 @@ class Notice:
                 at = text.find(seed, at + 1)
         found = set()
         for at in places:
-            if at >= 0 and text.startswith(self.text, at):
+            if at >= 0 and text.startswith(self.text, at) and text[at - 1 : at] in (b"", b" ") and text[at + size : at + size + 1] in (b"", b" "):
                 found.add((at, at + size, 0))
                 continue
-            low = max(0, at - k)
-            hit = self.verify(text[low : min(n, at + size + k)])
+            # the window is cut at blanks; a word of no end would make it longer than any match
+            low, high = max(0, at - k), min(n, at + size + k)
+            low = max(text.rfind(b" ", max(0, low - size), low) + 1, low - size, 0)
+            after = text.find(b" ", high, high + size)
+            high = after if after >= 0 else min(n, high + size)
+            hit = self.verify(text[low:high], low > 0 and text[low - 1] != 32, high < n and text[high] != 32)
             if hit:
                 found.add((low + hit[0], low + hit[1], hit[2]))
         return sorted(found)
 
-    def _verify(self, window: bytes) -> tuple[int, int, int] | None:
-        m = self.pattern.search(window)
-        return (m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
+    def _verify(self, window: bytes, cut_before: bool, cut_after: bool) -> tuple[int, int, int] | None:
+        # where a long word was cut, its rest is no word
+        m = self.pattern.search(b"x" * cut_before + window + b"x" * cut_after)
+        if m is None or not self.is_named(m[0]):
+            return None
+        return m.start() - cut_before, m.end() - cut_before, sum(m.fuzzy_counts)
 
 
 class Scanner:
     def __init__(self, notices=NOTICES):
-        self.notices = [Notice(t.encode(), label, k) for t, label, k in notices]
+        self.notices = [Notice(t.encode(), label, k, b" ".join(n.encode() for n in names)) for t, label, k, *names in notices]
 
     def scan(self, text: bytes | None) -> dict:
         words = alnum_words(text)
@@ -113,6 +166,8 @@ class Scanner:
                 starts.insert(i, f[1])
         spans, seen, words_before = [], 0, 0
         for _, start, end, label, edits in taken:
+            if not label:
+                continue
             words_before += flat.count(b" ", seen, start)
             seen = start
             spans.append(f"{label}:{words_before}-{words_before + flat.count(b' ', start, end)}:{edits}")
@@ -122,8 +177,8 @@ class Scanner:
             "first_word": min((i for i, _ in places), default=None),
             "last_word": max((i for i, _ in places), default=None),
             "base_labels": ",".join(sorted(base)),
-            "labels": ",".join(sorted(base | {f[3] for f in taken})),
-            "score": 1.0 if base else max((1 - f[0] for f in taken), default=0.0),
+            "labels": ",".join(sorted(base | {f[3] for f in taken if f[3]})),
+            "score": 1.0 if base else max((1 - f[0] for f in taken if f[3]), default=0.0),
             "spans": ";".join(spans),
         }
 

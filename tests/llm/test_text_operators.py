@@ -125,3 +125,75 @@ def test_a_better_match_hides_no_other():
     assert {(0, 44, 1), (45, 90, 0)} <= set(n.find(text))
     got = licenses.Scanner([("licensed under cc by 4 0", "cc-by", 1)]).scan(b"licensed under cc by 4 0. licensd under cc by 4 0! licensed undr cc by 4 0")
     assert got["spans"] == "cc-by:0-5:0;cc-by:6-11:1;cc-by:12-17:1"
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("Licensed under the BSD license", "bsd"), ("released under the GPL license", "gpl"), ("licensed under the ISC license", "isc"), ("licensed under the EPL license", "epl"),
+    ("licensed under the new license", ""), ("licensed under the old license", ""), ("Licensed under CC BY ND 4.0", "cc-by-nd"), ("GNU General Public License version 1", ""),
+    ("licensed under the GNU General Public License version 1", ""), ("licensed under the GNU General Public License version 12", ""), ("licensed under the Apache License version 1 0", ""),
+    ("licensed under the apach license, version 2.0", "apache-2"), ("licensd under the bsd license", "bsd"), ("licensed under the mti license", ""), ("licensed under cc by 3.0", "cc-by"),
+    ("licensed under the GNU Lesser General Public License", "lgpl"), ("resublicensed under the bsd license", ""),
+])
+def test_names_are_not_edited(text, labels):
+    assert licenses.Scanner().scan(text.encode())["labels"] == labels
+
+
+def test_a_denied_notice_is_none():
+    for text in ("unlicensed under the mit license", "not licensed under the MIT license", "not released under the mit license"):
+        got = licenses.Scanner().scan(text.encode())  # the base phrase stays
+        assert (got["base_labels"], got["labels"], got["spans"]) == ("mit", "mit", "")
+
+
+def edits(a, b, most):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        if min(row) > most:
+            return most + 1
+    return row[-1]
+
+
+def test_scan_against_brute_force():
+    rng = random.Random(11)
+    pick = [0, 3, 4, 7, 10, 11, 14, 19, 25]
+    notices = [licenses.NOTICES[i] for i in pick]
+    scanner = licenses.Scanner(notices)
+    labelled = 0
+    for _ in range(500):
+        words = []
+        for _ in range(rng.randint(0, 3)):
+            t = list(rng.choice([*licenses.NOTICES, ("licensed under the zlib license",), ("under the mit license",), ("cc by nc",)])[0])
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                i = rng.randrange(len(t))
+                t[i : i + rng.randint(0, 1)] = rng.choice(["", "x", " ", "2"])
+            words += [*"".join(t).split(), *rng.choices(["a", "license", "under", "not", "word"], k=rng.randint(0, 2))]
+        flat = " ".join(words)
+        found = []
+        for text, label, most, names in notices:
+            numbers, wanted = [w for w in text.split() if w.isdigit()], names.split()
+            for i in range(len(words)):
+                for j in range(i + 1, len(words) + 1):
+                    span = " ".join(words[i:j])
+                    if abs(len(span) - len(text)) <= most and (e := edits(span, text, most)) <= most:
+                        have = [w for w in words[i:j] if w.isdigit()]
+                        if any(w.isdigit() for w in wanted) and (not have or have != numbers[: len(have)]):
+                            continue
+                        rest = iter(words[i:j])
+                        if all(any(w == n or len(n) > 4 and edits(w, n, 1) <= 1 for w in rest) for n in wanted):
+                            found.append((e / len(text), -len(span), i, j, label, e))
+        taken = []
+        for f in sorted(found):
+            if all(f[3] <= t[2] or f[2] >= t[3] for t in taken):
+                taken.append(f)
+        places = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+        got = scanner.scan(flat.encode())
+        assert (got["n_words"], got["n_base"]) == (len(words), len(places))
+        assert (got["first_word"], got["last_word"]) == (min((i for i, _ in places), default=None), max((i for i, _ in places), default=None))
+        assert got["base_labels"] == ",".join(sorted({x for _, x in places}))
+        assert got["labels"] == ",".join(sorted({x for _, x in places} | {t[4] for t in taken if t[4]})), flat
+        spans = sorted((x.split(":")[0], int(x.split(":")[2])) for x in got["spans"].split(";") if x)
+        assert spans == sorted((t[4], t[5]) for t in taken if t[4]), flat
+        labelled += bool(taken)
+    assert labelled > 120
