@@ -1,16 +1,23 @@
 """Quality rules with thresholds that adapt to language and source.
 
-Method. Each text gives four whole-number measures: hundredths of a character of mean word length,
-and thousandths of symbols, of repeated lines and of words in repeated windows. A log-linear
-histogram (values below 32 exactly, above that five leading bits, so 1/16 at most off) is kept for
-each language, source and measure; such sketches merge by adding counts, in any order, to the same
-result. Quartiles read from them set fences: three interquartile ranges and a fixed slack beyond the
-quartile. Sources with under ``LEAST`` documents use the merged sketch of their language, small
-languages that of the corpus. The fences are joined back and filter the documents.
+Method. Each text gives four whole-number measures: thousandths of a character of mean word length,
+and hundred-thousandths of symbols, of repeated lines and of words in repeated windows. Texts that pass
+the base rules go into a log-linear histogram for each language, source and measure (seven leading
+bits, so values are at most 1/64 off); such sketches merge by adding counts, in any order, to the same
+result. Fences are read from them and from nothing else: a quantile of the group, and as many times
+as ``MEASURES`` says its distance from the median beyond it. For word length there is one on either
+side. A text is kept if each of its measures' cells lies within the fences of its language and
+source. Sources with under ``least`` such texts use the merged sketch of their language, small
+languages that of the corpus.
+
+The levels say which part of a group is looked on as its bulk, not what value is too much: where a
+tenth of a source is full of symbols, that is how the source is. Repeats have no bulk but zero, so
+theirs is the far end: some 5 in 1,000 texts of a group have more.
 
 Cases. Null and empty texts have no words: base_failed. A null language or source is a group of its
-own. A text of any length is measured whole. Repeated rows are measured each and count each. An
-empty table gives an empty result. Extra columns are not read.
+own. A text of any length is measured whole. Repeated rows are measured each and count each. A group
+without a text that passes the base rules has nothing to judge. An empty table gives an empty result.
+Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -24,8 +31,9 @@ from shelfmark.llm.common import as_bytes, per_batch, table
 from shelfmark.session import stash
 
 LEAST = 50
-#: Measure: (slack below the lower fence or None for no lower fence, slack above the upper fence).
-SLACK: dict[str, tuple[int | None, int]] = {"mean_len": (150, 300), "symbol_share": (None, 40), "dup_share": (None, 500), "repeat_share": (None, 300)}
+#: Measure: (thousandths of the group up to the fence's quantile, how many times its distance from the median lies beyond, a lower fence too).
+MEASURES: dict[str, tuple[int, int, bool]] = {"mean_len": (900, 3, True), "symbol_share": (900, 3, False), "dup_share": (995, 0, False), "repeat_share": (995, 0, False)}
+BITS = 7
 WINDOW_WORDS = 8
 SYMBOLS = b"#*$%&|<>"
 _NOT_SYMBOL = bytes(c for c in range(256) if c not in SYMBOLS)
@@ -80,64 +88,67 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def shares() -> dict[str, Column]:
     part = lambda a, b, k: F.when(F.col(b) > 0, F.expr(f"{k} * {a} div {b}")).otherwise(F.lit(0)).cast("long")
-    return {"mean_len": part("word_chars", "n_words", 100), "symbol_share": part("n_symbols", "word_chars", 1000), "dup_share": part("n_dup_lines", "n_lines", 1000), "repeat_share": part("n_repeat_words", "n_words", 1000)}
+    return {"mean_len": part("word_chars", "n_words", 1000), "symbol_share": part("n_symbols", "word_chars", 100_000), "dup_share": part("n_dup_lines", "n_lines", 100_000), "repeat_share": part("n_repeat_words", "n_words", 100_000)}
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
 def bin_of(value: Column) -> Column:
     """The lower end of the value's cell in the log-linear sketch."""
-    drop = F.greatest(F.length(F.bin(value)) - 5, F.lit(0))
+    drop = F.greatest(F.length(F.bin(value)) - BITS, F.lit(0))
     return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
     """``(level, lang, source, measure, bin, n)``; level 0: language and source, 1: language, 2: all."""
-    wide = rows.groupBy("lang", "source", *(bin_of(F.col(m)).alias(m) for m in SLACK)).agg(F.count("*").alias("n"))
-    long = wide.select("lang", "source", "n", F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("bin")) for m in SLACK))).alias("x"))
-    fine = long.groupBy("lang", "source", "x.measure", "x.bin").agg(F.sum("n").alias("n"))
+    cells = F.array(*(F.struct(F.lit(m).alias("measure"), bin_of(F.col(m)).alias("bin")) for m in MEASURES))
+    fine = rows.select("lang", "source", F.explode(cells).alias("x")).groupBy("lang", "source", "x.measure", "x.bin").agg(F.count("*").alias("n"))
     none = F.lit(None).cast("string")
     levels = F.array(*(F.struct(F.lit(i).alias("level"), a.alias("lang"), b.alias("source")) for i, (a, b) in enumerate(((F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none)))))
     return fine.select(F.explode(levels).alias("g"), "measure", "bin", "n").groupBy("g.level", "g.lang", "g.source", "measure", "bin").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
-    """One row of lower and upper bounds for each language and source."""
+def fences(sketch: DataFrame, least: int = LEAST) -> DataFrame:
+    """One row of lower and upper bounds, as cells, for each language and source."""
     group = ["level", "lang", "source", "measure"]
     run = Window.partitionBy(*group).orderBy("bin")
     s = sketch.withColumn("upto", F.sum("n").over(run)).withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
-    q = s.groupBy(*group).agg(
-        F.max("total").alias("total"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("bin"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("bin"))).alias("q3"),
-    )
-    reach = 3 * (F.col("q3") - F.col("q1"))
+    at = lambda level: F.min(F.when(F.col("upto") * 1000 >= F.col("total") * level, F.col("bin")))
+    level = F.lit(None).cast("int")
+    for m, (l, _, _) in MEASURES.items():
+        level = F.when(F.col("measure") == m, l).otherwise(level)
+    q = s.withColumn("high", level).groupBy(*group).agg(F.max("total").alias("total"), at(1000 - F.col("high")).alias("low"), at(F.lit(500)).alias("mid"), at(F.col("high")).alias("top"))
+    upper = {m: F.col("top") + reach * (F.col("top") - F.col("mid")) for m, (_, reach, _) in MEASURES.items()}
+    lower = {m: F.col("low") - reach * (F.col("mid") - F.col("low")) if both else F.lit(0) for m, (_, reach, both) in MEASURES.items()}
     wide = q.groupBy("level", "lang", "source").agg(
         F.max("total").alias("total"),
-        *(F.max(F.when(F.col("measure") == m, F.col("q1") - reach - lo if lo is not None else F.lit(-1))).alias(f"{m}_lo") for m, (lo, _) in SLACK.items()),
-        *(F.max(F.when(F.col("measure") == m, F.col("q3") + reach + hi)).alias(f"{m}_hi") for m, (_, hi) in SLACK.items()),
+        *(F.max(F.when(F.col("measure") == m, v)).alias(f"{m}_lo") for m, v in lower.items()),
+        *(F.max(F.when(F.col("measure") == m, v)).alias(f"{m}_hi") for m, v in upper.items()),
     )
     bounds = [c for c in wide.columns if c.endswith(("_lo", "_hi"))]
     groups = wide.filter("level = 0").select("lang", "source")
     none = F.lit(None).cast("string")
     ladder = ((F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none))
-    level = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), a.alias("l"), b.alias("s")) for i, (a, b) in enumerate(ladder))))
-    asked = groups.select("lang", "source", level.alias("g")).alias("a")
+    steps = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), a.alias("l"), b.alias("s")) for i, (a, b) in enumerate(ladder))))
+    asked = groups.select("lang", "source", steps.alias("g")).alias("a")
     w = wide.alias("w")
     met = asked.join(w, (F.col("a.g.level") == F.col("w.level")) & F.col("a.g.l").eqNullSafe(F.col("w.lang")) & F.col("a.g.s").eqNullSafe(F.col("w.source")))
-    met = met.filter((F.col("w.total") >= LEAST) | (F.col("w.level") == 2))
+    met = met.filter((F.col("w.total") >= least) | (F.col("w.level") == 2))
     best = met.groupBy("a.lang", "a.source").agg(F.min_by(F.struct(*(F.col(f"w.{b}").alias(b) for b in bounds)), F.col("w.level")).alias("b"))
     return best.select(F.col("lang").alias("_q_lang"), F.col("source").alias("_q_source"), "b.*")
 
 
-def judge(rows: DataFrame) -> DataFrame:
-    """Add ``base_failed, kept`` to measured rows that have ``lang, source``."""
-    rows = stash(rows.withColumns(shares()), "measured")
-    bounds = fences(sketches(rows))
-    out = rows.join(bounds, F.col("lang").eqNullSafe(F.col("_q_lang")) & F.col("source").eqNullSafe(F.col("_q_source")), "left")
+def judge(rows: DataFrame, least: int = LEAST) -> DataFrame:
+    """Add the measures, the fences and ``base_failed, kept`` to measured rows that have ``lang, source``."""
+    rows = stash(rows.withColumns(shares()).withColumn("base_failed", base_failed()), "measured")
+    bounds = fences(sketches(rows.filter("not base_failed")), least)
+    out = rows.join(bounds, F.col("lang").eqNullSafe(F.col("_q_lang")) & F.col("source").eqNullSafe(F.col("_q_source")), "left").drop("_q_lang", "_q_source")
     inside = F.lit(True)
-    for m in SLACK:
-        inside = inside & (F.col(m) >= F.col(f"{m}_lo")) & (F.col(m) <= F.col(f"{m}_hi"))
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(inside, F.lit(True)))
+    for m in MEASURES:
+        inside = inside & bin_of(F.col(m)).between(F.col(f"{m}_lo"), F.col(f"{m}_hi"))
+    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
 
 
 def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,13 +157,7 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def _oracle() -> str:
-    share = {"mean_len": "100 * word_chars // nullif(n_words, 0)", "symbol_share": "1000 * n_symbols // nullif(word_chars, 0)", "dup_share": "1000 * n_dup_lines // nullif(n_lines, 0)", "repeat_share": "1000 * n_repeat_words // nullif(n_words, 0)"}
-    shared = ", ".join(f"coalesce({v}, 0) AS {k}" for k, v in share.items())
-    bins = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM s" for m in SLACK)
-    fence = ", ".join(f"max(CASE WHEN measure = '{m}' THEN {f'q1 - 3 * (q3 - q1) - {lo}' if lo is not None else '-1'} END) AS {m}_lo, max(CASE WHEN measure = '{m}' THEN q3 + 3 * (q3 - q1) + {hi} END) AS {m}_hi" for m, (lo, hi) in SLACK.items())
-    inside = " AND ".join(f"{m} >= CASE WHEN a.total >= {LEAST} THEN a.{m}_lo WHEN b.total >= {LEAST} THEN b.{m}_lo ELSE c.{m}_lo END AND {m} <= CASE WHEN a.total >= {LEAST} THEN a.{m}_hi WHEN b.total >= {LEAST} THEN b.{m}_hi ELSE c.{m}_hi END" for m in SLACK)
-    return rf"""
+ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text,
              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM d),
@@ -167,20 +172,27 @@ m AS (SELECT d.rid, doc_id, lang, source, len(w)::BIGINT AS n_words,
         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
         coalesce(ln.dup, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(ln.n, 0) AS n_lines
       FROM d LEFT JOIN rep USING (rid) LEFT JOIN ln USING (rid)),
-s AS (SELECT *, {shared} FROM m),
-b AS (SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 5, 0)::BIGINT) << greatest(length(bin(v)) - 5, 0)::BIGINT AS bin FROM ({bins})),
-h AS (SELECT 0 AS level, lang, source, measure, bin, count(*) AS n FROM b GROUP BY ALL
-      UNION ALL SELECT 1, lang, NULL, measure, bin, count(*) FROM b GROUP BY ALL
-      UNION ALL SELECT 2, NULL, NULL, measure, bin, count(*) FROM b GROUP BY ALL),
-u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM h),
-q AS (SELECT level, lang, source, measure, max(total) AS total, min(CASE WHEN upto * 4 >= total THEN bin END) AS q1, min(CASE WHEN upto * 4 >= total * 3 THEN bin END) AS q3 FROM u GROUP BY ALL),
-f AS (SELECT level, lang, source, max(total) AS total, {fence} FROM q GROUP BY level, lang, source),
-x AS (SELECT s.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {inside} AS inside
-      FROM s JOIN f a ON a.level = 0 AND a.lang IS NOT DISTINCT FROM s.lang AND a.source IS NOT DISTINCT FROM s.source
-             JOIN f b ON b.level = 1 AND b.lang IS NOT DISTINCT FROM s.lang
-             JOIN f c ON c.level = 2)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept FROM x
+-- four rows a text: the measure and its value with all but the seven leading bits cleared
+x AS (SELECT rid, doc_id, lang, source, base_failed, measure, v - v % (1::BIGINT << greatest(floor(log2(greatest(v, 1)) + 1e-9)::INTEGER - 6, 0)) AS cell
+      FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+              unnest(['mean_len', 'symbol_share', 'dup_share', 'repeat_share']) AS measure,
+              unnest([coalesce(1000 * word_chars // nullif(n_words, 0), 0), coalesce(100000 * n_symbols // nullif(word_chars, 0), 0),
+                      coalesce(100000 * n_dup_lines // nullif(n_lines, 0), 0), coalesce(100000 * n_repeat_words // nullif(n_words, 0), 0)]) AS v
+            FROM m)),
+g AS (SELECT lang, source, measure, list_sort(list(cell)) AS cells FROM x WHERE NOT base_failed GROUP BY ALL),
+g1 AS (SELECT lang, measure, list_sort(flatten(list(cells))) AS cells FROM g GROUP BY ALL),
+g2 AS (SELECT measure, list_sort(flatten(list(cells))) AS cells FROM g GROUP BY ALL),
+-- sorted cells of the group that is large enough; a quantile is the first cell with that share of texts up to it
+s AS (SELECT g.lang, g.source, g.measure, CASE WHEN len(g.cells) >= 50 THEN g.cells WHEN len(g1.cells) >= 50 THEN g1.cells ELSE g2.cells END AS c
+      FROM g JOIN g1 ON g1.measure = g.measure AND g1.lang IS NOT DISTINCT FROM g.lang JOIN g2 ON g2.measure = g.measure),
+f AS (SELECT lang, source, measure,
+        CASE WHEN measure = 'mean_len' THEN q10 - 3 * (q50 - q10) ELSE 0 END AS lo,
+        CASE WHEN measure IN ('mean_len', 'symbol_share') THEN q90 + 3 * (q90 - q50) ELSE q995 END AS hi
+      FROM (SELECT lang, source, measure, c[greatest((len(c) * 100 + 999) // 1000, 1)] AS q10, c[(len(c) * 500 + 999) // 1000] AS q50,
+              c[(len(c) * 900 + 999) // 1000] AS q90, c[(len(c) * 995 + 999) // 1000] AS q995 FROM s)),
+o AS (SELECT x.rid, bool_and(cell BETWEEN lo AND hi) AS inside
+      FROM x JOIN f ON f.measure = x.measure AND f.lang IS NOT DISTINCT FROM x.lang AND f.source IS NOT DISTINCT FROM x.source GROUP BY x.rid)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(inside, true) AS kept
+FROM m LEFT JOIN o USING (rid)
 """
-
-
-ORACLE = _oracle()

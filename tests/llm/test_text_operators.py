@@ -92,6 +92,59 @@ def test_rules_cases(docs, none):
     assert rules.judge(rules.measured(none, ["doc_id", "lang", "source"])).count() == 0
 
 
+def many_measured(spark):
+    """Two sources of one language, alike but in scale, a small third one, and rows that fail the base rules."""
+    rng = random.Random(12)
+    rows = []
+    for source, k, n in (("a", 1, 400), ("b", 3, 400), ("few", 9, 30)):
+        for i in range(n):
+            far = i % 50 == 0
+            rows.append((len(rows), "en", source, 1000, 1000 * (4 + k) + rng.randint(-200, 200) + 9000 * far, 20 * k + rng.randint(0, 40 * k) + 900 * far, k * (i % 7 == 0) + far, 10 * k * (i % 9 == 0) + far, 100))
+    rows += [(10_000 + i, "en", "a", 19, 9, 9, 9, 0, 9) for i in range(50)] + [(20_000, None, None, 0, 0, 0, 0, 0, 0)]
+    names = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    return spark.createDataFrame(rows, names)
+
+
+def test_thresholds_follow_language_and_source(spark):
+    rows = many_measured(spark)
+    got = rules.judge(rows)
+    by = {r["source"]: r for r in got.filter("doc_id < 10000").dropDuplicates(["source"]).collect()}
+    for m in rules.MEASURES:
+        assert by["a"][f"{m}_hi"] < by["b"][f"{m}_hi"], m
+        assert by["few"][f"{m}_hi"] not in (by["a"][f"{m}_hi"], by["b"][f"{m}_hi"]) or m.endswith("share"), m
+    alone = {r["source"]: r for r in rules.judge(rows, least=1).filter("doc_id < 10000").dropDuplicates(["source"]).collect()}
+    assert by["a"].asDict().keys() == alone["a"].asDict().keys() and all(by["few"][f"{m}_hi"] != alone["few"][f"{m}_hi"] for m in ("mean_len", "symbol_share"))
+    kept = {r["doc_id"]: r["kept"] for r in got.collect()}
+    far = [i for i in range(800) if i % 400 % 50 == 0]
+    assert not any(kept[i] for i in far) and sum(kept[i] for i in range(800) if i not in far) > 770
+    assert not any(kept[i] for i in range(10_000, 10_050)) and kept[20_000] is False
+
+
+def test_fences_equal_quantiles_of_cells(spark):
+    rows = many_measured(spark)
+    got = {r["source"]: r for r in rules.judge(rows, least=1).filter("doc_id < 10000").dropDuplicates(["source"]).collect()}
+    cell = lambda v: v >> max(v.bit_length() - 7, 0) << max(v.bit_length() - 7, 0)
+    for source in ("a", "b", "few"):
+        mine = [r for r in rows.collect() if r["source"] == source and r["n_words"] >= 20]
+        values = {
+            "mean_len": [1000 * r["word_chars"] // r["n_words"] for r in mine], "symbol_share": [100_000 * r["n_symbols"] // r["word_chars"] for r in mine],
+            "dup_share": [100_000 * r["n_dup_lines"] // r["n_lines"] for r in mine], "repeat_share": [100_000 * r["n_repeat_words"] // r["n_words"] for r in mine],
+        }
+        for m, (level, reach, both) in rules.MEASURES.items():
+            cells = sorted(map(cell, values[m]))
+            q = lambda p: cells[max(-(-len(cells) * p // 1000), 1) - 1]  # noqa: B023, E731
+            assert got[source][f"{m}_hi"] == q(level) + reach * (q(level) - q(500))
+            assert got[source][f"{m}_lo"] == (q(1000 - level) - reach * (q(500) - q(1000 - level)) if both else 0)
+
+
+def test_sketches_merge_to_the_same(spark):
+    rows = many_measured(spark).filter("n_words > 19").withColumns(rules.shares())
+    key = ["level", "lang", "source", "measure", "bin"]
+    whole = rules.sketches(rows)
+    parts = rules.sketches(rows.filter("doc_id % 3 = 0")).unionByName(rules.sketches(rows.filter("doc_id % 3 <> 0"))).groupBy(*key).agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, whole.select(*key, "n").collect()), key=repr) == sorted(map(tuple, parts.select(*key, "n").collect()), key=repr)
+
+
 def test_license_scan(docs, none):
     rows = {r["doc_id"]: r for r in licenses.scan(docs, ["doc_id"]).collect()}
     assert (rows[13]["base_labels"], rows[13]["labels"], rows[13]["first_word"], rows[13]["score"]) == ("mit", "mit", 1, 1.0)
