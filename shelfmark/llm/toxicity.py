@@ -6,13 +6,14 @@ report, clause end or other. Five transducers read that stream and rewrite or we
 * ``threat``: a threat word counts only with a target in reach in the same clause;
 * ``target``: an insult or threat near a person weighs more;
 * ``negation``: what follows a negation in a clause weighs less;
-* ``report``: what follows a verb of saying weighs less;
+* ``report``: what is said by others, a verb of saying in its clause, weighs less;
 * ``insult``: a second insult in a clause weighs more than the first.
 
 They are composed once into one deterministic machine, which walks each text clause by clause; a
-clause's score is the sum of its weighted arcs. A target is in reach on either side of the word: where
-the clause has one anywhere, the walk starts in the state that a target leads to. The insult words are a seed list and what the
-labelled sample shows beside it: words, and stems of four to six bytes with any ending, whose
+clause's score is the sum of its weighted arcs. Targets and verbs of saying count on either side of
+the word: where the clause has them anywhere, the walk starts in the state that they lead to. A
+negation counts forward only, to the end of its clause. A text is walked once, for its score and its
+clauses. The insult words are a seed list and what the labelled sample shows beside it: words, and stems of four to six bytes with any ending, whose
 documents are toxic far more often than others. Clause scores go through a logistic calibrator.
 
 Cases. Null and empty texts have no clause and get the score of no evidence. A text is read whole.
@@ -35,7 +36,7 @@ from shelfmark.llm.common import ALNUM_LOWER, as_bytes, crc_mod, per_batch, tabl
 
 #: Bounds of the fit.
 PER_CLASS = 3000
-MAX_CHARS = 60_000
+MAX_CHARS = 20_000
 MAX_TERMS = 4000
 STEMS = (4, 5, 6)
 MIN_SHARE = 0.01
@@ -125,15 +126,18 @@ class Grammar:
         if INSULT not in symbols and THREAT not in symbols:
             return 0.0
         arcs, score = self.machine.arcs, 0.0
-        state = arcs[0][TARGET][0] if TARGET in symbols else 0
+        state = 0
+        for context in (TARGET, REPORT):
+            if context in symbols:
+                state = arcs[state][context][0]
         for symbol, weight in run:
             state, out, factor = arcs[state][symbol]
             if out == INSULT:
                 score += weight * factor
         return score
 
-    def features(self, text: bytes | None) -> list[float]:
-        n, found = self.clauses(text)
+    def features(self, n: int, found: list[tuple[float, int, int]]) -> list[float]:
+        """What is calibrated, of a text of ``n`` words with the clauses ``found``."""
         scores = [s for s, _, _ in found]
         total = sum(scores)
         return [math.log1p(total), math.log1p(max(scores, default=0.0)), math.log1p(100 * total / (n + 20)), float(bool(scores))]
@@ -178,7 +182,7 @@ def fit(sample: list[tuple[bytes, int]], totals: dict[int, int]) -> Grammar:
     g = Grammar()
     shown, fitted = (sample[1::2], sample[::2]) if len(sample) >= 40 else (sample, sample)
     learn_terms(g, shown, totals)
-    x = np.array([g.features(t) for t, _ in fitted]).reshape(-1, 4)
+    x = np.array([g.features(*g.clauses(t)) for t, _ in fitted]).reshape(-1, 4)
     y = np.array([y for _, y in fitted], dtype=float)
     weight = np.array([totals.get(int(v), 1) / max(1, (y == v).sum()) for v in y])
     if len(y) and y.min() < y.max():
@@ -202,8 +206,9 @@ def score(docs: DataFrame, model: Grammar, keep: list[str]) -> DataFrame:
 
         def run(batch: pa.RecordBatch) -> dict[str, list]:
             texts = as_bytes(batch.column("text"))
-            x = np.array([g.features(t) for t in texts]).reshape(-1, 4)
-            spans = [g.clauses(t)[1] if f[3] else [] for t, f in zip(texts, x)]
+            walked = [g.clauses(t) for t in texts]
+            x = np.array([g.features(n, found) for n, found in walked]).reshape(-1, 4)
+            spans = [found for _, found in walked]
             top = [max(s, default=(0.0, None, None)) for s in spans]
             return {"score": fitting.probability(g.calibrator, x).tolist(), "n_clauses": [len(s) for s in spans], "clause_start": [t[1] for t in top], "clause_end": [t[2] for t in top]}
 

@@ -47,7 +47,7 @@ def test_grammar_scores_clauses():
     score = lambda t: sum(s for s, _, _ in g.clauses(t.encode())[1])
     assert score("you idiot") > score("an idiot") > score("not an idiot") > 0
     assert score("he said an idiot") < score("an idiot")
-    assert score("I will kill you") == 0 and score("you I will kill") > 0
+    assert score("I will kill you") == score("you I will kill") > 0
     assert score("not here. an idiot") == score("an idiot")
     assert score("idiot moron") > 2 * score("idiot")
     assert g.clauses(b"ok. You idiot! fine")[1][0][1:] == (4, 13)
@@ -65,13 +65,50 @@ def test_a_target_counts_on_either_side():
     assert g.clauses(b"ok. Kill them! fine")[1][0][1:] == (4, 13)
 
 
+def test_context_counts_on_either_side():
+    g = toxicity.fit([], {})
+    score = lambda t: sum(s for s, _, _ in g.clauses(t.encode())[1])
+    for text in ("we will murder them all", "I'll beat you", "you I will kill"):
+        assert score(text) > 0, text
+    assert score("an idiot he said") == score("he said an idiot") < score("he is an idiot") == score("an idiot he is")
+    assert score("idiot you are") == score("you are idiot") > score("idiot")
+    assert score("you are not an idiot") < score("you are an idiot, not a friend") == score("you are an idiot")
+    assert score("an idiot. he said") == score("an idiot")
+
+
+def plainly(run):
+    """Score of a clause by the rules as they are written, without a machine."""
+    kinds = [s for s, _ in run]
+    total = seen = 0
+    negated = False
+    for symbol, weight in run:
+        negated |= symbol == toxicity.NEGATION
+        if symbol == toxicity.INSULT or symbol == toxicity.THREAT and toxicity.TARGET in kinds:
+            total += weight * (1.5 if toxicity.TARGET in kinds else 1) * (0.5 if negated else 1) * (0.5 if toxicity.REPORT in kinds else 1) * (1.25 if seen else 1)
+            seen += 1
+    return total
+
+
+def test_machine_equals_plain_rules():
+    rng = random.Random(13)
+    g = toxicity.fit([], {})
+    words = {toxicity.OTHER: "thing", toxicity.INSULT: "idiot", toxicity.THREAT: "kill", toxicity.TARGET: "you", toxicity.NEGATION: "not", toxicity.REPORT: "said"}
+    for _ in range(3000):
+        clauses = [[(rng.randrange(6), 3.0) for _ in range(rng.randint(0, 7))] for _ in range(rng.randint(1, 3))]
+        for c in clauses:
+            assert g.weigh([x for x in c if x[0] != toxicity.OTHER]) == pytest.approx(plainly(c))
+        text = ". ".join(" ".join(words[s] for s, _ in c) for c in clauses)
+        assert sum(s for s, _, _ in g.clauses(text.encode())[1]) == pytest.approx(sum(map(plainly, clauses))), text
+
+
 def test_grammar_learns_words_and_stems():
     rng = random.Random(1)
     plain = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(20))
     sample = [((plain() + f" zork{rng.choice('abcdefghij')}x blarg").encode() if i % 3 == 0 else plain().encode(), int(i % 3 == 0)) for i in range(300)]
     g = toxicity.fit(sample, {0: 200, 1: 100})
     assert b"blarg" in g.words and b"zork" in g.stems[4]
-    assert g.features(b"alpha zorkqqx")[3] == 1.0 and g.features(b"alpha beta")[3] == 0.0
+    features = lambda t: g.features(*g.clauses(t))
+    assert features(b"alpha zorkqqx")[3] == 1.0 and features(b"alpha beta")[3] == 0.0
 
 
 def test_repeated_words_against_brute_force():
