@@ -72,6 +72,13 @@ META_LABELS = {
     "Release Date": "releaseDate", "UPC": "upc", "Box Number": "funkoNumber", "Series": "pcSeries", "ePID (eBay)": "ebayEpid", "ASIN (Amazon)": "amazonAsin",
     "Print Run": "printRun", "Publisher": "publisher", "Description": "pcDescription",
 }
+#: What a reference page's label contains: field.
+SKU_LABELS = {"hot topic": "hotTopicSku", "gamestop": "gamestopSku", "target": "targetSku", "walmart": "walmartSku", "amazon": "amazonSku"}
+#: How pages state a price, and how many rows there are (shop listings, the shop's facets, sets), in the order of trial.
+MONEY = r"\$\s*([0-9,]+\.[0-9]{2})"
+SHOP_TOTALS = (r"of\s+([\d,]+)\s+Items?", r"\(([\d,]+)\)\s+Results?", r"([\d,]{2,})\s+Items?")
+FACET_TOTALS = (r"of\s+([\d,]+)\s+Items", r"\(([\d,]+)\)\s+Results")
+SET_TOTALS = (r"for all\s+([\d,]+)\s+Funko", r"/\s*([\d,]+)\s+items")
 BOOLEAN_FIELDS = ("kennySource", "available", "marketValueIsApproximate", "hdbChecked", "franchiseChecked", "isVaulted", "isChase", "isExclusive")
 ARRAY_FIELDS = ("series", "funkoFandom", "funkoLicense", "funkoSeries")
 STRING_FIELDS = (
@@ -81,6 +88,7 @@ STRING_FIELDS = (
     "amazonSku", "franchise", "funkoSection", "setTag", "franchiseSuggestion", "category", "console", "exclusiveRetailer",
 )
 PRICED_SOURCE, SHOP_SOURCE = "pricecharting", "funko.com"
+PRICED_BASE, SHOP_BASE = "https://www.pricecharting.com", "https://www.funko.com"
 #: Console sets that discovery never falls below, in the reference's order.
 CONSOLE_SLUGS = tuple(
     f"funko-pop-{s}"

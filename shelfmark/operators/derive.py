@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import fixed_values as V
 from shelfmark.functions import text as X
-from shelfmark.operators import predicates
+from shelfmark.operators import merge, predicates
+from shelfmark.sources import html
 
 
 def tag_frequency(rows: DataFrame, tags: str = "series") -> DataFrame:
@@ -35,6 +36,23 @@ def grouping(catalog: DataFrame) -> DataFrame:
     return out.select(*catalog.columns)
 
 
+def shop_details(catalog: DataFrame, trails: DataFrame) -> DataFrame:
+    """Section and franchise from the trails of shop pages, ``trails(_ord, crumbs)``; null crumbs: the page had none.
+
+    A row whose page was read is marked, so that it is not read again; rows without a trail wait. Empty
+    series are seeded with the franchise.
+    """
+    found = html.franchise_of(F.col("crumbs"))
+    t = trails.select(F.col("_ord").alias("_o"), F.nullif(found["franchise"], F.lit("")).alias("_f"), X.blank(found["section"]).alias("_s"))
+    out = catalog.join(t, F.col("_ord") == F.col("_o"), "left")
+    seeded = F.when(F.col("_f").isNotNull(), merge.fill_if_empty(F.col("series"), F.array(F.lit("Pop! Vinyl"), F.col("_f")))).otherwise(F.col("series"))
+    fields = {
+        "series": seeded, "franchise": F.coalesce("_f", "franchise"), "funkoSection": F.when(F.col("_f").isNotNull(), F.col("_s")).otherwise(F.col("funkoSection")),
+        "franchiseChecked": F.when(F.col("_o").isNotNull(), True).otherwise(F.col("franchiseChecked")),
+    }
+    return out.withColumns(fields).select(*catalog.columns)
+
+
 def price_source(stored: Column, loose: Column, complete: Column, new: Column) -> Column:
     """Where a price is from; what a priced row says already stays."""
     priced = predicates.has_price(loose, complete, new)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as X
@@ -21,15 +21,19 @@ def first_n(rows: DataFrame, n: int | None) -> DataFrame:
 
 
 def price_candidates(rows: DataFrame, priced: Column, upc: Column, checked_at: Column, now: Column, fill_upc: bool = True, days: int = 0, limit: int | None = None) -> DataFrame:
-    need = ~priced | (F.lit(fill_upc) & ~X.truthy(upc)) | stale(checked_at, now, days)
+    """Rows without a price, without a code (white space is none) if codes are to be filled, or with a stale price."""
+    need = ~priced | (F.lit(fill_upc) & ~X.truthy(X.trim(X.blank(upc)))) | stale(checked_at, now, days)
     return first_n(rows.filter(need), limit)
 
 
 def reference_candidates(rows: DataFrame, mode: str = "default", limit: int | None = None) -> DataFrame:
-    """Rows to look up: ``all``, those without references, without tags, or not looked up yet."""
+    """Rows to look up: ``all``, those looked up without an id or without tags, or those not looked up yet."""
     c = F.col
-    no_refs, no_series = ~X.truthy(c("upc")) | ~X.truthy(c("funkoNumber")), F.coalesce(F.size("series"), F.lit(0)) <= 0
-    wanted = {"all": F.lit(True), "no_refs": no_refs, "no_series": no_series, "default": ~X.truthy(c("hdbid")) & ~F.coalesce(c("hdbChecked"), F.lit(False))}[mode]
+    checked = F.coalesce(c("hdbChecked"), F.lit(False))
+    wanted = {
+        "all": F.lit(True), "no_refs": checked & ~X.truthy(c("hdbid")), "no_series": checked & (F.coalesce(F.size("series"), F.lit(0)) <= 0),
+        "default": ~X.truthy(c("hdbid")) & ~checked,
+    }[mode]
     return first_n(rows.filter(X.truthy(c("handle")) & ~X.blank(c("handle")).endswith(".html") & wanted), limit)
 
 
@@ -59,3 +63,10 @@ def mark_checked(rows: DataFrame, outcomes: DataFrame, field: str) -> DataFrame:
 def narrowing(facets: DataFrame, total: Column) -> DataFrame:
     """Facets that narrow a listing: a count of at least 0 and under the whole."""
     return facets.filter((F.col("count") >= 0) & (F.col("count") < total))
+
+
+def first_per(rows: DataFrame, key: str, n: int, order: str = "_ord") -> DataFrame:
+    """The first ``n`` rows of each ``key``; 0: all. Spark keeps ``n`` rows of a key a task before it shuffles."""
+    if not n:
+        return rows
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter(F.col("_rn") <= n).drop("_rn")

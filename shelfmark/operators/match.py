@@ -125,11 +125,31 @@ def short_tokens_shared(a: Column, b: Column) -> Column:
     return (F.size(short) >= 2) & (F.size(F.array_except(short, long)) == 0)
 
 
+def _contained(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``(ao, target)``: names of one number of which the shorter's words, two at least, are all in the longer.
+
+    Each name is posted under the rarest of its words, and asks under all of its words: a shorter name
+    meets every longer one under its rarest word, whichever side it is on.
+    """
+    words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
+    x = a.select("ao", F.col("an").alias("n"), F.col("ac").alias("name_a"), words(F.col("ac")).alias("w"))
+    y = b.select(F.col("bo").alias("target"), F.col("bn").alias("n"), F.col("bc").alias("name_b"), words(F.col("bc")).alias("w"))
+    # canonical rows of one name and number: the first stands for all
+    y = y.groupBy("n", "name_b").agg(F.min("target").alias("target"), F.first("w").alias("w"))
+    x1, y1 = x.select("ao", "n", "name_a", F.explode("w").alias("word")), y.select("target", "n", "name_b", F.explode("w").alias("word"))
+    often = x1.select("n", "word").unionAll(y1.select("n", "word")).groupBy("n", "word").agg(F.count("*").alias("often"))
+    rarest = lambda rows, key: rows.join(often, ["n", "word"]).groupBy(*key).agg(F.min_by("word", F.struct("often", "word")).alias("word"))
+    xr, yr = rarest(x1, ["ao", "n", "name_a"]), rarest(y1, ["target", "n", "name_b"])
+    met = xr.join(y1, ["n", "word"]).select("ao", "name_a", "target", "name_b").unionAll(x1.join(yr, ["n", "word"]).select("ao", "name_a", "target", "name_b"))
+    return met.filter(short_tokens_shared(F.col("name_a"), F.col("name_b"))).select("ao", "target")
+
+
 def blocked_pairs(probes: DataFrame, canon: DataFrame, from_title: bool = True, fallback_exact: bool = False) -> DataFrame:
     """``(_ord, target)``: for each probe the first canonical row of its number whose name agrees.
 
-    The number is the join key and the rest a residual condition, on names that are computed once a
-    row. ``fallback_exact`` also takes the first equal name where a probe has no number or no match.
+    Names are computed once a row and joined with the number: equal names by equality, names whose words
+    are within another's through the shorter one's rarest word of that number. ``fallback_exact`` also
+    takes the first equal name where a probe has no number or no match.
     """
     title = F.col("title")
 
@@ -138,8 +158,18 @@ def blocked_pairs(probes: DataFrame, canon: DataFrame, from_title: bool = True,
         return df.select(F.col("_ord").alias(f"{p}o"), X.number_of(F.col("funkoNumber"), title, extra).alias(f"{p}n"), X.core_name(title).alias(f"{p}c"), X.core_no_parens(title).alias(f"{p}p"))
 
     a, b = keyed(probes, "a"), keyed(canon, "b")
-    agree = (F.col("ac") == F.col("bc")) | (F.col("ap") == F.col("bp")) | (F.col("ap") == F.col("bc")) | (F.col("ac") == F.col("bp")) | short_tokens_shared(F.col("ac"), F.col("bc"))
-    pairs = a.join(b, (F.col("an") == F.col("bn")) & (F.col("an") != "") & (F.col("ac") != "") & agree).select("ao", F.col("bo").alias("target"), F.lit(0).alias("rank"))
+    named = a.filter((F.col("an") != "") & (F.col("ac") != ""))
+    # equal names of one number are equi-joins; the first canonical row of each key is all that counts
+    found = []
+    for x, y in (("c", "c"), ("p", "p"), ("p", "c"), ("c", "p")):
+        first = b.filter(F.col("bn") != "").groupBy("bn", f"b{y}").agg(F.min("bo").alias("target"))
+        found.append(named.join(first, (F.col("an") == F.col("bn")) & (F.col(f"a{x}") == F.col(f"b{y}"))).select("ao", "target"))
+    # one name's words within the other's: the shorter list is met at each of its words but by its rarest alone
+    found.append(_contained(named, b.filter((F.col("bn") != "") & (F.col("bc") != ""))))
+    pairs = found[0]
+    for f in found[1:]:
+        pairs = pairs.unionByName(f)
+    pairs = pairs.withColumn("rank", F.lit(0))
     if fallback_exact:
         for i, c in enumerate(("c", "p"), 1):
             first = b.filter(F.col(f"b{c}") != "").groupBy(f"b{c}").agg(F.min("bo").alias("target"))
@@ -157,12 +187,13 @@ def blocked_dedupe(catalog: DataFrame, fields: tuple[str, ...] = V.DEDUPE_FIELDS
     return apply_updates(kept, moved, {f: "blank" for f in fields if f in catalog.columns})
 
 
-def new_ids(found: DataFrame, existing: DataFrame, id_col: str = "id", tail_tolerant: bool = True) -> DataFrame:
-    """Rows of ``found`` whose id was not seen before, in the base or earlier in ``found``."""
+def new_ids(found: DataFrame, existing: DataFrame, id_col: str = "id", tail_tolerant: bool = True, limit: int | None = None) -> DataFrame:
+    """Rows of ``found`` whose id was not seen before, in the base or earlier in ``found``; the first ``limit`` of them, if given."""
     key = X.id_tail(F.col(id_col)) if tail_tolerant else F.col(id_col)
     first = found.withColumn("_k", key).withColumn("_rn", F.row_number().over(Window.partitionBy("_k").orderBy("_ord"))).filter("_rn = 1")
     known = existing.select(key.alias("_k")).distinct()
-    return first.join(known, "_k", "left_anti").drop("_k", "_rn")
+    new = first.join(known, "_k", "left_anti").drop("_k", "_rn")
+    return new if limit is None else new.orderBy("_ord").limit(limit)
 
 
 def name_covered(title: Column, row: Column) -> Column:
@@ -211,12 +242,17 @@ def best_rows(candidates: DataFrame, key: str, score_col: str = "score", pos: st
 def match_listings(records: DataFrame, listings: DataFrame) -> DataFrame:
     """The best listing row of each record and the gate's decision.
 
-    ``listings(query_key, name, console, pos, ...)``: rows that a search for a code or a title gave.
-    A valid code is tried first (one row: taken; more: the best); records without such rows go by title.
+    ``listings(query_key, name, console, pos, ...)``: rows that a search for a code or a title gave;
+    their places count among the rows of figures. A valid code is tried first (one row: taken; more: the
+    best); records without such rows go by title and number, the verified one or else the title's.
     """
-    known = listings.filter(predicates.listing_console(F.col("console")))
+    place = F.row_number().over(Window.partitionBy("query_key").orderBy("pos")) - 1
+    known = listings.filter(predicates.listing_console(F.col("console"))).withColumn("pos", place)
     records = records.drop(*(set(listings.columns) & set(records.columns)))
-    rec = records.withColumns({"_upc": X.normalise_upc(F.col("upc")), "_q": X.search_query(F.col("title"), F.col("funkoNumber"))})
+    number = F.when(X.truthy(F.col("funkoNumber")), F.col("funkoNumber"))
+    if "funkoNumberFromTitle" in records.columns:
+        number = F.coalesce(number, F.col("funkoNumberFromTitle"))
+    rec = records.withColumns({"_upc": X.normalise_upc(F.col("upc")), "_q": X.search_query(F.col("title"), number)})
     by_code = rec.join(known, F.col("_upc") == F.col("query_key"))
     n = F.count("*").over(Window.partitionBy("_ord"))
     by_code = by_code.withColumn("matched_by", F.when(n == 1, "upc").otherwise("upc-multi"))

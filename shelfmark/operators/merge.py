@@ -55,6 +55,11 @@ def fill_if_empty(target: Column, source: Column) -> Column:
     return F.when(F.coalesce(F.size(target), F.lit(0)) <= 0, source).otherwise(target)
 
 
+def prefer(first: Column, second: Column) -> Column:
+    """The first of two strings that says something: which source of one value is believed before the other."""
+    return F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")))
+
+
 POLICIES = {"falsy": falsy_fill, "blank": blank_fill, "overwrite": overwrite_truthy}
 PLAIN = {"defined": overwrite_defined, "union": union_ordered, "append": append_absent, "if_empty": fill_if_empty}
 

@@ -45,7 +45,7 @@ def has_signal(number: Column, console: Column, priced_id: Column, source: Colum
     return (X.digits(number) != "") | X.blank(console).rlike("^funko-pop-") | X.truthy(priced_id) | X.truthy(source)
 
 
-def denylist(catalog: DataFrame, titles: tuple[str, ...], title: Column, signal: Column) -> DataFrame:
+def denylist(catalog: DataFrame, title: Column, signal: Column, titles: tuple[str, ...] = V.REMOVE_TITLES) -> DataFrame:
     """Add ``listed`` and ``dropped``: a listed title goes unless a signal protects the row.
 
     The list is part of the program, so it is a literal set in the plan.
@@ -54,6 +54,19 @@ def denylist(catalog: DataFrame, titles: tuple[str, ...], title: Column, signal:
     return catalog.withColumns({"listed": listed, "dropped": listed & ~F.coalesce(signal, F.lit(False))})
 
 
+def denylist_audit(judged: DataFrame, title: Column, titles: tuple[str, ...] = V.REMOVE_TITLES) -> DataFrame:
+    """``(title, outcome, rows)`` of judged rows: listed titles that were removed, protected, or are not in the catalog."""
+    listed = judged.filter("listed").groupBy(X.trim(X.blank(title)).alias("title")).agg(F.count_if("dropped").alias("removed"), F.count_if(~F.col("dropped")).alias("protected"))
+    asked = judged.sparkSession.createDataFrame([(t,) for t in titles], "title string").distinct()
+    met = asked.join(listed, "title", "left")
+    n = lambda k: F.coalesce(F.col(k), F.lit(0))
+    outcomes = F.array_compact(F.array(
+        F.when(n("removed") > 0, F.struct(F.lit("removed").alias("outcome"), n("removed").alias("rows"))), F.when(n("protected") > 0, F.struct(F.lit("protected").alias("outcome"), n("protected").alias("rows"))),
+        F.when(n("removed") + n("protected") == 0, F.struct(F.lit("not found").alias("outcome"), F.lit(0).cast("long").alias("rows"))),
+    ))
+    return met.select("title", F.inline(outcomes))
+
+
 def is_named_set_tag(tag: Column) -> Column:
     t = X.trim(F.lower(X.blank(tag)))
     ends = F.lit(False)

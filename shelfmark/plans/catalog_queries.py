@@ -155,7 +155,7 @@ def q_image_filter(spark, sf):
 def q_denylist(spark, sf):
     p = read(spark, sf, "part")
     signal = predicates.has_signal(F.when(c("p_size") % 5 == 0, c("p_size").cast("string")), F.lit(None), F.lit(None), F.lit(None))
-    out = predicates.denylist(p, ("red bolt", "small ring", "no such thing"), c("p_name"), signal)
+    out = predicates.denylist(p, c("p_name"), signal, ("red bolt", "small ring", "no such thing"))
     return out.groupBy("p_name").agg(F.count("*").alias("n_rows"), F.count_if("listed").alias("listed"), F.count_if("dropped").alias("dropped"))
 
 
@@ -385,7 +385,7 @@ def q_console_slugs(spark, sf):
 @query("SELECT o_orderkey, o_custkey::INT AS declared FROM orders")
 def q_declared_total(spark, sf):
     t = read(spark, sf, "orders")
-    page = F.concat(F.lit("<p>Showing 1 of "), F.format_number(c("o_custkey"), 0), F.lit(" results</p>"))
+    page = F.concat(F.lit("<p>Showing 1-20 of "), F.format_number(c("o_custkey"), 0), F.lit(" Items</p>"))
     return t.select("o_orderkey", html.declared_total(page).alias("declared"))
 
 
@@ -429,11 +429,11 @@ def q_stale(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", incremental.stale(at, F.expr(_NOW), 90).alias("stale"))
 
 
-@query("SELECT p_partkey FROM part WHERE p_size % 4 <> 0 AND (p_size % 4 <> 1) AND p_partkey % 3 <> 0 ORDER BY p_partkey LIMIT 100")
+@query("SELECT p_partkey FROM part WHERE p_size % 4 <> 0 AND (p_size % 4 <> 1) AND p_partkey % 3 <> 0")
 def q_reference_candidates(spark, sf):
     p = read(spark, sf, "part")
     rows = p.select(c("p_partkey").alias("_ord"), F.when(c("p_size") % 4 == 0, "").when(c("p_size") % 4 == 1, "x.html").otherwise(c("p_name")).alias("handle"), F.when(c("p_partkey") % 3 == 0, "7").alias("hdbid"), F.lit(None).cast("boolean").alias("hdbChecked"), F.lit("").alias("upc"), F.lit("").alias("funkoNumber"), F.array("p_type").alias("series"))
-    return incremental.reference_candidates(rows, "default", 100).select(c("_ord").alias("p_partkey"))
+    return incremental.reference_candidates(rows).select(c("_ord").alias("p_partkey"))
 
 
 @query("""WITH r AS (SELECT l_orderkey, count(*) AS rows FROM lineitem GROUP BY l_orderkey) SELECT o_orderkey, coalesce(rows, 0) AS rows, (o_orderkey % 12)::BIGINT AS target, o_orderkey % 17 <> 0 AND coalesce(rows, 0) > 0 AND (o_orderkey % 12 = 0 OR coalesce(rows, 0) >= o_orderkey % 12 - 5) AS done FROM orders LEFT JOIN r ON l_orderkey = o_orderkey""")
@@ -455,10 +455,7 @@ def q_json_props(spark, sf):
 
 @query("SELECT p_type, p_partkey FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS rn FROM part) WHERE rn <= 5")
 def q_limit_per_dim(spark, sf):
-    from pyspark.sql import Window
-
-    p = read(spark, sf, "part").select("p_type", "p_partkey")
-    return p.withColumn("rn", F.row_number().over(Window.partitionBy("p_type").orderBy("p_partkey"))).filter("rn <= 5").drop("rn")
+    return incremental.first_per(read(spark, sf, "part").select("p_type", "p_partkey"), "p_type", 5, "p_partkey")
 
 
 @query("SELECT p_partkey AS _ord, left(p_name || ' ' || p_type, 10) AS title FROM part ORDER BY p_partkey LIMIT 8")
@@ -476,9 +473,13 @@ def q_set_ops(spark, sf):
     return n(both, "both").union(n(left, "left")).union(n(either, "any"))
 
 
-@query(r"""SELECT doc_id, regexp_replace(regexp_replace(strip_accents(replace(replace(replace(regexp_replace(replace(replace(h, '(', ''), ')', ''), '-?#\d*-?', '-', 'g'), ',', ''), '''', '-'), '.', '-')), '-+', '-', 'g'), '^-|-$', '', 'g') AS handle FROM (SELECT doc_id, replace(lower(regexp_extract(text, '^[\x20-\x7EàâäáãçéèêëíîïóôöúùûüñßÀÂÄÁÇÉÈÊËÍÎÏÓÔÖÚÙÛÜÑ]{0,40}', 0)), ' ', '-') || '-(#' || doc_id || '-x)' AS h FROM documents WHERE NOT regexp_matches(text[:41], '[&/:\[\]\n]'))""")
+@query(r"""
+WITH h AS (SELECT doc_id, replace(lower(coalesce(text, '')), ' ', '-') || '-(#' || doc_id || '-x)' AS h FROM documents),
+e AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(h, '-?&amp;-?', '-', 'g'), '-?&[a-z]+;-?', '-', 'g'), '-?\[[^\]]*\]-?', '-', 'g') AS h FROM h),
+n AS (SELECT doc_id, replace(regexp_replace(regexp_replace(h, '[()]', '', 'g'), '-?#[0-9]*-?', '-', 'g'), ',', '') AS h FROM e),
+s AS (SELECT doc_id, strip_accents(regexp_replace(h, '[''‘’./:]', '-', 'g')) AS h FROM n)
+SELECT doc_id, regexp_replace(regexp_replace(h, '-+', '-', 'g'), '^-|-$', '', 'g') AS handle FROM s""")
 def q_url_handle(spark, sf):
-    # whole texts of all documents; the SQL still has their first 40 characters and some documents only
     h = F.concat(F.translate(F.lower(X.blank(c("text"))), " ", "-"), F.lit("-(#"), c("doc_id").cast("string"), F.lit("-x)"))
     return read(spark, sf, "documents").select("doc_id", X.url_handle(h).alias("handle"))
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
+_scratch: list[list[str]] = []
 
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -25,13 +30,17 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests on one machine) a temporary folder is made.
+    Only where the session names none and all runs in one process (tests) a temporary folder is made;
+    elsewhere executors would each write to a folder of their own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="shelfmark-"))
+        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
     return "file://" + _own_dir[0]
 
 
@@ -43,20 +52,40 @@ def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     """Write once to the shared folder and read back.
 
     This cuts the lineage, so that a lost executor costs no recomputation of what lies above, and
-    unlike ``checkpoint()`` it runs the plan once rather than twice.
+    unlike ``checkpoint()`` it runs the plan once rather than twice. The files go when the ``scratch``
+    around it ends, or by ``drop_stash``.
     """
     path = fresh_path(df.sparkSession, label)
+    for made in _scratch:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    if "/shelfmark/" not in path:
+        raise ValueError(f"not a stash: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what was stashed inside, once the result has been written elsewhere.
+
+    A frame that comes out of the block may read stashes: write it inside.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.pop()
+        for path in made:
+            drop_path(spark, path)
+
+
 def drop_stash(df: DataFrame) -> None:
     """Remove the files behind a stashed frame once nothing reads them any more."""
-    spark = df.sparkSession
-    files = df.inputFiles()
-    if not files:
-        return
-    path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
-    if "/shelfmark/" not in str(path):
-        raise ValueError(f"not a stash: {path}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if files := df.inputFiles():
+        drop_path(df.sparkSession, files[0].rpartition("/")[0])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import time
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +61,33 @@ def write_catalog(catalog: DataFrame, path: str, dry_run: bool = False) -> DataF
     return ordered
 
 
+def write_json_array(catalog: DataFrame, path: str) -> None:
+    """One file with one JSON array in the order of ``_ord``, for readers that want that.
+
+    One task writes it row by row and none holds it; for whole catalogs of many machines use write_catalog.
+    """
+    spark = catalog.sparkSession
+    end = spark.range(1).select(F.lit(2**63 - 1).alias("_ord"), F.lit(None).cast("string").alias("value"))
+    lines = catalog.select("_ord", F.to_json(F.struct(*(c for c in catalog.columns if c != "_ord"))).alias("value")).unionByName(end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = False
+        for batch in batches:
+            out = []
+            for line in batch.column("value").to_pylist():
+                out.append(("" if opened else "[") + "]" if line is None else ("," if opened else "[") + line)
+                opened = True
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+
+    lines.repartitionByRange(1, "_ord").sortWithinPartitions("_ord").select("value").mapInArrow(run, "value string").write.text(path)
+
+
+def write_vocabulary(vocabulary: DataFrame, path: str, total: int, harvested: str) -> None:
+    """A facet vocabulary ``(dim, name, count)`` as one JSON object a dimension, with its size, the whole's and the time."""
+    made = vocabulary.groupBy("dim").agg(F.count("*").alias("names"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "count")))).alias("vocabulary"))
+    made.withColumns({"unfilteredTotal": F.lit(total), "harvestedAt": F.lit(harvested)}).write.json(path)
+
+
 def write_versioned(catalog: DataFrame, folder: str) -> str:
     """A new version beside the old ones, which stay as backups; returns its path."""
     path = f"{folder.rstrip('/')}/v{time.time_ns()}"
@@ -95,3 +125,23 @@ def read_done(spark: SparkSession, path: str) -> DataFrame:
         return empty
     raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("key"))
     return raw.filter(F.col("key").isNotNull())
+
+
+def write_done(done: DataFrame, path: str, key: str = "key") -> None:
+    """Keep the keys of finished sets beside the catalog, for read_done; they are few, and one file replaces the last."""
+    keys = sorted({r[0] for r in done.select(key).distinct().collect() if r[0] is not None})
+    spark = done.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    made = spark._jvm.org.apache.hadoop.fs.Path(path + ".new")
+    out = fs.create(made, True)
+    out.write(bytearray(json.dumps(keys).encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(made, p)
+
+
+def clear_done(spark: SparkSession, path: str, complete: bool) -> bool:
+    """Forget the finished sets once all are; a run that stopped early keeps them, to go on from there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(complete and p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False))

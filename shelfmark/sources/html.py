@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import html as entities
 import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,7 +30,8 @@ class Node:
             yield n
             stack.extend(k for k in reversed(n.kids) if isinstance(k, Node))
 
-    def text(self) -> str:
+    def raw(self) -> str:
+        """All text below, without what surrounds it."""
         out, stack = [], [self]
         while stack:
             n = stack.pop()
@@ -40,7 +39,11 @@ class Node:
                 out.append(n)
             else:
                 stack.extend(reversed(n.kids))
-        return " ".join("".join(out).split())
+        return "".join(out).strip()
+
+    def text(self) -> str:
+        """All text below, with single blanks."""
+        return " ".join(self.raw().split())
 
     def classes(self) -> set[str]:
         return set(self.attrs.get("class", "").split())
@@ -48,6 +51,9 @@ class Node:
     def find(self, test: Callable[[Node], bool]) -> list[Node]:
         return [n for n in self.walk() if n is not self and test(n)]
 
+    def has(self, *names: str) -> bool:
+        return not self.classes().isdisjoint(names)
+
     def first(self, test: Callable[[Node], bool]) -> Node | None:
         return next((n for n in self.walk() if n is not self and test(n)), None)
 
@@ -83,107 +89,145 @@ def parse(page: str | None) -> Node:
     return b.root
 
 
-MONEY = re.compile(r"\$([\d,]+\.\d{2})")
+MONEY = re.compile(V.MONEY)
 
 
 def money(text: str | None) -> str | None:
+    """The first dollar amount, without commas."""
     m = MONEY.search(text or "")
-    value = float(m[1].replace(",", "")) if m else 0.0
+    return m[1].replace(",", "") if m else None
+
+
+def grade(text: str | None) -> str | None:
+    """As money, for a price between 0 and 100,000."""
+    value = float(money(text) or 0)
     return f"{value:.2f}" if 0 < value <= 100000 else None
 
 
-#: Ways in which a product tile has been marked up, tried in this order.
+def clean_price(raw: str) -> str:
+    """The last dollar amount of a text that tells of a reduction, else the first; "" if none."""
+    found = [re.sub("[^0-9.]", "", m) for m in re.findall(r"\$\s*[0-9]+\.[0-9]{2}", raw)]
+    return "" if not found else found[-1] if re.search(r"reduced|off|\bto\b", raw, re.IGNORECASE | re.ASCII) else found[0]
+
+
+#: Ways in which a product tile has been marked up; the first that a page has is its way.
 TILE_TESTS = (
-    lambda n: "product-tile" in n.classes() and "data-pid" in n.attrs,
-    lambda n: "product-tile" in n.classes(),
+    lambda n: n.has("product-tile"),
+    lambda n: n.has("b-product-tile"),
     lambda n: "data-pid" in n.attrs,
-    lambda n: "product" in n.classes(),
-    lambda n: "grid-tile" in n.classes(),
+    lambda n: n.has("product-grid-item"),
+    lambda n: n.tag == "article" and n.has("product"),
+    lambda n: "data-product-id" in n.attrs or "data-itemid" in n.attrs,
 )
 
 
-def tiles(page: str | None, base: str = "") -> list[dict] | None:
+def _some(n: Node | None, *names: str) -> str:
+    """The first attribute of these that says something."""
+    return next((v for k in names if n is not None and (v := n.attrs.get(k))), "")
+
+
+def _tile(n: Node, base: str) -> dict | None:
+    named = n.first(lambda k: k.tag in ("h2", "h3") or k.has("product-name", "b-product-tile__name", "product-title"))
+    title = (named.raw() if named else "") or _some(n, "data-name", "aria-label")
+    if not title:
+        return None
+    link = n.first(lambda k: k.tag == "a" and "/products/" in k.attrs.get("href", "")) or n.first(lambda k: k.tag == "a")
+    href = _some(link, "href")
+    _, found, path = href.partition("/products/")
+    handle = re.split(r"[?/]", path.partition("/products/")[0])[0] if found else ""
+    priced = n.first(lambda k: "price" in k.attrs.get("class", ""))
+    gone = n.first(lambda k: k.has("unavailable", "sold-out") or "out-of-stock" in k.attrs.get("class", ""))
+    category = _some(n, "data-category") or "".join(k.raw() for k in n.find(lambda k: k.has("breadcrumb") or "category" in k.attrs.get("class", "")))
+    return {
+        "pid": _some(n, "data-pid", "data-product-id", "data-itemid"), "handle": handle or href.rpartition("/")[2], "title": title,
+        "price": clean_price((priced.raw() if priced else "") or _some(n, "data-price")), "available": gone is None, "series": [s.strip() for s in re.split(r"[,|>/]", category) if s.strip()],
+        "productUrl": href if not href or href.startswith("http") else base + href,
+        "funkoPrimaryImage": _some(n.first(lambda k: k.tag == "img"), "src", "data-src", "data-lazy"), "funkoSource": V.SHOP_SOURCE,
+    }
+
+
+def tiles(page: str | None, base: str = V.SHOP_BASE) -> list[dict] | None:
     """Product tiles; None where no markup of a tile was met, which is not the same as no product."""
     root = parse(page)
     found = next((hits for t in TILE_TESTS if (hits := root.find(t))), None)
-    if found is None:
-        return None
-    out = []
-    for n in found:
-        link = n.first(lambda k: k.tag == "a" and k.attrs.get("href"))
-        named = n.first(lambda k: bool({"pdp-link", "product-name", "tile-title"} & k.classes())) or link
-        title = named.text() if named else ""
-        if not title:
-            continue
-        href = link.attrs["href"] if link else ""
-        path = re.split(r"[?#]", href)[0].rstrip("/")
-        m = re.search(r"/products/([^/]+)", path)
-        price = n.first(lambda k: bool({"price", "sales"} & k.classes()))
-        image = n.first(lambda k: k.tag == "img")
-        category = n.first(lambda k: bool({"category", "product-category"} & k.classes()))
-        sold_out = n.first(lambda k: bool({"sold-out", "out-of-stock"} & k.classes())) is not None or "sold out" in n.text().lower()
-        series = [s.strip() for s in re.split(r"[,|>/]", category.text()) if s.strip()] if category else []
-        out.append({
-            "pid": n.attrs.get("data-pid", ""), "handle": m[1] if m else path.rpartition("/")[2], "title": title, "price": price.text() if price else "", "available": not sold_out,
-            "series": series, "productUrl": urljoin(base, href), "funkoPrimaryImage": urljoin(base, image.attrs.get("src", "")) if image else "", "funkoSource": V.SHOP_SOURCE,
-        })
-    return out
+    return None if found is None else [t for n in found if (t := _tile(n, base))]
 
 
-def listing_rows(page: str | None) -> list[dict]:
-    """Rows of the listing table that link to an item."""
+def short_tiles(page: str | None) -> list[dict] | None:
+    """Tiles with what tells them apart only: pid, handle and title."""
+    found = tiles(page)
+    return None if found is None else [{k: t[k] for k in ("pid", "handle", "title")} for t in found]
+
+
+def listing_rows(page: str | None, base: str = V.PRICED_BASE) -> list[dict]:
+    """Rows of the listing table's body that link to an item."""
     table = parse(page).first(lambda n: n.attrs.get("id") == "games_table")
     out = []
-    for tr in table.find(lambda n: n.tag == "tr") if table else ():
+    for tr in table.find(lambda n: n.tag == "tr" and n.parent.tag not in ("thead", "tfoot")) if table else ():
         link = tr.first(lambda n: n.tag == "a" and "/game/" in n.attrs.get("href", ""))
         if link is None:
             continue
         href = link.attrs["href"]
-        parts = re.split(r"[?#]", href)[0].rstrip("/").split("/")
-        cells = [c.text() for c in tr.kids if isinstance(c, Node) and c.tag in ("td", "th")]
-        worth = [money(cells[i]) if i < len(cells) else None for i in (3, 4, 5)]
-        name = next((a.text() for a in tr.find(lambda n: n.tag == "a" and "/game/" in n.attrs.get("href", "")) if a.text()), "")
-        out.append({"id": link.attrs.get("title") or parts[-1], "name": name, "console": parts[-2] if len(parts) > 1 else "", "href": href, "loose": worth[0], "complete": worth[1], "mint": worth[2]})
+        slug = next((p for p in reversed(href.split("/")) if p), href)
+        console = re.search("/game/([^/]+)/", href)
+        cells = tr.find(lambda n: n.tag == "td")
+        worth = [money(cells[i].raw()) if i < len(cells) else None for i in (3, 4, 5)]
+        name = " ".join("".join(c.raw() for c in cells if c.has("title")).split())
+        out.append({
+            "id": link.attrs.get("title", "").strip() or slug, "name": name, "console": console[1] if console else "", "href": href if href.startswith("http") else base + href,
+            "loose": worth[0], "complete": worth[1], "mint": worth[2],
+        })
     return out
 
 
 def detail(page: str | None) -> dict:
-    """Prices, canonical address and labelled fields of a detail page; the last of a repeated label wins."""
+    """Prices, canonical address and labelled rows of a detail page; the last of a repeated label wins."""
     root = parse(page)
-    by_id = {n.attrs["id"]: n for n in root.walk() if "id" in n.attrs}
-    worth = {k: money(by_id[i].text()) if i in by_id else None for k, i in (("loose", "used_price"), ("complete", "complete_price"), ("mint", "new_price"))}
+    by_id: dict[str, Node] = {}
+    for n in root.walk():
+        by_id.setdefault(n.attrs.get("id", ""), n)
+    worth = {k: grade(by_id[i].raw()) if i in by_id else None for k, i in (("loose", "used_price"), ("complete", "complete_price"), ("mint", "new_price"))}
     canonical = root.first(lambda n: n.tag == "link" and n.attrs.get("rel") == "canonical")
-    meta = {}
+    labels = {}
     for tr in root.find(lambda n: n.tag == "tr"):
-        cells = [c.text() for c in tr.kids if isinstance(c, Node) and c.tag in ("td", "th")]
-        if len(cells) >= 2 and cells[0].endswith(":") and cells[1] and cells[1].lower() not in ("none", "n/a"):
-            meta[cells[0][:-1].strip()] = cells[1]
-    return worth | {"url": canonical.attrs.get("href") if canonical else None, "meta": meta}
+        cells = tr.find(lambda n: n.tag == "td")
+        label, value = (c.text() for c in cells[:2]) if len(cells) > 1 else ("", "")
+        if label.endswith(":") and value and value.lower() not in ("none", "n/a"):
+            labels[label[:-1].strip()] = value
+    return worth | {"url": (canonical and canonical.attrs.get("href")) or None, "labels": labels}
+
+
+def _reference_field(label: str) -> str | None:
+    exact = {"hdbid": "hdbid", "upc": "upc"}
+    if label in exact or label.startswith("reference"):
+        return exact.get(label, "funkoNumber")
+    return next((field for word, field in V.SKU_LABELS.items() if word in label), None)
 
 
 def reference_numbers(page: str | None) -> dict | None:
-    """Labelled numbers of a reference page, or None if there is none."""
-    root, out = parse(page), {}
-    for strong in root.find(lambda n: n.tag == "strong"):
-        label = strong.text().rstrip(":").strip()
-        box = strong.parent
-        while box is not None and not ({"spaced-field", "col-md-6"} & box.classes()):
+    """Labelled numbers of a reference page under their fields, or None if there is none; a later label wins."""
+    out: dict[str, str] = {}
+    for strong in parse(page).find(lambda n: n.tag == "strong"):
+        label = re.sub(":\\Z", "", strong.raw()).strip()
+        box = strong
+        while box is not None and not box.has("spaced-field", "col-md-6"):
             box = box.parent
-        value = box and box.first(lambda n: "ng-binding" in n.classes())
-        text = value.text() if value else ""
-        if not text or text == "-" or text.rstrip(":") == label or len(text) >= 50:
+        if not label or box is None:
             continue
-        low = label.lower()
-        if low == "upc":
-            out.setdefault("upc", re.sub(r"\D", "", text))
-        elif low.startswith("reference") and re.fullmatch(r"\d{1,6}", text):
-            out.setdefault("funkoNumber", text)
-        else:
-            out.setdefault(label, text)
-    if "upc" not in out and (m := re.search(r"_nkw=(\d{10,13})", page or "")):
-        out["upc"] = m[1]
-    if "hdbid" not in out and (m := re.search(r"itemId=(\d+)", page or "")):
-        out["hdbid"] = m[1]
+        shown = box.first(lambda n: n.has("ng-binding"))
+        value = shown.raw() if shown else ""
+        if not value:  # the label itself may be the box: what stands after it then
+            kids = [k for k in strong.parent.kids if isinstance(k, Node)]
+            after = [k for k in kids[kids.index(strong) + 1 :] if k.has("ng-binding")]
+            value = after[0].raw() if after else ""
+        field = _reference_field(label.lower())
+        if not value or value == label or len(value) >= 50 or value == "-" or field is None:
+            continue
+        if field != "funkoNumber" or re.fullmatch("[0-9]{1,6}", value):
+            out[field] = value
+    for field, pattern in (("upc", r"_nkw=([0-9]{10,13})"), ("hdbid", r"itemId=([0-9]+)")):
+        if not out.get(field) and (m := re.search(pattern, page or "")):
+            out[field] = m[1]
     return out or None
 
 
@@ -219,12 +263,19 @@ def links(page: Column) -> Column:
 
 
 def subject_tags(page: Column) -> Column:
-    """Texts of subject links that name a series, in order, once each; null if none."""
-    found = F.regexp_extract_all(X.blank(page), F.lit(r'(?is)<a\s[^>]*?href="[^"]*/subjects/[^"]*-series[^"]*"[^>]*>(.*?)</a>'), 1)
+    """Texts of subject links whose address ends in ``-series``, in order, once each; null if none."""
+    found = F.regexp_extract_all(X.blank(page), F.lit(r'(?is)<a\s[^>]*?href="[^"]*/subjects/[^"]*(?<=-series)"[^>]*>(.*?)</a>'), 1)
     tags = F.array_distinct(F.filter(F.transform(found, lambda t: X.trim(X.sub(t, "<[^>]*>"))), lambda t: t != ""))
     return F.when(F.size(tags) > 0, tags)
 
 
+def meta_fields(labels: Column) -> dict[str, Column]:
+    """The fields that a detail page's labels stand for; a code, number or date that is none is null."""
+    value = {field: F.nullif(F.try_element_at(labels, F.lit(label)), F.lit("")) for label, field in V.META_LABELS.items()}
+    shaped = {"upc": X.normalise_upc(value["upc"]), "funkoNumber": F.when(value["funkoNumber"].isNotNull(), X.digits(value["funkoNumber"])), "releaseDate": X.release_date(value["releaseDate"])}
+    return {f: F.nullif(shaped.get(f, v), F.lit("")) for f, v in value.items()}
+
+
 def breadcrumbs(page: Column) -> Column:
     """``array<struct<position, name, url>>`` of the first breadcrumb list; blocks of bad JSON are passed over."""
     blocks = F.regexp_extract_all(X.blank(page), F.lit(r'(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>'), 1)
@@ -257,9 +308,10 @@ def console_slugs(page: Column, known: Column | None = None) -> Column:
     return F.array_union(F.array_distinct(F.regexp_extract_all(X.blank(page), F.lit(r"/console/(funko-pop-[a-z0-9-]+)"), 1)), known)
 
 
-def declared_total(page: Column, patterns: tuple[str, ...] = (r"of ([\d,]+) (?:results|items)", r"([\d,]+) (?:results|items|products)", r'data-total="([\d,]+)"'), none: int = -1) -> Column:
+def declared_total(page: Column, patterns: tuple[str, ...] = V.SHOP_TOTALS, none: int = -1) -> Column:
+    """The number of rows that a page says there are, by the first pattern that it has."""
     found = [F.nullif(X.sub(F.regexp_extract(X.blank(page), "(?i)" + p, 1), ","), F.lit("")) for p in patterns]
-    return F.coalesce(F.coalesce(*found).cast("int"), F.lit(none))
+    return F.coalesce(F.coalesce(*found).try_cast("int"), F.lit(none))
 
 
 def has_content(rows: Column, total: Column) -> Column:

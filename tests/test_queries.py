@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 from shelfmark.plans import catalog_queries as Q
+from shelfmark.plans import page_queries  # noqa: F401  (adds its queries to the same tables)
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -5,34 +5,37 @@ from pyspark.sql import functions as F
 from shelfmark.sources import catalog, html
 from shelfmark.streaming.resume import run_new_files
 
-LISTING = """<table id="games_table"><tbody><tr><td><a href="/game/funko-pop-rides/x-12" title="77">p</a></td><td><a href="/game/funko-pop-rides/x-12">X #12</a></td><td>c</td><td>$1,010.50</td><td></td><td>$5.00</td></tr><tr><td>no link</td></tr></tbody></table>"""
-DETAIL = """<link rel="canonical" href="https://x/y"><span id="used_price">$3.10</span><span id="new_price">$0.00</span><table><tr><td>UPC:</td><td>123</td></tr><tr><td>UPC:</td><td>456</td></tr><tr><td>Publisher:</td><td>none</td></tr><tr><td>Bad</td><td>x</td></tr></table>"""
-TILES = """<div class="product-tile" data-pid="P1"><a href="/products/goku?x=1"><img src="/i.png"></a><div class="pdp-link">Pop! Goku</div><span class="price">$11.99</span><span class="category">Anime | Z</span></div><div class="product-tile" data-pid="P2"><span class="sold-out">x</span><a href="/p/vegeta">Vegeta</a></div><div class="product-tile" data-pid="P3"></div>"""
+LISTING = """<table id="games_table"><tbody><tr><td><a href="/game/funko-pop-rides/x-12" title="77">p</a></td><td class="title"><a href="/game/funko-pop-rides/x-12">X #12</a></td><td>c</td><td>$1,010.50</td><td></td><td>$5.00</td></tr><tr><td>no link</td></tr></tbody></table>"""
+DETAIL = """<link rel="canonical" href="https://x/y"><span id="used_price">$ 3.10</span><span id="new_price">$0.00</span><table><tr><td>UPC:</td><td>123</td></tr><tr><td>UPC:</td><td>456</td></tr><tr><td>Publisher:</td><td>none</td></tr><tr><td>Bad</td><td>x</td></tr></table>"""
+TILES = """<div class="product-tile" data-pid="P1"><a href="/products/goku?x=1"><img src="/i.png"></a><div class="product-name">Pop! Goku</div><span class="price">$11.99</span><span class="category">Anime | Z</span></div><div class="product-tile" data-pid="P2"><span class="sold-out">x</span><a href="/p/vegeta">See</a><h3>Vegeta</h3></div><div class="product-tile" data-pid="P3"></div>"""
 REFERENCE = """<div class="spaced-field"><strong>UPC:</strong><span class="ng-binding">8498-030</span></div><div class="spaced-field"><strong>Reference #:</strong><span class="ng-binding">27</span></div><div class="col-md-6"><strong>Other:</strong><span class="ng-binding">-</span></div><a href="?itemId=99">x</a>"""
 
 
 def test_readers():
-    assert html.listing_rows(LISTING) == [{"id": "77", "name": "p", "console": "funko-pop-rides", "href": "/game/funko-pop-rides/x-12", "loose": "1010.50", "complete": None, "mint": "5.00"}]
+    row = {"id": "77", "name": "X #12", "console": "funko-pop-rides", "href": "https://p.example/game/funko-pop-rides/x-12", "loose": "1010.50", "complete": None, "mint": "5.00"}
+    assert html.listing_rows(LISTING, "https://p.example") == [row]
     d = html.detail(DETAIL)
-    assert (d["loose"], d["complete"], d["mint"], d["url"], d["meta"]) == ("3.10", None, None, "https://x/y", {"UPC": "456"})
-    t = html.tiles(TILES, "https://shop.example/")
-    assert [(x["pid"], x["handle"], x["available"], x["series"]) for x in t] == [("P1", "goku", True, ["Anime", "Z"]), ("P2", "vegeta", False, [])]
-    assert html.tiles("<p>none</p>") is None and html.tiles(None) is None
-    assert html.reference_numbers(REFERENCE) == {"upc": "8498030", "funkoNumber": "27", "hdbid": "99"}
+    assert (d["loose"], d["complete"], d["mint"], d["url"], d["labels"]) == ("3.10", None, None, "https://x/y", {"UPC": "456"})
+    t = html.tiles(TILES, "https://shop.example")
+    assert [(x["pid"], x["handle"], x["title"], x["price"], x["available"], x["series"]) for x in t] == [("P1", "goku", "Pop! Goku", "11.99", True, ["Anime", "Z"]), ("P2", "vegeta", "Vegeta", "", False, [])]
+    assert t[0]["productUrl"] == "https://shop.example/products/goku?x=1" and t[0]["funkoPrimaryImage"] == "/i.png"
+    assert html.tiles("<p>none</p>") is None and html.tiles(None) is None and html.tiles('<i data-pid="1"></i>') == []
+    assert html.short_tiles(TILES)[1] == {"pid": "P2", "handle": "vegeta", "title": "Vegeta"}
+    assert html.reference_numbers(REFERENCE) == {"upc": "8498-030", "funkoNumber": "27", "hdbid": "99"}
     assert html.reference_numbers("<p></p>") is None
 
 
 def test_pages_to_rows(spark):
     pages = spark.createDataFrame([(1, LISTING), (2, None), (3, "<table id='games_table'></table>")], "page_id long, html string")
     got = html.read_pages(pages, html.listing_rows, "id string, name string, console string, loose string").collect()
-    assert [tuple(r) for r in got] == [(1, 0, "77", "p", "funko-pop-rides", "1010.50")]
-    got = html.read_pages(spark.createDataFrame([(1, DETAIL)], "page_id long, html string"), html.detail, "loose string, meta map<string,string>").collect()
-    assert got[0]["meta"] == {"UPC": "456"}
+    assert [tuple(r) for r in got] == [(1, 0, "77", "X #12", "funko-pop-rides", "1010.50")]
+    got = html.read_pages(spark.createDataFrame([(1, DETAIL)], "page_id long, html string"), html.detail, "loose string, labels map<string,string>").collect()
+    assert got[0]["labels"] == {"UPC": "456"}
 
 
 def test_flat_cases(spark):
     crumb = '<script type="application/ld+json">{bad</script><script type="application/ld+json">[{"@type":"X"},{"@type":"BreadcrumbList","itemListElement":[{"position":3,"item":{"name":"Z"}},{"position":1,"name":"H"},{"position":2,"name":"S"}]}]</script>'
-    page = crumb + '<a href="/subjects/1-one-series">One</a><a href="/subjects/2-two-series"> Two </a><a href="/subjects/1-one-series">One</a> of 1,204 results\nRefine by Fandom: Animation (1,204)\nRefine by Fandom: Animation (7)\nRefine by Series: S (3)'
+    page = crumb + '<a href="/subjects/1-one-series">One</a><a href="/subjects/2-two-series"> Two </a><a href="/subjects/1-one-series">One</a><a href="/subjects/3-series-x">no</a> of 1,204 items\nRefine by Fandom: Animation (1,204)\nRefine by Fandom: Animation (7)\nRefine by Series: S (3)'
     df = spark.createDataFrame([(1, page), (2, None)], "k long, h string")
     f = html.franchise_of(html.breadcrumbs(F.col("h")))
     got = df.orderBy("k").select(f["franchise"], html.subject_tags(F.col("h")), html.declared_total(F.col("h"))).collect()
@@ -59,6 +62,30 @@ def test_catalog_files(spark, tmp_path):
     assert catalog.read_done(spark, str(tmp_path / "bad.json")).isEmpty()
 
 
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "b", ["x"]), (0, "a", None)], "_ord long, handle string, series array<string>")
+    catalog.write_json_array(rows, str(tmp_path / "array"))
+    catalog.write_json_array(rows.limit(0), str(tmp_path / "empty"))
+    text = lambda d: "".join(p.read_text() for p in sorted((tmp_path / d).glob("part-*")))
+    assert json.loads(text("array")) == [{"handle": "a"}, {"handle": "b", "series": ["x"]}] and json.loads(text("empty")) == []
+    done = str(tmp_path / "d.json")
+    for keys in (["s1", "s2"], ["s3", "s3", None]):
+        catalog.write_done(spark.createDataFrame([(k,) for k in keys], "key string"), done)
+        assert {r["key"] for r in catalog.read_done(spark, done).collect()} == {k for k in keys if k}
+    assert not catalog.clear_done(spark, done, complete=False) and not catalog.read_done(spark, done).isEmpty()
+    assert catalog.clear_done(spark, done, complete=True) and catalog.read_done(spark, done).isEmpty()
+    names = spark.createDataFrame([("fandom", "A", 3), ("fandom", "B", 1), ("license", "C", 2)], "dim string, name string, count int")
+    catalog.write_vocabulary(names, str(tmp_path / "facets"), 2925, "2024-01-01T00:00:00Z")
+    got = {r["dim"]: r for r in spark.read.json(str(tmp_path / "facets")).collect()}
+    assert (got["fandom"]["names"], got["fandom"]["vocabulary"]["A"], got["license"]["unfilteredTotal"]) == (2, 3, 2925)
+    judged = rows.withColumn("dropped", F.col("handle") == "a")
+    catalog.write_split(judged, str(tmp_path / "kept"), str(tmp_path / "gone"))
+    assert [r["handle"] for r in spark.read.json(str(tmp_path / "kept")).collect()] == ["b"]
+    version = catalog.write_versioned(rows, str(tmp_path / "versions"))
+    assert version != catalog.write_versioned(rows, str(tmp_path / "versions")) and spark.read.parquet(version).count() == 2
+    assert spark.read.json(catalog.write_delta(rows, str(tmp_path / "delta"))).count() == 2
+
+
 def test_stream_resumes(spark, tmp_path):
     src = tmp_path / "src"
     args = (str(src), "id long", lambda b: b.withColumn("twice", F.col("id") * 2), str(tmp_path / "out"), str(tmp_path / "chk"))
