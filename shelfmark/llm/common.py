@@ -54,9 +54,20 @@ def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.Record
     pa.default_memory_pool().release_unused()
 
 
-def row_key(*columns: str) -> Column:
-    """128 bits of hash, as text, that stand for the row's values."""
-    return F.concat(F.hex(F.xxhash64(*columns)), F.lit("-"), F.hex(F.xxhash64(F.lit("row"), *reversed(columns))))
+def named(name: str) -> Column:
+    """A column by its whole name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with plain names for columns whose names ``mapInArrow`` takes for paths, and their own by these."""
+    own = {f"_col{i}": n for i, n in enumerate(df.columns) if "." in n or "`" in n}
+    by = {n: k for k, n in own.items()}
+    return df.toDF(*(by.get(n, n) for n in df.columns)), own
+
+
+def restored(df: DataFrame, own: dict[str, str]) -> DataFrame:
+    return df.toDF(*(own.get(n, n) for n in df.columns))
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:
@@ -77,6 +88,9 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[
 
     ``make`` runs once a task, so that models are built there and not for each batch.
     """
+    df, own = renamed(df)
+    by = {n: k for k, n in own.items()}
+    keep = [by.get(k, k) for k in keep]
     names = [f.split()[0] for f in schema.split(",")]
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     full = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), *([schema] if schema else [])])
@@ -92,4 +106,4 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[
                 got = fn(part)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *(pa.array(got[n], t) for n, t in zip(names, types))], [*keep, *names])
 
-    return df.mapInArrow(run, full)
+    return restored(df.mapInArrow(run, full), own)

@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import alnum_lists, alnum_words, row_key, slices, table
+from shelfmark.llm.common import alnum_lists, alnum_words, slices, table
+from shelfmark.llm.positions import FILE, ROW, placed, repeated
 from shelfmark.session import stash
 
 WINDOW = 10
@@ -325,11 +326,8 @@ def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a hit, in their own columns.
-
-    The verdict travels as 128 bits of hash of id and text of the rows that were hit, few beside the corpus.
-    """
-    keyed = docs.withColumn("_dc_key", row_key("doc_id", "text"))
-    found = hits(keyed.select(F.col("_dc_key").alias("doc_id"), "text"), benchmark)
-    bad = stash(found.filter("n_hit > 0").select(F.col("doc_id").alias("_dc_key")).distinct(), "contaminated")
-    return keyed.join(bad, "_dc_key", "left_anti").select(*docs.columns)
+    """The documents without a hit, in their own columns; only places of the rows that go travel back to the texts."""
+    rows = placed(docs)
+    found = hits(rows.select(F.concat_ws(":", FILE, ROW).alias("doc_id"), "text"), benchmark).filter("n_hit > 0")
+    at = F.split("doc_id", ":")
+    return repeated(rows, found.select(at[0].cast("long").alias(FILE), at[1].cast("long").alias(ROW), F.lit(0).alias("n")), 1)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import BLANK_WORD, table
+from shelfmark.llm.positions import FILE, ROW, placed, repeated
 from shelfmark.session import stash
 
 ONE = 1 << 24
@@ -83,11 +84,14 @@ def allot(rows: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: each document as often as it is taken, in its own columns."""
-    names = docs.columns
-    kept = docs.select(F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("_mx_tie"), F.struct(*names).alias("_mx_row"))
-    taken = allot(kept, ("_mx_tie",)).filter("copies > 0")
-    return taken.select("_mx_row", F.explode(F.sequence(F.lit(1), "copies"))).select("_mx_row.*")
+    """The mixed corpus: each document as often as it is taken, in its own columns.
+
+    Rows are ranked without their texts; the number of copies finds its row by place.
+    """
+    rows = placed(docs)
+    kept = stash(rows.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("_mx_tie"), FILE, ROW), "sizes")
+    taken = allot(kept, ("_mx_tie", FILE, ROW)).filter("copies > 0")
+    return repeated(rows, taken.select(FILE, ROW, F.col("copies").alias("n")), 0)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

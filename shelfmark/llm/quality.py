@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import fitting
-from shelfmark.llm.common import as_bytes, crc_mod, per_batch, table
+from shelfmark.llm.common import as_bytes, crc_mod, named, per_batch, table
 
 #: Bounds of the fit; they do not grow with the corpus.
 PER_CLASS = 1500
@@ -104,7 +104,7 @@ def score(docs: DataFrame, model: CompressionModel, keep: list[str], text: str =
 
         return run
 
-    return per_batch(docs.select(*dict.fromkeys([*keep, text])), make, f"{name} double", keep)
+    return per_batch(docs.select(*map(named, dict.fromkeys([*keep, text]))), make, f"{name} double", keep)
 
 
 def training_rows() -> Column:

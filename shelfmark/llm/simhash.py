@@ -10,8 +10,10 @@ never what is found). Each class is placed under its value of a part and probes
 candidates that meet under a value are verified on all 64 bits.
 
 Classes under one value are linked by a spanning forest, not by all pairs: a breadth-first walk
-compares only what no tree has reached yet, so that a group of n copies yields n - 1 links. Large
-groups are split again by their other bits. Connected components of the forest give the class ids.
+compares only what no tree has reached yet, so that a group of n copies yields n - 1 links. A
+value under which very many fingerprints meet (counted on every ``HOT_SAMPLE``-th one, which decides
+where the work is done and nothing else) is split over tasks: two within the radius agree on one of
+four quarters of their bits at least, and meet there. Large runs within a task are split likewise. Connected components of the forest give the class ids.
 
 Cases. Null and empty texts have fingerprint zero and link like any other. Texts of one or two words
 hash as one shingle. A null doc_id takes part and its component's id is the smallest id there is, or
@@ -31,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import ASCII_LOWER, as_bytes, per_batch, table
+from shelfmark.llm.common import ASCII_LOWER, as_bytes, named, per_batch, table
+from shelfmark.llm.positions import FILE, ROW, placed, repeated
 from shelfmark.operators.graph import components
 from shelfmark.session import stash
 
@@ -43,6 +46,7 @@ SAMPLE = 2048
 #: Relative costs of moving a probe and of comparing a pair.
 PROBE_COST, PAIR_COST = 1.0, 0.004
 SMALL_RUN, LARGE_RUN = 8, 20_000
+HOT_SAMPLE = 16
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -156,9 +160,9 @@ def forest(fps: np.ndarray, radius: int = RADIUS, bit: int = 0) -> list[tuple[in
     return out
 
 
-def _links(part: np.ndarray, key: np.ndarray, fp: np.ndarray, home: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the runs of equal (part, key)."""
-    cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0)) + 1
+def _links(part: np.ndarray, key: np.ndarray, sub: np.ndarray, fp: np.ndarray, home: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the runs of equal (part, key, sub)."""
+    cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0) | (np.diff(sub) != 0)) + 1
     start = np.concatenate([[0], cut])
     size = np.diff(np.append(start, len(key)))
     useful = (size > 1) & (np.add.reduceat(home.astype(np.int64), start) > 0)
@@ -179,8 +183,11 @@ def _links(part: np.ndarray, key: np.ndarray, fp: np.ndarray, home: np.ndarray,
     return np.maximum(u, v), np.minimum(u, v)
 
 
-def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(u, v)`` of fingerprints: a graph with the components of all links within the radius."""
+def links(classes: DataFrame, radius: int = RADIUS, hot: int = LARGE_RUN) -> DataFrame:
+    """``(u, v)`` of fingerprints: a graph with the components of all links within the radius.
+
+    Values under which more than about ``hot`` fingerprints meet are split over tasks.
+    """
     n = classes.count()
     sample = [r["fp"] for r in classes.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
     fitted = fit_partition(np.array(sample, np.int64).view(np.uint64), n, radius)
@@ -197,23 +204,30 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
             around = F.transform(F.array(*(F.lit(signed(x)) for x in flips)), lambda f: value.bitwiseXOR(f))  # noqa: B023
             probes.append(F.transform(F.filter(around, lambda k: k < value), lambda k: F.struct(F.lit(i).alias("part"), k.alias("key"), F.lit(False).alias("home"))))  # noqa: B023
     placed = classes.select("fp", F.explode(F.concat(*probes)).alias("p")).select("p.part", "p.key", "p.home", "fp")
-    runs = placed.repartition("part", "key").sortWithinPartitions("part", "key")
+    # few rows: one for each value that some ``hot`` placed fingerprints share
+    often = placed.filter(F.pmod(F.xxhash64("fp"), F.lit(HOT_SAMPLE)) == 0).groupBy("part", "key").agg(F.count("*").alias("n")).filter(F.col("n") * HOT_SAMPLE > hot)
+    often = stash(often.select("part", "key", F.lit(True).alias("often")), "hot-values")
+    width = 64 // (radius + 1)
+    quarters = F.array(*(F.lit(k << width) + F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1)) + 1 for k in range(radius + 1)))
+    spread = F.explode(F.when(F.col("often"), quarters).otherwise(F.array(F.lit(0).cast("long"))))
+    placed = placed.join(often, ["part", "key"], "left").select("part", "key", "home", "fp", spread.alias("sub"))
+    runs = placed.repartition("part", "key", "sub").sortWithinPartitions("part", "key", "sub")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[list[np.ndarray]] = []  # batches of the run that is open, joined once it ends
         out = lambda u, v: pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (u, v)], ["u", "v"])
         joined = lambda: [np.concatenate(x) for x in zip(*kept)]
         for batch in batches:
-            now = [batch.column("part").to_numpy(), batch.column("key").to_numpy(), batch.column("fp").to_numpy().view(np.uint64), batch.column("home").to_numpy(zero_copy_only=False)]
+            now = [batch.column("part").to_numpy(), batch.column("key").to_numpy(), batch.column("sub").to_numpy(), batch.column("fp").to_numpy().view(np.uint64), batch.column("home").to_numpy(zero_copy_only=False)]
             if not len(now[0]):
                 continue
-            goes_on = kept and kept[0][0][0] == now[0][-1] and kept[0][1][0] == now[1][-1]
+            goes_on = kept and all(kept[0][i][0] == now[i][-1] for i in range(3))
             kept.append(now)
             if goes_on:  # rows are sorted: this whole batch is of the open run
                 continue
             whole = joined()
             # the last run may go on in the next batch
-            change = np.flatnonzero((whole[1] != whole[1][-1]) | (whole[0] != whole[0][-1]))
+            change = np.flatnonzero((whole[2] != whole[2][-1]) | (whole[1] != whole[1][-1]) | (whole[0] != whole[0][-1]))
             cut = change[-1] + 1 if len(change) else 0
             kept = [[a[cut:] for a in whole]]
             if cut:
@@ -224,10 +238,10 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return runs.mapInArrow(run, "u long, v long")
 
 
-def grouped(prints: DataFrame) -> DataFrame:
+def grouped(prints: DataFrame, hot: int = LARGE_RUN) -> DataFrame:
     """Add ``component_id``, the least id or null, and ``component``, the least print, to written rows of ``doc_id, fp``."""
     classes = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    joined = components(links(classes.select("fp")))
+    joined = components(links(classes.select("fp"), hot=hot))
     ids = classes.join(joined, classes["fp"] == joined["node"])
     least = ids.groupBy("component").agg(F.min("rep").alias("component_id"))
     moved = joined.join(least, "component").select(F.col("node").alias("fp"), "component_id", "component")
@@ -236,20 +250,19 @@ def grouped(prints: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """One document of each group, that of the smallest id, in its own columns."""
-    keyed = docs.withColumn("_sh_key", F.xxhash64("doc_id", "text"))
-    prints = stash(fingerprints(keyed.select(F.col("_sh_key"), F.col("doc_id").cast("long").alias("doc_id"), "text"), ["_sh_key", "doc_id"]), "prints")
+    """One document of each group, that of the smallest id (null ids last, ties by hash, then place), in its own columns.
+
+    Only places of the rows that go travel back to the texts.
+    """
+    rows = placed(docs)
+    tie = F.xxhash64(*(named(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
+    narrow = rows.select(FILE, ROW, F.col("doc_id").cast("long").alias("doc_id"), tie.alias("tie"), "text")
+    prints = stash(fingerprints(narrow, [FILE, ROW, "doc_id", "tie"]), "prints")
     # by the component itself, as its least id may be null or stand in another one too
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_key")
-    first = grouped(prints).groupBy("component").agg(F.min(order).alias("m"))
-    chosen = stash(first.select(F.col("m._sh_key").alias("_sh_key")), "chosen")
-    gone = stash(prints.join(chosen, "_sh_key", "left_anti").select("_sh_key").distinct(), "gone")
-    left = keyed.join(gone, "_sh_key", "left_anti")
-    twice = stash(prints.groupBy("_sh_key").count().filter("count > 1").select("_sh_key").join(chosen, "_sh_key", "left_semi"), "twice")
-    if not twice.isEmpty():  # rows repeated in full: one of them stays
-        once = left.join(twice, "_sh_key", "left_semi").dropDuplicates(["_sh_key"])
-        left = left.join(twice, "_sh_key", "left_anti").unionByName(once)
-    return left.select(*docs.columns)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "tie", FILE, ROW)
+    chosen = stash(grouped(prints).groupBy("component").agg(F.min(order).alias("m")).select(f"m.{FILE}", f"m.{ROW}"), "chosen")
+    gone = prints.select(FILE, ROW).join(chosen, [FILE, ROW], "left_anti").withColumn("n", F.lit(0))
+    return repeated(rows, gone, 1)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

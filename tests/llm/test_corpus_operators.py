@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontam, mixing, simhash, token_files, url_filter
+from shelfmark.llm import chat, decontam, mixing, positions, simhash, token_files, url_filter
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -143,6 +143,48 @@ def test_links_lose_no_component(spark, seed, spread):
     assert dict(tuples(got, "doc_id", "component_id")) == want
 
 
+@pytest.mark.parametrize("seed,hot", [(3, 30), (4, 5), (5, 1)])
+def test_hot_values_are_split_without_loss(spark, seed, hot):
+    """Few bits ever change, so that all parts but one have the same value in every fingerprint."""
+    rng = random.Random(seed)
+    bits = rng.sample(range(64), 12)
+    fps = sorted({sum(rng.getrandbits(1) << b for b in bits) | 1 << 63 for _ in range(250)})
+    signed = [f - (1 << 64) for f in fps]
+    classes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    got = simhash.grouped(spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long"), hot=hot)
+    assert dict(tuples(got, "doc_id", "component_id")) == brute.components(list(enumerate(fps)))
+    edges = {tuple(r) for r in simhash.links(classes, hot=hot).collect()}
+    assert edges and all((a ^ b).bit_count() <= 3 for a, b in edges)
+
+
+def test_dedup_of_repeated_rows_and_odd_columns(spark):
+    rows = [(1, "a b c d", "x", "s"), (1, "a b c d", "y", "s"), (1, "a b c d", "y", "s"), (2, "quite another text of words", "x", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, `odd.name` string").withColumn("m", F.create_map("lang", "lang")).withColumn("_metadata", F.lit("own"))
+    kept = simhash.dedup(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    assert {r["_metadata"] for r in kept.collect()} == {"own"}
+    assert len({tuple(r["lang"] for r in simhash.dedup(docs.repartition(n)).orderBy("doc_id").collect()) for n in (1, 2, 3)}) == 1
+
+
+def test_rows_are_found_by_place(spark, tmp_path):
+    rng = random.Random(14)
+    made = [(i % 7, f"text {i % 5}", None if i % 3 else "x") for i in range(300)]
+    spark.createDataFrame(made, "doc_id long, text string, `a.b` string").repartition(5).write.parquet(f"{tmp_path}/docs")
+    frames = [spark.read.parquet(f"{tmp_path}/docs"), spark.read.parquet(f"{tmp_path}/docs").groupBy("doc_id", "text", "`a.b`").agg(F.count("*").alias("k")), spark.createDataFrame([], "doc_id long, text string")]
+    for docs in frames:
+        at = positions.placed(docs)
+        places = at.select(positions.FILE, positions.ROW).collect()
+        assert len(set(places)) == len(places) == docs.count()
+        for others in (0, 1, 2):
+            n = {tuple(p): rng.randint(0, 4) for p in places if rng.random() < 0.6}
+            counts = spark.createDataFrame([(*p, k) for p, k in n.items()], f"{positions.FILE} long, {positions.ROW} long, n int")
+            want = Counter()
+            for r in at.collect():
+                want[tuple(r)[:-2]] += n.get(tuple(r)[-2:], others)
+            got = positions.repeated(at, counts, others)
+            assert got.columns == docs.columns and Counter(map(tuple, got.collect())) == +want
+
+
 def test_runs_over_many_batches(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
