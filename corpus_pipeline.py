@@ -22,7 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     scores. A null id has no label and is scored. Without labels nothing is rejected.
     """
     model = quality.train(docs, table(spark, sf_dir, "labels"), quality.training_rows())
-    return quality.score(docs, model, docs.columns, name="_q_score").filter("_q_score >= 0.5").select(*docs.columns)
+    return quality.score(docs, model, docs.columns, name="_q_score").filter("_q_score >= 0.5").drop("_q_score")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/shelfmark/{label}-{uuid.uuid4().hex}"
 
 
+def stash_path(spark: SparkSession, label: str) -> str:
+    """A path for files that go when the ``scratch`` around it ends."""
+    path = fresh_path(spark, label)
+    for made in _scratch:
+        made.append(path)
+    return path
+
+
 def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     """Write once to the shared folder and read back.
 
@@ -55,9 +63,7 @@ def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     unlike ``checkpoint()`` it runs the plan once rather than twice. The files go when the ``scratch``
     around it ends, or by ``drop_stash``.
     """
-    path = fresh_path(df.sparkSession, label)
-    for made in _scratch:
-        made.append(path)
+    path = stash_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
