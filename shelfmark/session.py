@@ -11,6 +11,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch that has whole texts.
+BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _own_dir: list[str] = []
 _scratch: list[list[str]] = []
 
@@ -63,9 +67,20 @@ def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     unlike ``checkpoint()`` it runs the plan once rather than twice. The files go when the ``scratch``
     around it ends, or by ``drop_stash``.
     """
-    path = stash_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = stash_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Have the session send Arrow batches of at most ``rows`` rows to Python and back.
+
+    Spark's default suits narrow rows. Rows with whole texts fill buffers on both sides of the pipe that
+    the JVM's and the worker's allocators then keep. A smaller number that the session has stays.
+    """
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= rows:
+        spark.conf.set(BATCH_KEY, str(rows))
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
