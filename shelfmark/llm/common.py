@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.session import small_batches
+
 #: Words between blanks: maximal runs of anything but U+0020 and U+0009..U+000D. ``bytes.split()`` uses the same six characters.
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,14 +48,37 @@ def alnum_lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, counts
 
 
+@cache
+def _libc() -> ctypes.CDLL | None:
+    """The C library of a worker, told to hand large blocks back at once; Arrow draws on it too.
+
+    Workers live on and share their executor's memory, so what allocators keep for later adds up.
+    """
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD, and no longer growing with what is freed
+        libc.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library, which has its own ways
+        return None
+    pa.set_memory_pool(pa.system_memory_pool())
+    return libc
+
+
+def give_back() -> None:
+    """At the end of a task: return what the allocators keep."""
+    pa.default_memory_pool().release_unused()
+    if libc := _libc():
+        libc.malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in slices whose texts have about ``size`` bytes, or one longer text."""
+    _libc()
     length = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
     cuts = [0, *(np.flatnonzero(np.diff((np.cumsum(length) - length) // size)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if a < b:
             yield batch.slice(a, b - a)
-    pa.default_memory_pool().release_unused()
 
 
 def named(name: str) -> Column:
@@ -88,6 +115,7 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[
 
     ``make`` runs once a task, so that models are built there and not for each batch.
     """
+    small_batches(df.sparkSession)
     df, own = renamed(df)
     by = {n: k for k, n in own.items()}
     keep = [by.get(k, k) for k in keep]
@@ -101,9 +129,10 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[
         fn = None
         for batch in batches:
             fn = fn or make()
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
                 got = fn(part)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *(pa.array(got[n], t) for n, t in zip(names, types))], [*keep, *names])
+        give_back()
 
     return restored(df.mapInArrow(run, full), own)

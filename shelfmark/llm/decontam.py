@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import alnum_lists, alnum_words, slices, table
+from shelfmark.llm.common import alnum_lists, alnum_words, give_back, slices, table
 from shelfmark.llm.positions import FILE, ROW, placed, repeated
-from shelfmark.session import stash
+from shelfmark.session import small_batches, stash
 
 WINDOW = 10
 SHARD_WORDS = 500_000
@@ -159,7 +159,10 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
                     held, n, n_docs = [], 0, 0
         if held:
             yield shard(*map(list, zip(*held)))
+        held = []
+        give_back()
 
+    small_batches(docs.sparkSession)
     return stash(rows.mapInArrow(run, schema), "postings")
 
 
@@ -288,6 +291,7 @@ def search(index: DataFrame, queries: Queries) -> DataFrame:
                     + [pa.array([sorted(s) for s in x], names) for x in (items, [c - i for c, i in zip(close, items)])],
                     [f.split()[0] for f in schema.split(", ")],
                 )
+        give_back()
 
     return index.mapInArrow(run, schema)
 

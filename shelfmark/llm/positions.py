@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import renamed, restored, slices
-from shelfmark.session import stash, stash_path
+from shelfmark.llm.common import give_back, renamed, restored, slices
+from shelfmark.session import small_batches, stash, stash_path
 
 FILE, ROW = "_ps_file", "_ps_row"
 
@@ -77,6 +77,8 @@ def repeated(docs: DataFrame, counts: DataFrame, others: int) -> DataFrame:
                 left = batch.filter(pa.array(n > k))
                 if left.num_rows:
                     yield pa.RecordBatch.from_arrays(left.columns[:-2], schema.names)
+        give_back()
 
+    small_batches(docs.sparkSession)
     return restored(docs.select(*schema.names, FILE, ROW).mapInArrow(run, schema), own)
 

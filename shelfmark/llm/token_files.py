@@ -43,8 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import slices, table
-from shelfmark.session import drop_stash, fresh_path, stash
+from shelfmark.llm.common import give_back, slices, table
+from shelfmark.session import drop_stash, fresh_path, small_batches, stash
 
 END_ID = 0
 SHARD_IDS = 16_000_000
@@ -391,7 +391,9 @@ def encoded(docs: DataFrame, tokenizer: str, bounds: np.ndarray, null_ranges: in
             edges = np.append(0, np.cumsum(sizes)) * encoder.dtype.itemsize
             made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(ids)]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(place, pa.int32()), keys, tie, made], ["range", "doc_id", "tie", "ids"])
+        give_back()
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, "range int, doc_id long, tie long, ids binary")
 
 
@@ -439,6 +441,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, shard_ids: int = SHARD_I
                     sub, total, ids, lengths, payload = sub + 1, 0, [], [], []
         if ids:
             yield flush()
+        ids, lengths, payload = [], [], []
+        give_back()
 
     schema = ", ".join(f"{n} long" for n in MANIFEST)
     written = stash(rows.mapInArrow(run, schema), "written")
