@@ -248,6 +248,9 @@ def read_pages(pages: DataFrame, reader: Callable[[str | None], list[dict] | dic
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], batch.column(key).type), pa.array([r[1] for r in rows], pa.int32()), *(pa.array([value(r[2], n) for r in rows], t) for n, t in zip(names, types))], [key, "pos", *names])
 
     kind = dict(pages.dtypes)[key]
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    if pages.rdd.getNumPartitions() < cores:  # parsing costs far more than moving the pages of so few splits
+        pages = pages.repartition(cores)
     return pages.select(key, "html").mapInArrow(run, f"{key} {kind}, pos int, {schema}")
 
 
