@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import alignment, chat, decontam, licenses, mixing, quality, rules, simhash, token_files, toxicity, url_filter
+from shelfmark.llm import alignment, chat, decontam, licenses, mixing, order_minhash, prefix_trie, quality, rules, simhash, token_files, toxicity, url_filter
 from shelfmark.llm.sql import ORACLES
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_simhash": simhash.op9_simhash,
     "op10_chat": chat.op10_chat,
+    "op11_trie": prefix_trie.op11_trie,
+    "op12_fingerprint": order_minhash.op12_fingerprint,
     "op13_align": alignment.op13_align,
     "op6_near": decontam.op6_near,
 }

@@ -1,12 +1,12 @@
 """DuckDB SQL of those queries that SQL can express.
 
 The others have none: op1's mined rules, op2's and op3's fitted models, op7's bounded-error matches,
-op8's tokenizer, op9's hashes and op10's traced repairs; their tests compare with brute force.
+op8's and op13's tokenizers, op9's and op12's hashes and op10's traced repairs; their tests compare with brute force.
 """
 
 from __future__ import annotations
 
-from shelfmark.llm import mixing, rules
+from shelfmark.llm import mixing, prefix_trie, rules
 
 DECONTAM = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -23,4 +23,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
 """
 
-ORACLES = {"op4_mixing": mixing.ORACLE, "op5_rules": rules.ORACLE, "op6_decontam": DECONTAM}
+ORACLES = {"op4_mixing": mixing.ORACLE, "op5_rules": rules.ORACLE, "op6_decontam": DECONTAM, "op11_trie": prefix_trie.ORACLE}
