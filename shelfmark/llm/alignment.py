@@ -9,7 +9,8 @@ dangles, a group closes. Transitions are memoised by (side, suffix, next token).
 A text is cut at blanks between two characters that are no white space. Neither tokenizer has a token
 over such a cut (the first splits before the blank, no piece of the second has its blank mark behind
 another character), so nothing dangles there and the run over a text is that over its words one after
-the other. A worker keeps each distinct word's groups in a table, which is cleared when it is full.
+the other. A worker keeps each distinct word's groups in a table; when it is full, the half of it
+that was met least often goes.
 
 Counts. Tasks write blocks of some documents: each document's distinct words, the words' links, and in
 how many of the block's documents each id pair is linked. Blocks' sums are added up by pair, a pair's
@@ -26,6 +27,7 @@ no rows. Columns other than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -45,14 +47,18 @@ from shelfmark.session import small_batches, stash
 
 #: A block closes at so many distinct words of documents, counted by document.
 BLOCK_ENTRIES = 1_000_000
-#: Characters of words that a worker's table holds, and its words; beyond either it is cleared.
-TABLE_CHARS, TABLE_WORDS = 16_000_000, 200_000
-#: Words that are sent to the tokenizers as one text.
-TOGETHER = 2000
+#: Characters of words that a worker's table holds, and its words.
+TABLE_CHARS, TABLE_WORDS = 16_000_000, 400_000
+#: Words that are sent to the tokenizers as one text, and characters of a word that is sent alone.
+TOGETHER, LONG = 2000, 1000
+#: Bytes of text that are worked on at a time.
+SLICE = 2_000_000
+#: States of the transducer that are remembered.
+MEMO_STATES = 200_000
 #: A blank that both tokenizers cut at: with characters on both sides that are no white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Where splitting at every blank is not the same as ``CUT``.
-ODD = re.compile(r"\A\s|\s\s|\s\Z")
+#: White space other than blanks and line ends; texts that have it are cut by the pattern.
+RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -68,8 +74,16 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: How a byte-level vocabulary's text is cut before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class Pair:
-    """The two tokenizers, and the bytes of each of their ids."""
+    """The two tokenizers, and the bytes of each of their ids.
+
+    A byte-level vocabulary whose ids ascend with its merges is what rank files hold, and the library for
+    those finds the same ids in a quarter of the time; tests compare the two. Others go to their own.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,67 +101,101 @@ class Pair:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes[1].append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.by_rank = self._by_rank(path_a)
+
+    def _by_rank(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, cut_by = file["model"], file["pre_tokenizer"] or {}
+        if model["type"] != "BPE" or file["normalizer"] or model.get("ignore_merges") or cut_by.get("type") != "ByteLevel" or cut_by["add_prefix_space"] or not cut_by["use_regex"]:
+            return None
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged) or len(merged) + 256 != len(model["vocab"]):
+            return None
+        return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={self.bytes[0][i]: i for i in model["vocab"].values()}, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        if self.by_rank:
+            a = [self.by_rank.encode_ordinary(" " + t) for t in texts]
+        else:
+            a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         return list(zip(a, self.b.encode(texts, num_threads=1)))
 
 
 class Transducer:
-    """State: the side that leads (0 or 1) and its bytes that the other side has not covered."""
+    """State 0: nothing dangles. Other states: the side that leads (0 or 1) and its bytes that the other has not covered."""
 
     def __init__(self, token_bytes: tuple[list[bytes], list[bytes]]):
         self.bytes = token_bytes
-        self.memo: dict[tuple[int, bytes, int], tuple[int, bytes] | None] = {}
-
-    def step(self, side: int, suffix: bytes, token: int) -> tuple[int, bytes] | None:
-        """The state after ``token`` of ``side``, which lags behind by ``suffix``; None if the bytes differ."""
-        key = (side, suffix, token)
-        if key in self.memo:
-            return self.memo[key]
-        own = self.bytes[side][token]
+        self.width = len(token_bytes[1])
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[tuple[int, bytes], int] = {(1, b""): 0}
+        self.states: list[tuple[int, bytes]] = [(1, b"")]
+        #: The side whose token comes next, and the next state by that token; -1 where the bytes differ.
+        self.lags: list[int] = [0]
+        self.moves: list[dict[int, int]] = [{}]
+
+    def _step(self, state: int, token: int) -> int:
+        """The state after a token that the memo does not have."""
+        lead, suffix = self.states[state]
+        own = self.bytes[1 - lead][token]
         if not own:
-            out = None
+            to = None  # a token without bytes spells nothing
         elif suffix.startswith(own):
-            out = (1 - side, suffix[len(own) :])
+            to = (lead, suffix[len(own) :])
         elif own.startswith(suffix):
-            out = (side, own[len(suffix) :])
+            to = (1 - lead, own[len(suffix) :])
         else:
-            out = None
-        if len(self.memo) > 1_000_000:
-            self.memo.clear()
-        self.memo[key] = out
-        return out
-
-    def run(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]] | None:
-        """Group ends as ``(tokens of A, tokens of B)`` so far, and links; None if the sides spell other bytes."""
-        at, sides, last = [0, 0], (a, b), [-1, -1]
-        lead, suffix = 1, b""
-        ends, links = [], []
-        while at[0] < len(a) or at[1] < len(b):
-            side = 1 - lead if suffix else 0
-            if at[side] == len(sides[side]):
-                return None
-            token = sides[side][at[side]]
-            at[side] += 1
-            last[side] = token
-            if suffix:
-                links.append((last[0], last[1]))
-            state = self.step(side, suffix, token)
-            if state is None:
-                return None
-            lead, suffix = state
-            if not suffix:
-                ends.append((at[0], at[1]))
-        return None if suffix else (ends, links)
-
-
-def rendered(a: list[int], b: list[int], ends: list[tuple[int, int]]) -> str:
-    out, i, j = [], 0, 0
-    for x, y in ends:
-        out.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-        i, j = x, y
-    return ";".join(out)
+            to = None
+        number = -1
+        if to:
+            to = to if to[1] else (1, b"")
+            number = self.numbers.setdefault(to, len(self.states))
+            if number == len(self.states):
+                self.states.append(to)
+                self.lags.append(1 - to[0])
+                self.moves.append({})
+        self.moves[state][token] = number
+        return number
+
+    def run(self, a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int]] | None:
+        """Tokens of A and of B at each group's end, and links as ``a * width + b``; None if the sides spell other bytes."""
+        if len(self.states) > MEMO_STATES:
+            self.forget()
+        moves, lags, width = self.moves, self.lags, self.width
+        opening, step = moves[0], self._step
+        ends_a, ends_b, links = [], [], []
+        i = j = 0
+        try:
+            while i < len(a):
+                x = a[i]
+                i += 1
+                state = opening.get(x)
+                if state is None:
+                    state = step(0, x)
+                if state < 0:
+                    return None
+                while state:
+                    if lags[state]:
+                        token = y = b[j]
+                        j += 1
+                    else:
+                        token = x = a[i]
+                        i += 1
+                    links.append(x * width + y)
+                    to = moves[state].get(token)
+                    state = step(state, token) if to is None else to
+                    if state < 0:
+                        return None
+                ends_a.append(i)
+                ends_b.append(j)
+        except IndexError:  # one side ends while the other dangles
+            return None
+        return (ends_a, ends_b, links) if j == len(b) else None
 
 
 class Words:
@@ -156,31 +204,75 @@ class Words:
     def __init__(self, path_a: str, path_b: str):
         self.pair = Pair(path_a, path_b)
         self.transducer = Transducer(self.pair.bytes)
-        self.width = self.pair.b.get_piece_size()
-        self.clear()
-
-    def clear(self) -> None:
+        self.sizes_a = np.array([len(x) for x in self.pair.bytes[0]], np.int64)
+        self.digits = [str(i) for i in range(max(map(len, self.pair.bytes)))]
         self.known: dict[str, int] = {}
-        self.chars = 0
         self.groups: list[str] = []
-        #: Tokens of A and B, groups, links; a word that is not spelled again has -1.
-        self.sizes: list[tuple[int, int, int, int]] = []
-        self.links: list[np.ndarray] = []
+        self.met = np.zeros(0, np.int64)
+        #: Tokens of A and B, groups and links by word; a word that is not spelled again has -1 tokens.
+        self._sizes: list[np.ndarray] = [np.zeros((0, 4), np.int64)]
+        self._links: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.chars = 0
+
+    def sizes(self) -> np.ndarray:
+        if len(self._sizes) > 1:
+            self._sizes = [np.concatenate(self._sizes)]
+        return self._sizes[0]
+
+    def links(self) -> np.ndarray:
+        """Links of all words one after the other."""
+        if len(self._links) > 1:
+            self._links = [np.concatenate(self._links)]
+        return self._links[0]
+
+    def links_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of these words one after the other, and how many each has."""
+        n = self.sizes()[:, 3]
+        start, size = (np.cumsum(n) - n)[codes], n[codes]
+        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return self.links()[at], size
 
     def full(self) -> bool:
         return self.chars > TABLE_CHARS or len(self.known) > TABLE_WORDS
 
-    def _put(self, word: str, a: list[int], b: list[int], found: tuple | None) -> None:
-        self.known[word] = len(self.groups)
-        self.chars += len(word)
-        ends, links = found or ([], [])
-        self.groups.append(rendered(a, b, ends))
-        self.sizes.append((len(a), len(b), len(ends), len(links)) if found else (-1, 0, 0, 0))
-        self.links.append(np.array([x * self.width + y for x, y in links], np.int64))
+    def shed(self) -> None:
+        """The half of the words that was met least often goes; the others get new numbers."""
+        self.met = np.append(self.met, np.zeros(len(self.known) - len(self.met), np.int64))
+        at = np.sort(np.argsort(self.met, kind="stable")[len(self.met) // 2 :])
+        links, _ = self.links_of(at)
+        words = list(self.known)
+        self.known = {words[i]: k for k, i in enumerate(at.tolist())}
+        self.groups = [self.groups[i] for i in at.tolist()]
+        self._sizes, self._links, self.met = [self.sizes()[at]], [links], self.met[at] // 2
+        self.chars = sum(map(len, self.known))
+        if self.chars > TABLE_CHARS // 2:  # a few words of great length
+            self.known, self.groups, self.chars, self.met = {}, [], 0, self.met[:0]
+            self._sizes, self._links = [self.sizes()[:0]], [links[:0]]
+
+    def _put(self, words: list[str], groups: list[str], sizes: np.ndarray, links: list[int]) -> None:
+        self.known.update(zip(words, range(len(self.groups), len(self.groups) + len(words))))
+        self.groups += groups
+        self.chars += sum(map(len, words))
+        self._sizes.append(sizes)
+        self._links.append(np.array(links, np.int64))
+
+    def _rendered(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> list[str]:
+        digits, out, i, j = self.digits, [], 0, 0
+        for x, y in zip(ends_a, ends_b):
+            if x - i == 1 and y - j == 1:
+                out.append(digits[a[i]] + "|" + digits[b[j]])
+            else:
+                out.append(",".join([digits[t] for t in a[i:x]]) + "|" + ",".join([digits[t] for t in b[j:y]]))
+            i, j = x, y
+        return out
 
     def _alone(self, words: list[str]) -> None:
         for word, (a, b) in zip(words, self.pair.encode(words)):
-            self._put(word, a, b, self.transducer.run(a, b))
+            found = self.transducer.run(a, b)
+            if found is None:
+                self._put([word], [""], np.array([[-1, 0, 0, 0]]), [])
+            else:
+                self._put([word], [";".join(self._rendered(a, b, *found[:2]))], np.array([[len(a), len(b), len(found[0]), len(found[2])]]), found[2])
 
     def _together(self, words: list[str]) -> bool:
         """Words as one text, in which nothing dangles between two of them; False if that does not hold."""
@@ -188,33 +280,26 @@ class Words:
         found = self.transducer.run(a, b)
         if found is None:
             return False
-        sizes = self.pair.bytes[0]
-        ends, links = found
-        out, e, i, j, k = [], 0, 0, 0, 0
-        for word in words:
-            left, first, own = len(word.encode()) + 1, (i, j), []
-            while left > 0 and e < len(ends):
-                x, y = ends[e]
-                left -= sum(len(sizes[t]) for t in a[i:x])
-                own.append((x - first[0], y - first[1]))
-                i, j, e = x, y, e + 1
-            if left:
-                return False
-            n = (i - first[0]) + (j - first[1]) - len(own)
-            out.append((word, a[first[0] : i], b[first[1] : j], (own, links[k : k + n])))
-            k += n
-        for row in out:
-            self._put(*row)
+        ends_a, ends_b, links = found
+        of_a, of_b = np.array(ends_a), np.array(ends_b)
+        group_ends = np.cumsum(self.sizes_a[np.array(a)])[of_a - 1]
+        word_ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        last = np.searchsorted(group_ends, word_ends)  # a word ends where a group does
+        if last[-1] >= len(group_ends) or (group_ends[last] != word_ends).any():
+            return False
+        n = [np.diff(x, prepend=0) for x in (of_a[last], of_b[last], last + 1)]
+        made, at = self._rendered(a, b, ends_a, ends_b), [0, *(last + 1).tolist()]
+        self._put(words, [";".join(made[i:j]) for i, j in zip(at, at[1:])], np.stack([*n, n[0] + n[1] - n[2]], 1), links)
         return True
 
     def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        plain_set = set(plain)
-        for i in range(0, len(plain), TOGETHER):
-            part = plain[i : i + TOGETHER]
+        plain = {w: None for w in words if w and not w[0].isspace() and not w[-1].isspace() and len(w) < LONG}
+        asked = list(plain)
+        for i in range(0, len(asked), TOGETHER):
+            part = asked[i : i + TOGETHER]
             if not self._together(part):
                 self._alone(part)
-        if rest := [w for w in words if w not in plain_set]:
+        if rest := [w for w in words if w not in plain]:
             self._alone(rest)
 
 
@@ -225,7 +310,8 @@ def words_of(path_a: str, path_b: str) -> Words:
 
 
 def cut(text: str) -> list[str]:
-    return CUT.split(text) if ODD.search(text) else text.split(" ")
+    plain = not (text[0].isspace() or text[-1].isspace() or any(x in text for x in ("  ", " \n", "\n ")) or any(c in text for c in RARE))
+    return text.split(" ") if plain else CUT.split(text)
 
 
 @dataclass
@@ -240,25 +326,26 @@ class Block:
     entries: int = 0
 
 
-def _csr(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(p) for p in parts], np.int64)
-    return (np.concatenate(parts) if parts else np.zeros(0, np.int64)), sizes
-
-
 def _add(block: Block, words: Words, batch: pa.RecordBatch, text_out: bool) -> None:
     """One slice of documents."""
     doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-    lists = [cut(t) if t else [] for t in texts]
-    get = words.known.get
-    new = dict.fromkeys(w for ws in lists for w in ws if get(w) is None)
+    found, unknown, new = [], {}, {}
+    for d, text in enumerate(texts):
+        ws = cut(text) if text else []
+        at = list(map(words.known.get, ws))
+        if None in at:
+            unknown[d] = ws
+            new.update((w, None) for w, i in zip(ws, at) if i is None)
+        found.append(at)
     if new:
         words.learn(list(new))
-    groups, sizes = words.groups, words.sizes
-    owners, uniq, times = [], [], []
-    for d, ws in enumerate(lists):
-        at = list(map(words.known.__getitem__, ws))
+        for d, ws in unknown.items():
+            found[d] = list(map(words.known.__getitem__, ws))
+    groups, sizes = words.groups, words.sizes()
+    owners, uniq = [], []
+    for d, at in enumerate(found):
         code, n = np.unique(np.array(at, np.int64), return_counts=True)
-        size = np.array([sizes[c] for c in code.tolist()], np.int64).reshape(-1, 4)
+        size = sizes[code]
         if not len(code) or size[:, 0].min() < 0:
             block.rows.append((doc_ids[d], 0, 0, 0, 0, ""))
             code, n = code[:0], n[:0]
@@ -270,24 +357,18 @@ def _add(block: Block, words: Words, batch: pa.RecordBatch, text_out: bool) -> N
         block.entries += len(code)
         owners.append(np.full(len(code), d))
         uniq.append(code)
-        times.append(n)
     owner, code = np.concatenate(owners), np.concatenate(uniq)
+    words.met = np.append(words.met, np.zeros(len(groups) - len(words.met), np.int64))
+    words.met += np.bincount(code, minlength=len(groups))
     if not len(code):
         return
-    # distinct pairs of each document, then documents by pair
-    links, n_links = _csr([words.links[c] for c in code.tolist()])
-    pair, n_docs = np.unique(_distinct(np.repeat(owner, n_links), links), return_counts=True)
-    block.pairs.append(pair)
-    block.docs.append(n_docs)
-
-
-def _distinct(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The values of distinct (owner, value)."""
-    order = np.lexsort((value, owner))
-    o, v = owner[order], value[order]
-    keep = np.ones(len(o), bool)
-    keep[1:] = (o[1:] != o[:-1]) | (v[1:] != v[:-1])
-    return v[keep]
+    # distinct pairs of each document, then documents by pair; a slice has less than 2**24 documents
+    links, n_links = words.links_of(code)
+    held = np.sort(links << 24 | np.repeat(owner, n_links))
+    held = held[np.append(True, held[1:] != held[:-1])] >> 24
+    first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+    block.pairs.append(held[first])
+    block.docs.append(np.diff(np.append(first, len(held))))
 
 
 #: Rows of a block: documents (kind 0), words with their links (1), pairs with their documents (2).
@@ -308,7 +389,7 @@ def _closed(block: Block, words: Words, number: int, id_type: pa.DataType) -> It
         rows = zip(block.rows[i : i + 500], block.codes[i : i + 500], block.times[i : i + 500])
         yield batch([(number, 0, *r, np.searchsorted(all_codes, c), t) for r, c, t in rows])
     # words' links by word, in pieces of whole words; ys has the number of links of each word
-    links, sizes = _csr([words.links[c] for c in all_codes.tolist()])
+    links, sizes = words.links_of(all_codes)
     edges = np.append(0, np.cumsum(sizes))
     start = 0
     while start < len(sizes):
@@ -385,14 +466,14 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, text_out: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, block = words_of(path_a, path_b), Block()
         number, id_type = TaskContext.get().partitionId() << 24, pa.int64()
-        for batch in chain.from_iterable(map(slices, batches)):
+        for batch in chain.from_iterable(slices(b, SLICE) for b in batches):
             id_type = batch.schema.field("doc_id").type
             _add(block, words, batch, text_out)
             if block.entries >= entries or words.full():
                 yield from _closed(block, words, number, id_type)
                 number, block = number + 1, Block()
                 if words.full():
-                    words.clear()
+                    words.shed()
         if block.rows:
             yield from _closed(block, words, number, id_type)
         give_back()

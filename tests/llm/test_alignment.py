@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,12 @@ def test_equals_brute_force(spark, docs, pair, monkeypatch, entries):
     assert rows_of(alignment.align(df, text_out=False).documents()) == brute(rows, pair)
 
 
+def test_rank_library_equals_the_vocabularys_own(pair, docs):
+    assert pair.by_rank
+    texts = [r[0] or "" for r in docs.select("text").collect()] + ODD
+    assert [pair.by_rank.encode_ordinary(" " + t) for t in texts] == [e.ids for e in pair.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def test_nulls_empty_tables_and_real_output(spark, none, pair):
     assert alignment.align(none).documents().count() == 0
     df = spark.createDataFrame([(None, "hello world"), (None, None), (3, "hello world")], "doc_id long, text string")
@@ -76,18 +83,25 @@ def test_nulls_empty_tables_and_real_output(spark, none, pair):
 
 def test_transducer_keeps_the_dangling_side():
     t = alignment.Transducer(([b"ab", b"c", b"abc", b"x"], [b"a", b"bc", b"abc"]))
-    assert t.step(0, b"", 0) == (0, b"ab")
-    assert t.step(1, b"ab", 0) == (0, b"b") and t.step(1, b"b", 1) == (1, b"c")
-    assert t.run([0, 1], [0, 1]) == ([(2, 2)], [(0, 0), (0, 1), (1, 1)])
-    assert t.run([2, 2], [2, 2]) == ([(1, 1), (2, 2)], [(2, 2), (2, 2)])
-    assert t.run([3], [0]) is None and t.run([2], [0]) is None and t.run([0], [2]) is None
-    assert (1, b"b", 1) in t.memo
-
-
-def test_a_full_table_is_cleared(spark, pair, monkeypatch):
+    w = t.width
+    assert t.run([0, 1], [0, 1]) == ([2], [2], [0, 1, w + 1])
+    assert (0, b"ab") in t.states and (0, b"b") in t.states and (1, b"c") in t.states
+    assert t.moves[t.numbers[(0, b"b")]] == {1: t.numbers[(1, b"c")]}
+    assert t.run([2, 2], [2, 2]) == ([1, 2], [1, 2], [2 * w + 2] * 2)
+    assert t.run([3], [0]) is None and t.run([2], [0]) is None and t.run([0], [2]) is None and t.run([], [0]) is None
+    assert t.run([], []) == ([], [], [])
+
+
+def test_a_full_table_sheds_half_and_keeps_its_answers(spark, docs, pair, monkeypatch):
+    monkeypatch.setattr(alignment, "TABLE_WORDS", 40)
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(60))) for i in range(60)]
     words = alignment.Words(*alignment.tokenizer_paths())
-    monkeypatch.setattr(alignment, "TABLE_WORDS", 3)
-    words.learn(["a", "bb", "ccc", "dd "])
-    assert words.full()
-    words.clear()
-    assert not words.known and not words.full()
+    words.learn([f"word{i}" for i in range(50)] + ["end "])
+    before = {w: (words.groups[i], words.links_of(np.array([i]))[0].tolist()) for w, i in words.known.items()}
+    words.met = np.arange(51)
+    words.shed()
+    assert len(words.known) == 26 and "end " in words.known
+    assert all(before[w] == (words.groups[i], words.links_of(np.array([i]))[0].tolist()) for w, i in words.known.items())
+    monkeypatch.setattr(alignment, "words_of", lambda *p: alignment.Words(*p))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(alignment.align(df, text_out=False).documents()) == brute(rows, pair)
