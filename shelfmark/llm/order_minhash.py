@@ -77,7 +77,7 @@ def signature(df: DataFrame, text: str, out: str, k: int = K, picks: int = PICKS
         _again="_again",
         _number="flatten(transform(_runs, (a, j) -> sequence(1, coalesce(get(_runs, j + 1), size(_again)) - a)))",
     )
-    numbered = pack.format(f"xxhash64(shiftright(x, {PLACE_BITS}), n)", f"(x & {low}L)")
+    numbered = pack.format(f"xxhash64(shiftright(x, {PLACE_BITS}), cast(n as bigint))", f"(x & {low}L)")
     df = step(
         df,
         _kmers="_kmers",
