@@ -37,7 +37,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +45,9 @@ from shelfmark.llm.common import give_back, slices, table
 from shelfmark.session import small_batches, stash
 
 #: A block closes at so many distinct words of documents, counted by document.
-BLOCK_ENTRIES = 1_000_000
+BLOCK_ENTRIES = 500_000
 #: Characters of words that a worker's table holds, and its words.
-TABLE_CHARS, TABLE_WORDS = 16_000_000, 400_000
+TABLE_CHARS, TABLE_WORDS = 16_000_000, 300_000
 #: Words that are sent to the tokenizers as one text, and characters of a word that is sent alone.
 TOGETHER, LONG = 2000, 1000
 #: Bytes of text that are worked on at a time.
@@ -201,8 +200,8 @@ class Transducer:
 class Words:
     """A worker's table: the groups, links and numbers of tokens of each distinct word."""
 
-    def __init__(self, path_a: str, path_b: str):
-        self.pair = Pair(path_a, path_b)
+    def __init__(self, path_a: str, path_b: str, keep: int = TABLE_WORDS):
+        self.pair, self.keep = Pair(path_a, path_b), keep
         self.transducer = Transducer(self.pair.bytes)
         self.sizes_a = np.array([len(x) for x in self.pair.bytes[0]], np.int64)
         self.digits = [str(i) for i in range(max(map(len, self.pair.bytes)))]
@@ -233,7 +232,7 @@ class Words:
         return self.links()[at], size
 
     def full(self) -> bool:
-        return self.chars > TABLE_CHARS or len(self.known) > TABLE_WORDS
+        return self.chars > TABLE_CHARS or len(self.known) > self.keep
 
     def shed(self) -> None:
         """The half of the words that was met least often goes; the others get new numbers."""
@@ -304,9 +303,9 @@ class Words:
 
 
 @cache
-def words_of(path_a: str, path_b: str) -> Words:
+def words_of(path_a: str, path_b: str, keep: int) -> Words:
     """One table a worker process, so that tasks after the first find words in it."""
-    return Words(path_a, path_b)
+    return Words(path_a, path_b, keep)
 
 
 def cut(text: str) -> list[str]:
@@ -371,15 +370,27 @@ def _add(block: Block, words: Words, batch: pa.RecordBatch, text_out: bool) -> N
     block.docs.append(np.diff(np.append(first, len(held))))
 
 
+def packed(codes: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending word numbers as differences, then how often; all low bytes come first, then the next, which compress well."""
+    values = np.concatenate([np.diff(codes, prepend=0), times]).astype("<u4")
+    return values.view("u1").reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    values = np.ascontiguousarray(np.frombuffer(data, "u1").reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    n = len(values) // 2
+    return np.cumsum(values[:n]), values[n:]
+
+
 #: Rows of a block: documents (kind 0), words with their links (1), pairs with their documents (2).
-_STORED = "block long, kind int, doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, xs array<bigint>, ys array<bigint>"
-_NAMES = ["block", "kind", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "xs", "ys"]
+_STORED = "block long, kind int, doc_id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, held binary, xs array<bigint>, ys array<bigint>"
+_NAMES = ["block", "kind", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "held", "xs", "ys"]
 _PIECE = 20_000
 
 
 def _closed(block: Block, words: Words, number: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     longs = pa.list_(pa.int64())
-    types = [pa.int64(), pa.int32(), id_type, *[pa.int64()] * 4, pa.string(), longs, longs]
+    types = [pa.int64(), pa.int32(), id_type, *[pa.int64()] * 4, pa.string(), pa.binary(), longs, longs]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], _NAMES)
@@ -387,20 +398,20 @@ def _closed(block: Block, words: Words, number: int, id_type: pa.DataType) -> It
     all_codes = np.unique(np.concatenate([*block.codes, np.zeros(0, np.int64)]))
     for i in range(0, len(block.rows), 500):
         rows = zip(block.rows[i : i + 500], block.codes[i : i + 500], block.times[i : i + 500])
-        yield batch([(number, 0, *r, np.searchsorted(all_codes, c), t) for r, c, t in rows])
+        yield batch([(number, 0, *r, packed(np.searchsorted(all_codes, c), t), None, None) for r, c, t in rows])
     # words' links by word, in pieces of whole words; ys has the number of links of each word
     links, sizes = words.links_of(all_codes)
     edges = np.append(0, np.cumsum(sizes))
     start = 0
     while start < len(sizes):
         stop = max(start + 1, int(np.searchsorted(edges, edges[start] + _PIECE, "right")) - 1)
-        yield batch([(number, 1, None, start, None, None, None, None, links[edges[start] : edges[stop]], sizes[start:stop])])
+        yield batch([(number, 1, None, start, None, None, None, None, None, links[edges[start] : edges[stop]], sizes[start:stop])])
         start = stop
     if block.pairs:
         pair, at = np.unique(np.concatenate(block.pairs), return_inverse=True)
         docs = np.bincount(at, np.concatenate(block.docs)).astype(np.int64)
         for i in range(0, len(pair), _PIECE):
-            yield batch([(number, 2, None, None, None, None, None, None, pair[i : i + _PIECE], docs[i : i + _PIECE])])
+            yield batch([(number, 2, None, None, None, None, None, None, None, pair[i : i + _PIECE], docs[i : i + _PIECE])])
 
 
 @dataclass(frozen=True)
@@ -429,6 +440,7 @@ class Aligned:
         schema = f"doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
         def sums(left: pa.Table, right: pa.Table) -> pa.Table:
+            words_of.cache_clear()  # workers live on, and no words are looked up any more
             right = right.sort_by("pair")
             pair, n = right["pair"].to_numpy(), right["n_docs"].to_numpy()
             best = right["best"].to_numpy().astype(np.int64)
@@ -439,10 +451,9 @@ class Aligned:
             links, sizes = flat(pieces["xs"]), flat(pieces["ys"])
             at = np.searchsorted(pair, links)
             by_word = [_sums(v[at] if len(links) else links, sizes) for v in (best, n)]
-            code, times = flat(docs["xs"]), flat(docs["ys"])
-            per_doc = pc.list_value_length(docs["xs"]).to_numpy()
-            out = [_sums(v[code] * times if len(code) else code, per_doc) for v in by_word]
-            arrays = [*(docs[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")), pa.array(out[0]), pa.array(out[1]), docs["groups"]]
+            held = [unpacked(x) for x in docs["held"].to_pylist()]
+            out = [pa.array([int(v[code] @ times) for code, times in held], pa.int64()) for v in by_word]
+            arrays = [*(docs[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")), *out, docs["groups"]]
             return pa.table(arrays, names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
         return rows.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(sums, schema)
@@ -455,7 +466,7 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (total[edges[1:]] - total[edges[:-1]]).astype(np.int64)
 
 
-def align(docs: DataFrame, paths: tuple[str, str] | None = None, text_out: bool = True) -> Aligned:
+def align(docs: DataFrame, paths: tuple[str, str] | None = None, text_out: bool = True, keep: int = TABLE_WORDS) -> Aligned:
     """Align ``docs(doc_id, text)``; without ``text_out`` groups are told by the SHA-256 of their text form."""
     path_a, path_b = paths or tokenizer_paths()
     small_batches(docs.sparkSession)
@@ -464,7 +475,7 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, text_out: bool
     id_name = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, block = words_of(path_a, path_b), Block()
+        words, block = words_of(path_a, path_b, keep), Block()
         number, id_type = TaskContext.get().partitionId() << 24, pa.int64()
         for batch in chain.from_iterable(slices(b, SLICE) for b in batches):
             id_type = batch.schema.field("doc_id").type

@@ -50,46 +50,56 @@ def signature(df: DataFrame, text: str, out: str, k: int = K, picks: int = PICKS
         return frame.select(*keep, *(F.expr(e).alias(c) for c, e in made.items()))
 
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{WORD_CHARS}}}"), F.lit(0))
-    df = df.select(*keep, F.transform(words, lambda w: F.xxhash64(w)).alias("_h"))
-    at = ", ".join(f"_h[i + {j}]" for j in range(k))
+    df = df.select(*keep, words.alias("_w"))
+    at = ", ".join(f"_w[i + {j}]" for j in range(k))
     pack = f"(({{}}) & {~low}L) | {{}}"
     df = step(
         df,
-        _kmers=f"""CASE WHEN size(_h) >= {k} THEN transform(sequence(0, size(_h) - {k}), i -> {pack.format(f"xxhash64({at})", "i")})
-                        WHEN size(_h) > 0 THEN array(xxhash64(_h) & {~low}L) ELSE array() END""",
+        _kmers=f"""CASE WHEN size(_w) >= {k} THEN transform(sequence(0, size(_w) - {k}), i -> {pack.format(f"xxhash64({at})", "i")})
+                        WHEN size(_w) > 0 THEN array(xxhash64(_w) & {~low}L) ELSE array() END""",
     )
     df = step(df, _kmers="_kmers", _s="sort_array(_kmers)")
-    same = f"shiftright(x, {PLACE_BITS}) = shiftright(get(_s, i - 1), {PLACE_BITS})"
-    df = step(df, _kmers="_kmers", _s="_s", _again=f"filter(_s, (x, i) -> i > 0 AND {same})")
-    # occurrence numbers of repeats: 1, 2, .. within each run of one k-mer
-    new = f"i = 0 OR shiftright(_again[i], {PLACE_BITS}) != shiftright(get(_again, i - 1), {PLACE_BITS})"
+    # where the k-mer is that before it, or of another entry: both show in the bits that differ
     df = step(
         df,
         _kmers="_kmers",
         _s="_s",
+        _marks=f"CASE WHEN size(_s) > 1 THEN filter(sequence(1, size(_s) - 1), i -> width_bucket(shiftrightunsigned(_s[i] ^ _s[i - 1], {PLACE_BITS}), 1, {1 << 64 - bits - PLACE_BITS}, 1) != 1) ELSE array() END",
+    )
+    repeat = f"shiftrightunsigned(_s[i] ^ _s[i - 1], {PLACE_BITS}) = 0"
+    df = step(df, _kmers="_kmers", _s="_s", _marks="_marks", _again=f"filter(_marks, i -> {repeat})")
+    # occurrence numbers of repeats: 1, 2, .. within each run of one k-mer, whose places in order are consecutive
+    df = step(
+        df,
+        _kmers="_kmers",
+        _s="_s",
+        _marks="_marks",
         _again="_again",
-        _runs=f"CASE WHEN size(_again) > 0 THEN filter(sequence(0, size(_again) - 1), i -> {new}) ELSE array() END",
+        _runs="CASE WHEN size(_again) > 0 THEN filter(sequence(0, size(_again) - 1), j -> j = 0 OR _again[j] != _again[j - 1] + 1) ELSE array() END",
     )
     df = step(
         df,
         _kmers="_kmers",
         _s="_s",
+        _marks="_marks",
         _again="_again",
         _number="flatten(transform(_runs, (a, j) -> sequence(1, coalesce(get(_runs, j + 1), size(_again)) - a)))",
     )
-    numbered = pack.format(f"xxhash64(shiftright(x, {PLACE_BITS}), cast(n as bigint))", f"(x & {low}L)")
+    numbered = pack.format(f"xxhash64(shiftright(_s[i], {PLACE_BITS}), cast(n as bigint))", f"(_s[i] & {low}L)")
+    others = "flatten(transform(concat(array(-1), _again), (a, j) -> slice(_s, a + 2, coalesce(get(_again, j), size(_s)) - a - 1)))"
     df = step(
         df,
         _kmers="_kmers",
-        _t=f"""CASE WHEN size(_again) = 0 THEN _s ELSE sort_array(concat(
-                   filter(_s, (x, i) -> i = 0 OR NOT ({same})), zip_with(_again, _number, (x, n) -> {numbered}))) END""",
+        _t=f"CASE WHEN size(_again) = 0 THEN _s ELSE sort_array(concat({others}, zip_with(_again, _number, (i, n) -> {numbered}))) END",
+        _firsts="CASE WHEN size(_again) = 0 THEN _marks END",
     )
     entry = f"(shiftright({{}}, {64 - bits}) + {1 << bits - 1})"  # the entry whose point lies at or below a hash
     df = step(
         df,
         _kmers="_kmers",
         _t="_t",
-        _edges=f"CASE WHEN size(_t) > 0 THEN filter(sequence(0, size(_t) - 1), i -> i = 0 OR shiftright(_t[i], {64 - bits}) != shiftright(get(_t, i - 1), {64 - bits})) ELSE array() END",
+        _edges=f"""CASE WHEN size(_t) = 0 THEN array() WHEN _firsts IS NOT NULL THEN concat(array(0), _firsts) WHEN size(_t) = 1 THEN array(0)
+                        ELSE concat(array(0), filter(sequence(1, size(_t) - 1), i -> shiftrightunsigned(_t[i] ^ _t[i - 1], {64 - bits}) != 0)) END""",
     )
     before = f"coalesce({entry.format('get(_t, get(_edges, j - 1))')}, -1)"
     df = step(
@@ -101,13 +111,13 @@ def signature(df: DataFrame, text: str, out: str, k: int = K, picks: int = PICKS
                         array_repeat(0, cast({(1 << bits) - 1} - {entry.format("element_at(_t, -1)")} as int))) ELSE array_repeat(-1, {1 << bits}) END""",
     )
     picked = f"array_sort(transform(sequence(0, least({picks}, size(_t)) - 1), p -> _t[(a + p) % size(_t)] & {low}L))"
-    made = f"xxhash64(transform({picked}, q -> shiftright(_kmers[cast(q as int)], {PLACE_BITS}))) & {0xFFFFFFFF}L"
-    return step(df, **{out: f"transform(_starts, a -> CASE WHEN a < 0 THEN 0L ELSE {made} END)"})
+    made = f"xxhash64(transform({picked}, q -> shiftright(_kmers[cast(q as int)], {PLACE_BITS})))"
+    return step(df, **{out: f"transform(_starts, a -> CASE WHEN a < 0 THEN 0 ELSE cast(shiftright({made}, 32) as int) END)"})
 
 
 def fingerprint(entries: Column) -> Column:
     """Eight hex digits an entry."""
-    return F.array_join(F.transform(entries, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return F.array_join(F.transform(entries, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column, picks: int = PICKS) -> Column:
@@ -141,9 +151,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = placed(docs).select(FILE, ROW, "doc_id", text.alias("text"))
     narrow = rows.select(FILE, ROW, "doc_id", F.length("text").alias("n"), F.xxhash64("text").alias("h"))
-    places = next_places(narrow)
-    signed = signature(rows.select(FILE, ROW, "text"), "text", "sig")
-    met = signed.join(places, [FILE, ROW])
+    signed = signature(rows.select(FILE, ROW, "text"), "text", "sig").select(FILE, ROW, "sig")
+    places = stash(signed.join(next_places(narrow), [FILE, ROW]), "signed")  # read twice
+    met = rows.select(FILE, ROW, "text").join(places, [FILE, ROW])
     own = met.select(FILE, ROW, "doc_id", "n", "sig", F.expr("substring(text, 1, cast(n - n div 2 as int))").alias("head"))
     given = met.select(F.col("prev_file").alias(FILE), F.col("prev_row").alias(ROW), F.expr("substring(text, 1, cast(prev_n div 2 as int))").alias("tail"), F.col("sig").alias("next_sig"))
     both = own.join(given, [FILE, ROW]).select("doc_id", F.col("n").cast("long").alias("n_chars"), F.concat("head", "tail").alias("edited"), "sig", "next_sig")

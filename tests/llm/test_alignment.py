@@ -92,16 +92,15 @@ def test_transducer_keeps_the_dangling_side():
     assert t.run([], []) == ([], [], [])
 
 
-def test_a_full_table_sheds_half_and_keeps_its_answers(spark, docs, pair, monkeypatch):
-    monkeypatch.setattr(alignment, "TABLE_WORDS", 40)
+def test_a_full_table_sheds_half_and_keeps_its_answers(spark, docs, pair):
     rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(60))) for i in range(60)]
-    words = alignment.Words(*alignment.tokenizer_paths())
+    words = alignment.Words(*alignment.tokenizer_paths(), 40)
     words.learn([f"word{i}" for i in range(50)] + ["end "])
     before = {w: (words.groups[i], words.links_of(np.array([i]))[0].tolist()) for w, i in words.known.items()}
     words.met = np.arange(51)
+    assert words.full()
     words.shed()
     assert len(words.known) == 26 and "end " in words.known
     assert all(before[w] == (words.groups[i], words.links_of(np.array([i]))[0].tolist()) for w, i in words.known.items())
-    monkeypatch.setattr(alignment, "words_of", lambda *p: alignment.Words(*p))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    assert rows_of(alignment.align(df, text_out=False).documents()) == brute(rows, pair)
+    assert rows_of(alignment.align(df, text_out=False, keep=40).documents()) == brute(rows, pair)

@@ -15,6 +15,12 @@ def _h(data, seed):
     return xxhash.xxh64_intdigest(data, seed)
 
 
+def chained_words(words, seed=42):
+    for w in words:
+        seed = _h(w.encode(), seed)
+    return seed
+
+
 def chained(values, seed=42):
     for v in values:
         seed = _h((v & (1 << 64) - 1).to_bytes(8, "little"), seed)
@@ -27,10 +33,9 @@ def signed(x, bits):
 
 def plain(text, k=omh.K, picks=omh.PICKS, bits=omh.BITS):
     words = re.findall(r"[^\x20\x09-\x0D]{1,16}", text or "")
-    h = [_h(w.encode(), 42) for w in words]
-    grams = [h[i : i + k] for i in range(len(h) - k + 1)] if len(h) >= k else [h] if h else []
+    grams = [words[i : i + k] for i in range(len(words) - k + 1)] if len(words) >= k else [words] if words else []
     shift = omh.PLACE_BITS
-    kmers = [signed(chained(g) >> shift, 64 - shift) for g in grams]
+    kmers = [signed(chained_words(g) >> shift, 64 - shift) for g in grams]
     seen, numbered = {}, []
     for place, x in enumerate(kmers):
         n = seen.get(x, 0)
@@ -44,7 +49,7 @@ def plain(text, k=omh.K, picks=omh.PICKS, bits=omh.BITS):
             continue
         start = next((i for i, (x, _) in enumerate(numbered) if (x >> 64 - shift - bits) + (1 << bits - 1) >= b), 0)
         places = sorted(numbered[(start + p) % len(numbered)][1] for p in range(min(picks, len(numbered))))
-        out.append(chained([kmers[p] for p in places]) & 0xFFFFFFFF)
+        out.append(signed(chained([kmers[p] for p in places]) >> 32, 32))
     return out
 
 
@@ -102,7 +107,7 @@ def test_edited_texts(spark, tmp_path):
     got = {r["doc_id"]: r for r in omh.op12_fingerprint(spark, str(tmp_path)).collect()}
     want = expected(rows)
     assert got.keys() == want.keys()
-    hexed = lambda t: "".join(f"{x:08x}" for x in plain(t))
+    hexed = lambda t: "".join(f"{x & 0xFFFFFFFF:08x}" for x in plain(t))
     texts = dict(rows)
     for doc, (n, edited, after) in want.items():
         r = got[doc]
