@@ -103,3 +103,9 @@ CONSOLE_SLUGS = tuple(
         "wwe-covers zodiac"
     ).split()
 )
+
+# Paging and retries
+PAGE_CEILING = 500
+EMPTY_PAGES = 3
+FETCH_TRIES = 3
+FETCH_BACKOFF_MS = 2000

@@ -262,11 +262,11 @@ def match_listings(records: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def facet_join(catalog: DataFrame, tags: DataFrame) -> DataFrame:
-    """Add facet arrays to the rows they name: ``tags(key, fandom, license, series_tags)``, key a handle else a title."""
-    handles = catalog.groupBy(F.col("handle").alias("k")).agg(F.max("_ord").alias("target")).filter("k <> ''")
+    """Add facet arrays to the rows they name: ``tags(key, fandom, license, series_tags)``, key a handle else a title, in any case."""
+    handles = catalog.groupBy(F.lower("handle").alias("k")).agg(F.max("_ord").alias("target")).filter("k <> ''")
     titles = catalog.groupBy(X.facet_title(F.col("title")).alias("k")).agg(F.min("_ord").alias("target")).filter("k <> ''")
     t = tags.withColumns({"_fk": X.facet_title(F.col("key"))})
-    t = t.join(handles.withColumnsRenamed({"k": "_h", "target": "_a"}), F.col("key") == F.col("_h"), "left").join(titles.withColumnsRenamed({"k": "_t", "target": "_b"}), F.col("_fk") == F.col("_t"), "left")
+    t = t.join(handles.withColumnsRenamed({"k": "_h", "target": "_a"}), F.lower("key") == F.col("_h"), "left").join(titles.withColumnsRenamed({"k": "_t", "target": "_b"}), F.col("_fk") == F.col("_t"), "left")
     t = t.withColumn("target", F.coalesce("_a", "_b")).filter("target is not null").withColumn("_ord", F.monotonically_increasing_id())
     named = {"funkoFandom": "fandom", "funkoLicense": "license", "funkoSeries": "series_tags"}
     updates = t.select("_ord", "target", *(F.array_sort(F.col(b)).alias(a) for a, b in named.items()))

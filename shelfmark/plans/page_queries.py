@@ -6,13 +6,13 @@ back out of the readers: every selector, every fallback, and the odd spellings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import fixed_values as V
-from shelfmark.operators import derive, incremental, match, predicates, report
+from shelfmark.operators import crawl, derive, incremental, match, predicates, report
 from shelfmark.plans import pricing
-from shelfmark.plans.catalog_queries import query, quoted, read
+from shelfmark.plans.catalog_queries import ORACLES, query, quoted, read
 from shelfmark.sources import catalog, html
 
 c = F.col
@@ -23,6 +23,11 @@ def page(*parts: object) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
+def read_pages(pages: DataFrame, reader, schema: str) -> DataFrame:
+    """The tables are one file each, so their pages are spread over the session's cores."""
+    return html.read_pages(pages, reader, schema, partitions=pages.sparkSession.sparkContext.defaultParallelism)
+
+
 def pages_of(rows: DataFrame, key: str, made: Column) -> DataFrame:
     return rows.select(c(key).alias("page_id"), made.alias("html"))
 
@@ -62,12 +67,12 @@ FROM part WHERE p_partkey % 8 NOT IN (6, 7)"""
 
 @query(_TILE_SQL)
 def q_tiles(spark, sf):
-    return html.read_pages(_tile_pages(spark, sf), html.tiles, TILE).withColumn("series", F.array_join("series", ";")).drop("pos")
+    return read_pages(_tile_pages(spark, sf), html.tiles, TILE).withColumn("series", F.array_join("series", ";")).drop("pos")
 
 
 @query(f"SELECT page_id, pid, handle, title FROM ({_TILE_SQL})")
 def q_short_tiles(spark, sf):
-    return html.read_pages(_tile_pages(spark, sf), html.short_tiles, "pid string, handle string, title string").drop("pos")
+    return read_pages(_tile_pages(spark, sf), html.short_tiles, "pid string, handle string, title string").drop("pos")
 
 
 def _money(cents: Column) -> Column:
@@ -95,7 +100,7 @@ def q_listing_rows(spark, sf):
     cells = page("<td>", link, '</td><td class="title"><a href="', href, '">Figure  ', c("o_custkey"), "</a>\n #", k, "</td><td>c</td><td>", _money(_cents()), "</td><td>", F.when(k % 4 == 0, _money(_cents() + 1)).otherwise(page("-")), "</td><td>ask</td>")
     row = F.when(k % 7 == 0, page('<td><a href="/offers">no item</a></td>')).otherwise(cells)
     made = page('<table><tr><td><a href="/game/a/b">other table</a></td></tr></table><table id="games_table"><thead><tr><th><a href="/game/a/b">head</a></th></tr></thead><tbody><tr>', row, "</tr></tbody></table>")
-    return html.read_pages(pages_of(read(spark, sf, "orders"), "o_orderkey", made), html.listing_rows, "id string, name string, console string, href string, loose string, complete string, mint string").drop("pos")
+    return read_pages(pages_of(read(spark, sf, "orders"), "o_orderkey", made), html.listing_rows, "id string, name string, console string, href string, loose string, complete string, mint string").drop("pos")
 
 
 def _detail_pages(spark, sf) -> DataFrame:
@@ -118,14 +123,14 @@ SELECT o_orderkey AS page_id, CASE WHEN cents > 0 AND cents <= 10000000 THEN cen
   CASE WHEN o_orderkey % 3 = 2 THEN '1.25' END AS complete, NULL::VARCHAR AS mint, 'https://x/' || o_orderkey AS url
 FROM (SELECT *, round(o_totalprice * 100)::BIGINT AS cents FROM orders)""")
 def q_detail_prices(spark, sf):
-    return html.read_pages(_detail_pages(spark, sf), html.detail, DETAIL).select("page_id", "loose", "complete", "mint", "url")
+    return read_pages(_detail_pages(spark, sf), html.detail, DETAIL).select("page_id", "loose", "complete", "mint", "url")
 
 
 @query("""
 SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS releaseDate, CASE WHEN o_orderkey % 4 = 1 THEN '88969812' || lpad((o_orderkey % 10000)::VARCHAR, 4, '0') END AS upc,
   o_orderkey::VARCHAR AS funkoNumber, 'S ' || o_custkey AS pcSeries, o_orderkey::VARCHAR AS ebayEpid, NULL::VARCHAR AS amazonAsin, o_orderpriority::VARCHAR AS printRun, NULL::VARCHAR AS publisher, 'd' AS pcDescription FROM orders""")
 def q_detail_fields(spark, sf):
-    rows = html.read_pages(_detail_pages(spark, sf), html.detail, DETAIL)
+    rows = read_pages(_detail_pages(spark, sf), html.detail, DETAIL)
     return rows.select("page_id", *(v.alias(k) for k, v in html.meta_fields(c("labels")).items()))
 
 
@@ -140,7 +145,7 @@ def q_reference_numbers(spark, sf):
         '<strong class="spaced-field">Target</strong><i class="ng-binding">t', k, "</i>", box("Walmart SKU:", F.when(k % 5 == 0, page("w")).otherwise(F.repeat(F.lit("w"), 50))), box("Amazon SKU:", page("a b")), box("Other:", page("x")), '<a href="?itemId=1">i</a>',
     )
     fields = [*("hdbid", "upc", "funkoNumber"), *V.SKU_LABELS.values()]
-    return html.read_pages(pages_of(read(spark, sf, "supplier"), "s_suppkey", made), html.reference_numbers, ", ".join(f"{f} string" for f in fields)).drop("pos")
+    return read_pages(pages_of(read(spark, sf, "supplier"), "s_suppkey", made), html.reference_numbers, ", ".join(f"{f} string" for f in fields)).drop("pos")
 
 
 @query("""SELECT c_custkey AS page_id, CASE WHEN c_custkey % 3 > 0 THEN 'Pop! Vinyl;N' || c_nationkey || CASE WHEN c_custkey % 3 = 2 THEN ';Event' ELSE '' END END AS tags FROM customer""")
@@ -255,6 +260,76 @@ def q_converged(spark, sf):
     return made[0].unionByName(made[1])
 
 
+# Pages that leave end tags out
+
+
+def _open_listing_pages(spark, sf) -> DataFrame:
+    """One listing a customer: a row an order, with hardly an end tag, no table body, and tables within cells."""
+    k = c("o_orderkey")
+    link = page('<a href="/game/funko-pop-rides/x-', k, '" title="T', k, '">')
+    row = F.when(k % 2 == 0, page("<tr><td>", link, '<td class="title">Figure<p>', k, "<td>c<td>", _money(_cents()), "<td><td>$1.25<td><table><tr><td>in a cell<td>$9.99</table>")).otherwise(
+        page("<tr><td>", link, '</a></td><td class="title"> Figure', k, "</td><td>c</td><td>", _money(_cents()), "</td><td></td><td>$1.25</td></tr>")
+    )
+    rows = read(spark, sf, "orders").groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
+    head = F.when(c("o_custkey") % 3 == 0, page('<thead><tr><th><a href="/game/a/b">head</a><tbody>')).otherwise(page(""))
+    return pages_of(rows, "o_custkey", page('<ul><li>one<li><p>two<div><table id="games_table">', head, c("rows"), '<tfoot><tr><td><a href="/game/a/foot">foot</a></table><p>end'))
+
+
+@query("""
+SELECT o_custkey AS page_id, 'T' || o_orderkey AS id, 'Figure' || o_orderkey AS name, 'funko-pop-rides' AS console, cents // 100 || '.' || lpad((cents % 100)::VARCHAR, 2, '0') AS loose, NULL::VARCHAR AS complete, '1.25' AS mint
+FROM (SELECT *, round(o_totalprice * 100)::BIGINT AS cents FROM orders)""")
+def q_open_listing(spark, sf):
+    return read_pages(_open_listing_pages(spark, sf), html.listing_rows, "id string, name string, console string, loose string, complete string, mint string").drop("pos")
+
+
+@query(f"SELECT * FROM ({ORACLES['q_detail_prices']}) JOIN ({ORACLES['q_detail_fields']}) USING (page_id)")
+def q_open_detail(spark, sf):
+    pages = _detail_pages(spark, sf)
+    opened = F.when(c("page_id") % 2 == 0, F.regexp_replace("html", "</(td|tr|th|p|div)>", "")).otherwise(c("html"))
+    rows = read_pages(pages.withColumn("html", page("<p>before<ul><li>x", opened)), html.detail, DETAIL)
+    return rows.select("page_id", "loose", "complete", "mint", "url", *(v.alias(k) for k, v in html.meta_fields(c("labels")).items()))
+
+
+# Where a crawl ends
+
+
+@query("""
+WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders),
+p AS (SELECT o_custkey AS set_key, n + CASE WHEN o_custkey % 5 = 0 AND n > 7 THEN 1 ELSE 0 END AS page, CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE 3 END ELSE o_orderkey % 10 + 1 END AS rows,
+  CASE WHEN n = 2 AND o_custkey % 2 = 0 THEN 20 WHEN n = 3 THEN 10 ELSE -1 END AS declared, o_orderkey % 7 = 0 AS ended FROM o),
+walk AS (
+  SELECT DISTINCT set_key, 0 AS page, 0 AS start, -1 AS total, 0 AS empties, NULL::VARCHAR AS reason FROM p
+  UNION ALL
+  SELECT w.set_key, p.page, w.start + coalesce(p.rows, 0), CASE WHEN w.total < 0 THEN p.declared ELSE w.total END, CASE WHEN coalesce(p.rows, 0) = 0 THEN w.empties + 1 ELSE 0 END,
+    CASE WHEN p.rows IS NULL AND p.ended THEN 'end' WHEN coalesce(p.rows, 0) = 0 AND w.empties = 2 THEN 'empty' WHEN (CASE WHEN w.total < 0 THEN p.declared ELSE w.total END) BETWEEN 1 AND w.start + coalesce(p.rows, 0) THEN 'total' END
+  FROM walk w JOIN p ON p.set_key = w.set_key AND p.page = w.page + 1 WHERE w.reason IS NULL)
+SELECT set_key, max(page) AS last_page, max(start) AS "offset", nullif(arg_max(total, page), -1) AS total, coalesce(max(reason), 'open') AS reason, CASE WHEN max(reason) IS NULL THEN max(page) + 1 END AS next_page FROM walk GROUP BY set_key""")
+def q_crawl_end(spark, sf):
+    k, n = c("o_orderkey"), c("n")
+    o = read(spark, sf, "orders").withColumn("n", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")))
+    pages = o.select(
+        c("o_custkey").alias("set_key"), F.when((c("o_custkey") % 5 == 0) & (n > 7), n + 1).otherwise(n).alias("page"), F.lit(1).alias("_ord"),
+        F.when(k % 4 == 0, 0).when((k % 4 == 1) & (c("o_custkey") % 3 == 0), None).when(k % 4 == 1, 3).otherwise(k % 10 + 1).alias("rows"),
+        F.when((n == 2) & (c("o_custkey") % 2 == 0), 20).when(n == 3, 10).otherwise(-1).alias("declared"), (k % 7 == 0).alias("ended"),
+    )
+    return crawl.crawl_end(pages)
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS address, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS n, l_shipdate::TIMESTAMP AS seen,
+  CASE l_partkey % 5 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 429 WHEN 3 THEN 503 END AS status FROM lineitem),
+s AS (SELECT address, min(n) FILTER (WHERE n <= 3 AND status IN (200, 404)) AS good, least(max(n), 3) AS met FROM l GROUP BY address)
+SELECT address, CASE WHEN good IS NOT NULL THEN 'accepted' WHEN met < 3 THEN 'waiting' WHEN status IS NULL THEN 'failed' ELSE 'refused' END AS outcome, coalesce(good, met)::INTEGER AS tries, status,
+  CASE WHEN good IS NOT NULL THEN 'page ' || good END AS page, CASE WHEN good IS NULL AND met < 3 THEN strftime(seen + to_seconds(2 * met), '%Y-%m-%d %H:%M:%S') END AS due
+FROM s JOIN l USING (address) WHERE n = coalesce(good, met)""")
+def q_attempts(spark, sf):
+    k = c("l_partkey") % 5
+    rows = read(spark, sf, "lineitem").withColumn("_ord", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey")))
+    status = F.when(k == 0, 200).when(k == 1, 404).when(k == 2, 429).when(k == 3, 503)
+    log = rows.select(c("l_orderkey").alias("address"), "_ord", c("l_shipdate").cast("timestamp").alias("at"), status.alias("status"), page("page ", c("_ord")).alias("page"))
+    return crawl.attempts(log).withColumn("due", F.date_format("due", "yyyy-MM-dd HH:mm:ss"))
+
+
 # Joins, merges and the pricing pass
 
 
@@ -274,10 +349,10 @@ SELECT p_partkey, coalesce((SELECT string_agg(DISTINCT f, ',' ORDER BY f) FROM j
 def q_facet_join(spark, sf):
     p = read(spark, sf, "part")
     none = F.lit(None).cast("array<string>")
-    rows = p.select(c("p_partkey").alias("_ord"), F.when(c("p_partkey") % 2 == 0, c("p_type")).otherwise("").alias("handle"), F.concat(F.lit("Pop! "), "p_type").alias("title"), none.alias("funkoFandom"), none.alias("funkoLicense"), none.alias("funkoSeries"))
+    rows = p.select(c("p_partkey").alias("_ord"), F.when(c("p_partkey") % 4 == 0, F.initcap("p_type")).when(c("p_partkey") % 2 == 0, c("p_type")).otherwise("").alias("handle"), F.concat(F.lit("Pop! "), "p_type").alias("title"), none.alias("funkoFandom"), none.alias("funkoLicense"), none.alias("funkoSeries"))
     types = p.select("p_type").distinct()
     tag = lambda key, f: types.select(key.alias("key"), F.array(F.lit(f)).alias("fandom"), F.array().cast("array<string>").alias("license"), none.alias("series_tags"))
-    tags = tag(c("p_type"), "fan").unionByName(tag(F.concat(F.lit("pop! "), F.lower("p_type"), F.lit("!")), "title")).unionByName(tag(F.concat("p_type", F.lit(" nowhere")), "lost"))
+    tags = tag(F.lower("p_type"), "fan").unionByName(tag(F.concat(F.lit("pop! "), F.lower("p_type"), F.lit("!")), "title")).unionByName(tag(F.concat("p_type", F.lit(" nowhere")), "lost"))
     return match.facet_join(rows, tags).select(c("_ord").alias("p_partkey"), F.array_join(F.array_sort(F.coalesce("funkoFandom", F.array().cast("array<string>"))), ",").alias("fandom"))
 
 
@@ -341,9 +416,11 @@ def _search_tables(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     listings = p.select(asked.alias("query_key"), F.inline(F.when(m == 0, F.slice(found, 2, 1)).otherwise(found)))
     details = p.filter(m < 3).select(
         page("/g/3-", k).alias("href"), cents(9).alias("loose"), F.lit(None).cast("string").alias("complete"), F.when(k % 4 == 0, cents(8)).alias("mint"), F.when(k % 2 == 0, page("https://d/", k)).alias("url"),
-        F.create_map(F.lit("Publisher"), F.lit("Funko"), F.lit("Box Number"), page("#", k)).alias("labels"),
+        F.create_map(F.lit("Publisher"), F.lit("Funko"), F.lit("Box Number"), page("#", k)).alias("labels"), F.lit(2).alias("_ord"),
     )
-    return rows, listings, details
+    # every page landed before, with other prices, and again the same
+    before = details.withColumns({"loose": F.lit("7.77"), "mint": F.lit("7.77"), "url": F.lit("https://old"), "_ord": F.lit(1)})
+    return rows, listings, details.unionByName(before).unionByName(details.filter(k_mod("_ord", 2) == 0))
 
 
 _NOW = "TIMESTAMP '2024-05-06 07:08:09.123'"

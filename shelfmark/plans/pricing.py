@@ -15,7 +15,9 @@ GRADES = {"marketValueLoose": "loose", "marketValueComplete": "complete", "marke
 
 
 def _details(details: DataFrame) -> DataFrame:
-    """Detail pages ``(href, loose, complete, mint, url, labels)`` with the fields that their labels stand for."""
+    """The last landed page of each address, with the fields that its labels stand for."""
+    facts = F.struct("loose", "complete", "mint", "url", "labels")
+    details = details.groupBy("href").agg(F.max_by(facts, "_ord").alias("page")).select("href", "page.*")
     fields = html.meta_fields(c("labels"))
     return details.select(c("href").alias("_href"), *(c(k).alias(f"_d_{k}") for k in ("loose", "complete", "mint", "url")), *(v.alias(f"_m_{k}") for k, v in fields.items()))
 
@@ -23,7 +25,8 @@ def _details(details: DataFrame) -> DataFrame:
 def price(catalog: DataFrame, listings: DataFrame, details: DataFrame, now: Column, fill_upc: bool = True, days: int = 0, limit: int | None = None) -> DataFrame:
     """The catalog with prices of confident matches; a detail page is believed before its listing row.
 
-    ``listings`` as for match_listings, with ``id, href, loose, complete, mint``. A match without any
+    ``listings`` as for match_listings, with ``id, href, loose, complete, mint``; ``details(_ord, href, loose,
+    complete, mint, url, labels)`` in the order of landing: of an address' pages the last counts. A match without any
     price changes nothing. Fields that a record has are never replaced by a page's.
     """
     has = predicates.has_price(c("marketValueLoose"), c("marketValueComplete"), c("marketValueNew"))
@@ -49,8 +52,8 @@ def price(catalog: DataFrame, listings: DataFrame, details: DataFrame, now: Colu
 def discover(catalog: DataFrame, listings: DataFrame, details: DataFrame, limit: int | None = None) -> DataFrame:
     """New records of listing rows whose id the catalog lacks; here the listing row is believed before its page.
 
-    ``listings(_ord, id, name, href, loose, complete, mint)`` in the order of the crawl; ``limit`` stops
-    after so many additions.
+    ``listings(_ord, id, name, href, loose, complete, mint)`` in the order of the crawl, ``details`` as for
+    ``price``; ``limit`` stops after so many additions.
     """
     known = catalog.filter(X.truthy(c("pricechartingId"))).select(c("pricechartingId").alias("id"))
     new = match.new_ids(listings.filter(X.truthy(c("id"))), known, limit=limit).join(_details(details), c("href") == c("_href"), "left")

@@ -1,10 +1,9 @@
-"""Landed pages to rows: flat cases as column expressions, nested ones in a small HTML reader."""
+"""Landed pages to rows: flat cases as column expressions, nested ones by the page's tree."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,82 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import fixed_values as V
 from shelfmark.functions import text as X
-
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-
-
-class Node:
-    __slots__ = ("tag", "attrs", "kids", "parent")
-
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.kids: list[Node | str] = []
-
-    def walk(self) -> Iterator[Node]:
-        stack = [self]
-        while stack:
-            n = stack.pop()
-            yield n
-            stack.extend(k for k in reversed(n.kids) if isinstance(k, Node))
-
-    def raw(self) -> str:
-        """All text below, without what surrounds it."""
-        out, stack = [], [self]
-        while stack:
-            n = stack.pop()
-            if isinstance(n, str):
-                out.append(n)
-            else:
-                stack.extend(reversed(n.kids))
-        return "".join(out).strip()
-
-    def text(self) -> str:
-        """All text below, with single blanks."""
-        return " ".join(self.raw().split())
-
-    def classes(self) -> set[str]:
-        return set(self.attrs.get("class", "").split())
-
-    def find(self, test: Callable[[Node], bool]) -> list[Node]:
-        return [n for n in self.walk() if n is not self and test(n)]
-
-    def has(self, *names: str) -> bool:
-        return not self.classes().isdisjoint(names)
-
-    def first(self, test: Callable[[Node], bool]) -> Node | None:
-        return next((n for n in self.walk() if n is not self and test(n)), None)
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("tr", "td", "th", "li", "p") and self.at.tag == tag:
-            self.at = self.at.parent
-        n = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.kids.append(n)
-        if tag not in VOID:
-            self.at = n
-
-    def handle_endtag(self, tag):
-        n = self.at
-        while n.parent and n.tag != tag:
-            n = n.parent
-        if n.parent:
-            self.at = n.parent
-
-    def handle_data(self, data):
-        self.at.kids.append(data)
-
-
-def parse(page: str | None) -> Node:
-    b = _Builder()
-    b.feed(page or "")
-    b.close()
-    return b.root
-
+from shelfmark.sources.tree import Node, parse
 
 MONEY = re.compile(V.MONEY)
 
@@ -137,7 +61,7 @@ def _tile(n: Node, base: str) -> dict | None:
     handle = re.split(r"[?/]", path.partition("/products/")[0])[0] if found else ""
     priced = n.first(lambda k: "price" in k.attrs.get("class", ""))
     gone = n.first(lambda k: k.has("unavailable", "sold-out") or "out-of-stock" in k.attrs.get("class", ""))
-    category = _some(n, "data-category") or "".join(k.raw() for k in n.find(lambda k: k.has("breadcrumb") or "category" in k.attrs.get("class", "")))
+    category = _some(n, "data-category") or "".join(k.content() for k in n.find(lambda k: k.has("breadcrumb") or "category" in k.attrs.get("class", "")))
     return {
         "pid": _some(n, "data-pid", "data-product-id", "data-itemid"), "handle": handle or href.rpartition("/")[2], "title": title,
         "price": clean_price((priced.raw() if priced else "") or _some(n, "data-price")), "available": gone is None, "series": [s.strip() for s in re.split(r"[,|>/]", category) if s.strip()],
@@ -163,7 +87,7 @@ def listing_rows(page: str | None, base: str = V.PRICED_BASE) -> list[dict]:
     """Rows of the listing table's body that link to an item."""
     table = parse(page).first(lambda n: n.attrs.get("id") == "games_table")
     out = []
-    for tr in table.find(lambda n: n.tag == "tr" and n.parent.tag not in ("thead", "tfoot")) if table else ():
+    for tr in table.find(lambda n: n.tag == "tr" and n.within("tbody", table)) if table else ():
         link = tr.first(lambda n: n.tag == "a" and "/game/" in n.attrs.get("href", ""))
         if link is None:
             continue
@@ -172,7 +96,7 @@ def listing_rows(page: str | None, base: str = V.PRICED_BASE) -> list[dict]:
         console = re.search("/game/([^/]+)/", href)
         cells = tr.find(lambda n: n.tag == "td")
         worth = [money(cells[i].raw()) if i < len(cells) else None for i in (3, 4, 5)]
-        name = " ".join("".join(c.raw() for c in cells if c.has("title")).split())
+        name = " ".join("".join(c.content() for c in cells if c.has("title")).split())
         out.append({
             "id": link.attrs.get("title", "").strip() or slug, "name": name, "console": console[1] if console else "", "href": href if href.startswith("http") else base + href,
             "loose": worth[0], "complete": worth[1], "mint": worth[2],
@@ -208,7 +132,7 @@ def reference_numbers(page: str | None) -> dict | None:
     """Labelled numbers of a reference page under their fields, or None if there is none; a later label wins."""
     out: dict[str, str] = {}
     for strong in parse(page).find(lambda n: n.tag == "strong"):
-        label = re.sub(":\\Z", "", strong.raw()).strip()
+        label = re.sub(":\\Z", "", strong.content()).strip()
         box = strong
         while box is not None and not box.has("spaced-field", "col-md-6"):
             box = box.parent
@@ -231,8 +155,11 @@ def reference_numbers(page: str | None) -> dict | None:
     return out or None
 
 
-def read_pages(pages: DataFrame, reader: Callable[[str | None], list[dict] | dict | None], schema: str, key: str = "page_id") -> DataFrame:
-    """Rows that ``reader`` gets from each page, with the page's key and the row's place in it."""
+def read_pages(pages: DataFrame, reader: Callable[[str | None], list[dict] | dict | None], schema: str, key: str = "page_id", partitions: int | None = None) -> DataFrame:
+    """Rows that ``reader`` gets from each page, with the page's key and the row's place in it.
+
+    Parsing costs far more than moving a page, so pages of too few splits are spread over ``partitions`` first.
+    """
     names = [f.split()[0] for f in re.split(r",\s*(?![^<]*>)", schema)]
     kinds = pages.sparkSession.createDataFrame([], schema).schema
     arrow = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "array<string>": pa.list_(pa.string()), "map<string,string>": pa.map_(pa.string(), pa.string())}
@@ -248,9 +175,8 @@ def read_pages(pages: DataFrame, reader: Callable[[str | None], list[dict] | dic
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], batch.column(key).type), pa.array([r[1] for r in rows], pa.int32()), *(pa.array([value(r[2], n) for r in rows], t) for n, t in zip(names, types))], [key, "pos", *names])
 
     kind = dict(pages.dtypes)[key]
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < cores:  # parsing costs far more than moving the pages of so few splits
-        pages = pages.repartition(cores)
+    if partitions:
+        pages = pages.repartition(partitions)
     return pages.select(key, "html").mapInArrow(run, f"{key} {kind}, pos int, {schema}")
 
 
