@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -29,43 +30,92 @@ def two_key_lookup(rows: DataFrame, base: DataFrame, title_key: Callable[[Column
     return out.withColumn("at", F.coalesce("by_handle", "by_title")).drop("_h", "_t", "_hk", "_tk")
 
 
+#: Rounds before what is left is looked at by components, and the rows of a component that is replayed at once.
+ROUNDS, REPLAY = 10, 10_000
+
+
 def _replay(group: pd.DataFrame) -> pd.DataFrame:
-    """A component's rows in order: handle, then title, then append under both keys."""
-    new_handle: dict[str, int] = {}
-    new_title: dict[str, int] = {}
-    out = []
-    group = group.sort_values("_ord")
-    for at, h, t, base_title in zip(group["_ord"], group["h"], group["t"], group["by_title"]):
-        if h and h in new_handle:
-            out.append((at, "new", new_handle[h]))
-        elif not pd.isna(base_title):
-            out.append((at, "base", int(base_title)))
-        elif t and t in new_title:
-            out.append((at, "new", new_title[t]))
-        else:
-            out.append((at, "append", at))
-            new_handle |= {h: at} if h else {}
-            new_title |= {t: at} if t else {}
-    return pd.DataFrame(out, columns=["_ord", "kind", "target"])
+    """The rows of a component that are appended, in order: those that meet neither key before them."""
+    handles, titles, out = set(), set(), []
+    for at, h, t in group.sort_values("_ord")[["_ord", "h", "t"]].itertuples(index=False):
+        if h not in handles and t not in titles:
+            out.append((at, h, t))
+            handles |= {h} - {None}
+            titles |= {t} - {None}
+    return pd.DataFrame(out, columns=["_ord", "h", "t"])
+
+
+def _appended(rows: DataFrame) -> DataFrame:
+    """Of ``rows(_ord, h, t)``, those that a pass in order appends: no appended row before has their handle or title.
+
+    In rounds: a row that is the least under both its keys is appended, and what shares a key with it is not.
+    Rows of one key take part in many tasks. Few rounds settle nearly all; what is left falls into components,
+    of which small ones are replayed in order, and long chains of rows that wait for each other go on in rounds.
+    """
+    key_sets = {"h": lambda d: d.filter("h is not null"), "t": lambda d: d.filter("t is not null")}
+    keyless = rows.filter("h is null and t is null")
+    left = stash(rows.filter("h is not null or t is not null").groupBy("h", "t").agg(F.min("_ord").alias("_ord")).select("_ord", "h", "t"), "undecided")
+    parts, turn = [keyless], 0
+    while not left.isEmpty():
+        turn += 1
+        if turn % ROUNDS == 0:
+            made, left = _small_components(left)
+            parts.append(made)
+            continue
+        marked = left
+        for k, some in key_sets.items():
+            least = some(left).groupBy(F.col(k).alias("k")).agg(F.min("_ord").alias(f"_{k}"))
+            marked = marked.join(least, F.col(k) == F.col("k"), "left").drop("k")
+        made = stash(marked.filter("_ord = coalesce(_h, _ord) and _ord = coalesce(_t, _ord)").select("_ord", "h", "t"), "appended")
+        rest = left.join(made.select("_ord"), "_ord", "left_anti")
+        for k, some in key_sets.items():
+            rest = rest.join(some(made).select(F.col(k).alias("k")), F.col(k) == F.col("k"), "left_anti")
+        parts.append(made)
+        left = stash(rest, "undecided")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _small_components(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What components of few rows append, and the rows of the others."""
+    node = {k: F.when(F.col(k).isNotNull(), F.xxhash64(F.lit(k), k)) for k in ("h", "t")}
+    keyed = left.withColumns({"u": F.coalesce(node["h"], node["t"]), "v": F.coalesce(node["t"], node["h"])})
+    found = components(keyed.select("u", "v"))
+    keyed = keyed.join(found, F.col("u") == F.col("node"), "left").select("_ord", "h", "t", F.coalesce("component", "u").alias("c"))
+    sized = stash(keyed.join(keyed.groupBy("c").agg(F.count("*").alias("n")), "c"), "components")
+    made = sized.filter(F.col("n") <= REPLAY).groupBy("c").applyInPandas(lambda g: _replay(g), left.schema)
+    return stash(made, "appended"), sized.filter(F.col("n") > REPLAY).select("_ord", "h", "t")
 
 
 def assign_upsert(incoming: DataFrame, base: DataFrame) -> DataFrame:
     """``(_ord, kind, target)``: what each incoming row does in a sequential upsert.
 
     kind ``base``: it merges into the base row ``target``; ``new``: into the earlier incoming row
-    ``target``; ``append``: it becomes a row. A base handle is final and is joined. The rest interact
-    only through shared handles and titles, so they are split into connected components, and each
-    is replayed in order: the result equals that of one pass over all rows.
+    ``target``; ``append``: it becomes a row. A handle is looked up before a title, and a key of the base
+    before one of an appended row. Which rows are appended is found in rounds, and the rest is joins: the
+    result equals that of one pass over all rows in order.
     """
     found = stash(two_key_lookup(incoming.select("_ord", "handle", "title"), base), "lookup")
     final = found.filter("by_handle is not null").select("_ord", F.lit("base").alias("kind"), F.col("by_handle").alias("target"))
-    rest = found.filter("by_handle is null").select("_ord", F.lower(X.blank(F.col("handle"))).alias("h"), X.normalise_title(F.col("title")).alias("t"), "by_title")
-    rest = rest.withColumns({"hn": F.when(F.col("h") != "", F.xxhash64(F.lit("h"), "h")), "tn": F.when(F.col("t") != "", F.xxhash64(F.lit("t"), "t"))})
-    comp = components(rest.filter("hn is not null and tn is not null").select(F.col("hn").alias("u"), F.col("tn").alias("v")))
-    node = F.coalesce("hn", "tn", F.xxhash64(F.lit("r"), "_ord"))
-    rest = rest.withColumn("node", node).join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    replayed = rest.select("_ord", "h", "t", "by_title", "c").groupBy("c").applyInPandas(lambda g: _replay(g.drop(columns="c")), "_ord long, kind string, target long")
-    return final.unionByName(replayed)
+    some = lambda x: F.nullif(x, F.lit(""))
+    rest = found.filter("by_handle is null").select("_ord", some(F.lower(F.col("handle"))).alias("h"), some(X.normalise_title(F.col("title"))).alias("t"), "by_title")
+    added = stash(_appended(rest.filter("by_title is null").select("_ord", "h", "t")), "appended")
+    handles = added.filter("h is not null").select(F.col("h").alias("_hk"), F.col("_ord").alias("_ha"))
+    titles = added.filter("t is not null").select(F.col("t").alias("_tk"), F.col("_ord").alias("_ta"))
+    met = rest.join(handles, F.col("h") == F.col("_hk"), "left").join(titles, F.col("t") == F.col("_tk"), "left")
+    met = met.join(added.select(F.col("_ord").alias("_own")), F.col("_ord") == F.col("_own"), "left")
+    before = lambda c: F.coalesce(F.col(c) < F.col("_ord"), F.lit(False))
+    kind = F.when(F.col("_own").isNotNull(), "append").when(before("_ha"), "new").when(F.col("by_title").isNotNull(), "base").otherwise("new")
+    target = F.when(F.col("_own").isNotNull(), F.col("_ord")).when(before("_ha"), F.col("_ha")).when(F.col("by_title").isNotNull(), F.col("by_title")).otherwise(F.col("_ta"))
+    return final.unionByName(met.select("_ord", kind.alias("kind"), target.alias("target")))
+
+
+def _planned(base: DataFrame, incoming: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The base with appended rows, and updates with the row each of them merges into."""
+    top = base.agg(F.coalesce(F.max("_ord"), F.lit(-1)) + 1).first()[0]
+    rows = incoming.join(plan, "_ord")
+    added = rows.filter("kind = 'append'").drop("kind", "target").withColumn("_ord", F.col("_ord") + top)
+    updates = rows.filter("kind <> 'append'").withColumn("target", F.when(F.col("kind") == "new", F.col("target") + top).otherwise(F.col("target")))
+    return base.unionByName(added, allowMissingColumns=True), updates
 
 
 def upsert(base: DataFrame, incoming: DataFrame, policy: dict[str, str]) -> DataFrame:
@@ -74,13 +124,43 @@ def upsert(base: DataFrame, incoming: DataFrame, policy: dict[str, str]) -> Data
     Several rows that merge into one target apply in order: fills take the first truthy value,
     overwrites the last.
     """
-    top = F.broadcast(base.agg((F.coalesce(F.max("_ord"), F.lit(-1)) + 1).alias("_top")))  # one row
+    rows, updates = _planned(base, incoming, stash(assign_upsert(incoming, base), "upsert"))
+    return apply_updates(rows, updates, policy)
+
+
+def upsert_changes(base: DataFrame, incoming: DataFrame, policy: dict[str, str]) -> DataFrame:
+    """``(_ord, kind, target, changed)`` of each incoming row: whether it changed the row it merged into.
+
+    A row that is appended is not a change. Rows of one target count in order: one that brings what an earlier one
+    brought changes nothing.
+    """
     plan = stash(assign_upsert(incoming, base), "upsert")
-    rows = incoming.join(plan, "_ord")
-    added = rows.filter("kind = 'append'").drop("kind", "target").join(top).withColumn("_ord", F.col("_ord") + F.col("_top")).drop("_top")
-    all_rows = base.unionByName(added, allowMissingColumns=True)
-    updates = rows.filter("kind <> 'append'").join(top).withColumn("target", F.when(F.col("kind") == "new", F.col("target") + F.col("_top")).otherwise(F.col("target"))).drop("_top")
-    return apply_updates(all_rows, updates, policy)
+    rows, updates = _planned(base, incoming, plan)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    state = rows.select(F.col("_ord").alias("target"), *(F.col(f).alias(f"_t_{f}") for f in policy))
+    met = stash(updates.select("_ord", "target", *policy).join(state, "target"), "met")
+    hits = []
+    for field, name in policy.items():
+        new, old, kind = F.col(field), F.col(f"_t_{field}"), kinds[field]
+        truthy = merge.is_truthy(new, kind)
+        if name in ("falsy", "blank"):  # the first that says something, where the target does not
+            fills = merge.POLICIES[name](old, new, kind)
+            some = met.filter(truthy & ~fills.eqNullSafe(old))
+            hits.append(some.groupBy("target").agg(F.min("_ord").alias("_ord")).select("_ord"))
+        elif name in ("overwrite", "defined"):  # another value than the one before it
+            said = met.filter(truthy if name == "overwrite" else new.isNotNull())
+            last = F.lag(new).over(Window.partitionBy("target").orderBy("_ord"))
+            first = F.row_number().over(Window.partitionBy("target").orderBy("_ord")) == 1
+            hits.append(said.select("_ord", (~new.eqNullSafe(F.when(first, old).otherwise(last))).alias("hit")).filter("hit").select("_ord"))
+        elif name == "if_empty":
+            some = met.filter((F.coalesce(F.size(old), F.lit(0)) <= 0) & (F.size(new) > 0))
+            hits.append(some.groupBy("target").agg(F.min("_ord").alias("_ord")).select("_ord"))
+        else:  # the first to bring an element that the target lacks
+            items = met.select("_ord", "target", F.explode(F.array_except(F.coalesce(new, F.array().cast("array<string>")), F.coalesce(old, F.array().cast("array<string>")))).alias("item"))
+            hits.append(items.groupBy("target", "item").agg(F.min("_ord").alias("_ord")).select("_ord"))
+    hit = reduce(DataFrame.unionByName, hits).distinct().select(F.col("_ord").alias("_hit"))
+    out = plan.join(hit, F.col("_ord") == F.col("_hit"), "left")
+    return out.select("_ord", "kind", "target", F.col("_hit").isNotNull().alias("changed"))
 
 
 def apply_updates(rows: DataFrame, updates: DataFrame, policy: dict[str, str]) -> DataFrame:

@@ -190,11 +190,47 @@ def q_two_key_lookup(spark, sf):
     return out.select(c("_ord").alias("p_partkey"), "by_handle", "by_title", "at")
 
 
-@query(None)
+_UPSERT_SQL = rf"""
+WITH RECURSIVE p AS (SELECT p_partkey AS o, p_name || p_size AS handle, p_name || p_type || p_brand AS title, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_type END AS price, p_brand AS tag FROM part),
+k AS (SELECT *, lower(handle) AS h, {n1('title')} AS t FROM p),
+bh AS (SELECT h, max(o) AS at FROM k WHERE o % 3 <> 0 GROUP BY h), bt AS (SELECT t, max(o) AS at FROM k WHERE o % 3 <> 0 GROUP BY t),
+i AS (SELECT k.*, bh.at AS by_h, bt.at AS by_t, row_number() OVER (ORDER BY o) AS n FROM k LEFT JOIN bh USING (h) LEFT JOIN bt USING (t) WHERE o % 3 = 0),
+walk AS (
+  SELECT 0::BIGINT AS n, []::VARCHAR[] AS hs, []::VARCHAR[] AS ts, []::BIGINT[] AS ats, NULL::BIGINT AS o, NULL::VARCHAR AS kind, NULL::BIGINT AS target
+  UNION ALL
+  SELECT n, CASE WHEN kind = 'append' THEN list_append(hs, h) ELSE hs END, CASE WHEN kind = 'append' THEN list_append(ts, t) ELSE ts END, CASE WHEN kind = 'append' THEN list_append(ats, o) ELSE ats END, o, kind,
+    CASE WHEN kind = 'append' THEN o WHEN by_h IS NOT NULL THEN by_h WHEN list_contains(hs, h) THEN ats[list_position(hs, h)] WHEN by_t IS NOT NULL THEN by_t ELSE ats[list_position(ts, t)] END
+  FROM (SELECT i.*, hs, ts, ats, CASE WHEN by_h IS NOT NULL THEN 'base' WHEN list_contains(hs, h) THEN 'new' WHEN by_t IS NOT NULL THEN 'base' WHEN list_contains(ts, t) THEN 'new' ELSE 'append' END AS kind
+        FROM walk w JOIN i ON i.n = w.n + 1)),
+plan AS (SELECT o, kind, target FROM walk WHERE n > 0), u AS (SELECT plan.*, p.price, p.tag FROM plan JOIN p USING (o) WHERE kind <> 'append')"""
+
+
+@query(_UPSERT_SQL + """,
+top AS (SELECT max(o) + 1 AS top FROM p WHERE o % 3 <> 0), s AS (SELECT target, arg_min(price, o) FILTER (WHERE price <> '') AS price FROM u GROUP BY target),
+tags AS (SELECT target, string_agg(tag, ',' ORDER BY o) AS tags FROM (SELECT u.target, u.tag, min(u.o) AS o FROM u JOIN p ON p.o = u.target AND p.tag <> u.tag GROUP BY ALL) GROUP BY target)
+SELECT p.o + CASE WHEN p.o % 3 = 0 THEN top ELSE 0 END AS _ord, handle, title, CASE WHEN p.price = '' THEN coalesce(s.price, '') ELSE p.price END AS price, tag || coalesce(',' || tags, '') AS tags
+FROM p, top LEFT JOIN s ON s.target = p.o LEFT JOIN tags ON tags.target = p.o WHERE p.o % 3 <> 0 OR p.o IN (SELECT o FROM plan WHERE kind = 'append')""")
 def q_upsert(spark, sf):
     """A sequential upsert: later rows see what earlier ones appended."""
-    p = read(spark, sf, "part").select(c("p_partkey").alias("_ord"), F.concat("p_name", c("p_size").cast("string")).alias("handle"), F.concat("p_name", "p_type", c("p_brand")).alias("title"), c("p_type").alias("price"), F.array("p_brand").alias("series"))
-    return match.upsert(p.filter("_ord % 3 = 0"), p.filter("_ord % 3 <> 0"), {"price": "falsy", "series": "union"}).select("_ord", "handle", "title", "price", F.array_join("series", ",").alias("tags"))
+    base, new = _upsert_rows(spark, sf)
+    return match.upsert(base, new, {"price": "falsy", "series": "union"}).select("_ord", "handle", "title", "price", F.array_join("series", ",").alias("tags"))
+
+
+@query(_UPSERT_SQL + """
+SELECT plan.o AS p_partkey, kind, plan.target, kind <> 'append' AND (
+  (t.price = '' AND p.price <> '' AND NOT EXISTS (SELECT 1 FROM u WHERE u.target = plan.target AND u.o < plan.o AND u.price <> ''))
+  OR (t.tag <> p.tag AND NOT EXISTS (SELECT 1 FROM u WHERE u.target = plan.target AND u.o < plan.o AND u.tag = p.tag))) AS changed
+FROM plan JOIN p USING (o) JOIN p t ON t.o = plan.target""")
+def q_upsert_changes(spark, sf):
+    """Which incoming rows changed a row, and what each of them did."""
+    base, new = _upsert_rows(spark, sf)
+    return match.upsert_changes(base, new, {"price": "falsy", "series": "union"}).withColumnRenamed("_ord", "p_partkey")
+
+
+def _upsert_rows(spark, sf) -> tuple[DataFrame, DataFrame]:
+    price = F.when(c("p_partkey") % 4 == 0, "").otherwise(c("p_type"))
+    p = read(spark, sf, "part").select(c("p_partkey").alias("_ord"), F.concat("p_name", c("p_size").cast("string")).alias("handle"), F.concat("p_name", "p_type", c("p_brand")).alias("title"), price.alias("price"), F.array("p_brand").alias("series"))
+    return p.filter("_ord % 3 <> 0"), p.filter("_ord % 3 = 0")
 
 
 @query(rf"""WITH r AS (SELECT p_partkey AS o, p_name || ' ' || p_type AS title, CASE WHEN p_partkey % 5 = 0 THEN 'shop' ELSE '' END AS src, p_brand AS pid, CASE WHEN p_size % 6 = 0 THEN 'Mystery' ELSE 'Pop! ' || p_type END AS tag FROM part),

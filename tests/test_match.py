@@ -83,6 +83,30 @@ def test_upsert_equals_one_pass(spark, seed):
     assert {r["_ord"]: (r["kind"], r["target"]) for r in got} == sequential(base, new)
 
 
+@pytest.mark.parametrize("rounds,replay", [(10, 10_000), (2, 5), (2, 0)])
+def test_upsert_of_one_component_of_all_rows(spark, monkeypatch, rounds, replay):
+    monkeypatch.setattr(match, "ROUNDS", rounds)
+    monkeypatch.setattr(match, "REPLAY", replay)
+    rng = random.Random(9)
+    chain = [(2 * i + k, f"h{i + k}", f"t{i}") for i in range(12) for k in (0, 1)]  # each row shares a key with the next
+    hot = [(100 + i, "hot", f"t{rng.randrange(40)}") for i in range(80)]
+    new = [*chain, *hot, *((200 + i, f"h{rng.randrange(30)}", rng.choice(["hot title", f"t{rng.randrange(60)}"])) for i in range(80))]
+    base = [(0, "h3", "t7"), (1, "b", "hot title")]
+    s = "_ord long, handle string, title string"
+    got = match.assign_upsert(spark.createDataFrame(new, s), spark.createDataFrame(base, s)).collect()
+    assert len(got) == len(new) and {r["_ord"]: (r["kind"], r["target"]) for r in got} == sequential(base, new)
+
+
+def test_changed_rows(spark):
+    s = "_ord long, handle string, title string, price string, pid string, note string, series array<string>, tags array<string>"
+    base = [(0, "a", "A", "", "p", "x", ["s"], []), (1, "b", "B", "5", "", None, None, ["k"])]
+    new = [(0, "a", "", "7", "", "x", ["s"], ["m"]), (1, "a", "", "8", "", None, ["s"], ["n"]), (2, "a", "", "", "q", "x", None, None), (3, "a", "", "", "q", "y", ["s", "t"], None)]
+    new += [(4, "a", "", "", "", "y", ["t"], None), (5, "b", "", "6", "", None, None, None), (6, "n", "N", "", "", None, None, None), (7, "n", "", "1", "", None, None, None)]
+    policy = {"price": "falsy", "pid": "overwrite", "note": "defined", "series": "union", "tags": "if_empty"}
+    got = match.upsert_changes(spark.createDataFrame(base, s), spark.createDataFrame(new, s), policy).collect()
+    assert sorted((r["_ord"], r["kind"], r["changed"]) for r in got) == [(0, "base", True), (1, "base", False), (2, "base", True), (3, "base", True), (4, "base", False), (5, "base", False), (6, "append", False), (7, "new", True)]
+
+
 def test_upsert_fixtures(spark):
     s = "_ord long, handle string, title string, price string"
     new = spark.createDataFrame([(0, "h1", "T1", ""), (1, "h1", "T2", "2"), (2, "h2", "T1", "3"), (3, "h3", "T2", "4")], s)
