@@ -109,3 +109,6 @@ PAGE_CEILING = 500
 EMPTY_PAGES = 3
 FETCH_TRIES = 3
 FETCH_BACKOFF_MS = 2000
+
+# Facets of the shop
+FACET_DIMS = ("fandom", "license", "series")

@@ -6,6 +6,8 @@ back out of the readers: every selector, every fallback, and the odd spellings.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from shelfmark.functions import fixed_values as V
 from shelfmark.operators import crawl, derive, incremental, match, predicates, report
 from shelfmark.plans import pricing
 from shelfmark.plans.catalog_queries import ORACLES, query, quoted, read
-from shelfmark.sources import catalog, html
+from shelfmark.session import stash_path
+from shelfmark.sources import catalog, html, json_array
 
 c = F.col
 
@@ -330,6 +333,58 @@ def q_attempts(spark, sf):
     return crawl.attempts(log).withColumn("due", F.date_format("due", "yyyy-MM-dd HH:mm:ss"))
 
 
+# Catalog files: written by many tasks, read in ranges
+
+
+def _catalog_rows(spark, sf) -> DataFrame:
+    k = c("p_partkey")
+    none = F.lit(None).cast("string")
+    return read(spark, sf, "part").select(
+        k.alias("_ord"), page('h "', k, '"').alias("handle"), F.when(k % 3 == 0, none).otherwise(page("{", c("p_name"), "], [\\", c("p_type"))).alias("title"), F.when(k % 4 == 0, F.array("p_brand", "p_type")).alias("series"), F.when(k % 5 == 0, "1").alias("upc"),
+    )
+
+
+_ARRAY_SQL = r"""SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS _ord, 'h "' || p_partkey || '"' AS handle, CASE WHEN p_partkey % 3 > 0 THEN '{' || p_name || '], [\' || p_type END AS title,
+  CASE WHEN p_partkey % 4 = 0 THEN p_brand || ';' || p_type END AS series, CASE WHEN p_partkey % 5 = 0 THEN '1' END AS upc FROM part"""
+
+
+@query(_ARRAY_SQL)
+def q_json_array(spark, sf):
+    path = stash_path(spark, "array")
+    catalog.write_json_array(_catalog_rows(spark, sf), path)
+    found = catalog.read_catalog(spark, path, range_bytes=20_000)
+    return found.select("_ord", "handle", "title", F.array_join("series", ";").alias("series"), "upc")
+
+
+@query("SELECT 'none' AS dataset, 0 AS rows UNION ALL SELECT 'cut off', 0 UNION ALL SELECT 'bad record', 0 UNION ALL SELECT 'whole', count(*) FROM part")
+def q_optional_datasets(spark, sf):
+    """What passes get of datasets that are missing, cut off, of a bad record, or whole."""
+    lines = _catalog_rows(spark, sf).select("_ord", F.to_json(F.struct("handle", "title")).alias("value"))
+    made = {"none": None, "cut off": (lines, ""), "bad record": (lines.withColumn("value", F.when(c("_ord") == 7, "{nope}").otherwise(c("value"))), "]"), "whole": (lines, "]")}
+    out = []
+    for name, how in made.items():
+        path = stash_path(spark, "optional")
+        if how:
+            json_array.write_text(how[0], path, tail=how[1])
+        out.append(catalog.read_optional(spark, path, catalog.CATALOG).agg(F.count("*").alias("rows")).select(F.lit(name).alias("dataset"), "rows"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("""
+WITH v AS (SELECT CASE p_size % 2 WHEN 0 THEN 'fandom' ELSE 'series' END AS dim, p_type AS name, count(*) AS n FROM part GROUP BY ALL)
+SELECT dim, name, n AS count, (SELECT count(*) FROM v w WHERE w.dim = v.dim) AS names, (SELECT count(*) FROM part) AS total FROM v""")
+def q_vocabulary(spark, sf):
+    p = read(spark, sf, "part")
+    words = p.groupBy(F.when(c("p_size") % 2 == 0, "fandom").otherwise("series").alias("dim"), c("p_type").alias("name")).agg(F.count("*").alias("count"))
+    path = stash_path(spark, "vocabulary")
+    catalog.write_vocabulary(words, path, p.count(), "2024-01-01T00:00:00Z")
+    names = "map<string,bigint>"
+    parts = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), "value")
+    whole = parts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "value"))), lambda x: x["value"]), "").alias("value"))
+    found = whole.select(F.from_json("value", f"counts {names}, unfilteredTotal bigint, vocabulary map<string,{names}>").alias("v")).select("v.*", F.explode("v.vocabulary").alias("dim", "words"))
+    return found.select("dim", F.explode("words").alias("name", "count"), F.element_at("counts", c("dim")).alias("names"), c("unfilteredTotal").alias("total"))
+
+
 # Joins, merges and the pricing pass
 
 

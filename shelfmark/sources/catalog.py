@@ -4,27 +4,27 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterator
 
-import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions import fixed_values as V
+from shelfmark.session import stash
+from shelfmark.sources import json_array
+
+c = F.col
 
 CATALOG = T.StructType(
     [T.StructField(f, T.StringType()) for f in V.STRING_FIELDS] + [T.StructField(f, T.BooleanType()) for f in V.BOOLEAN_FIELDS] + [T.StructField(f, T.ArrayType(T.StringType())) for f in V.ARRAY_FIELDS]
 )
 
 
-def read_catalog(spark: SparkSession, path: str, schema: T.StructType = CATALOG) -> DataFrame:
-    """A JSON array with ``_ord``, the place in the array; anything but JSON fails the read.
-
-    One array is one split by nature. At scale a catalog is a folder of JSON Lines or Parquet with
-    ``_ord`` written in it: read_table.
-    """
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path).withColumn("_ord", F.monotonically_increasing_id())
+def read_catalog(spark: SparkSession, path: str, schema: T.StructType = CATALOG, range_bytes: int = json_array.RANGE_BYTES) -> DataFrame:
+    """A JSON array with ``_ord``, the place in the array, read in ranges; anything but JSON fails the read."""
+    return json_array.read_array(spark, path, schema, range_bytes)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -32,11 +32,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A landed dataset, or no rows where it is missing: the pass that wants it then does nothing."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return spark.createDataFrame([], schema).withColumn("_ord", F.monotonically_increasing_id())
-    return read_catalog(spark, path, schema)
+    """A landed dataset, or no rows where it is missing or corrupt: the pass that wants it then does nothing.
+
+    A record that is no JSON makes the whole dataset corrupt, so it is parsed here, and what was parsed is stored.
+    """
+    none = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_ord", T.LongType())]))
+    try:
+        return stash(read_catalog(spark, path, schema), "optional")
+    except (FileNotFoundError, ValueError):
+        return none
+    except (PySparkException, Py4JJavaError) as e:
+        if "MALFORMED_RECORD" in str(e) or "an empty record" in str(e) or "UnicodeDecodeError" in str(e):
+            return none
+        raise
 
 
 def worked_on(c=F.col) -> Column:
@@ -62,30 +70,27 @@ def write_catalog(catalog: DataFrame, path: str, dry_run: bool = False) -> DataF
 
 
 def write_json_array(catalog: DataFrame, path: str) -> None:
-    """One file with one JSON array in the order of ``_ord``, for readers that want that.
+    """One JSON array in the order of ``_ord`` at a new path, written by all tasks: the folder's files in order are it."""
+    json_array.write_text(catalog.select("_ord", F.to_json(F.struct(*(c for c in catalog.columns if c != "_ord"))).alias("value")), path)
+
+
+def write_vocabulary(vocabulary: DataFrame, path: str, total: int, harvested: str, source: str = V.SHOP_BASE, dims: tuple[str, ...] = V.FACET_DIMS) -> None:
+    """A facet vocabulary ``(dim, name, count)`` as one JSON object: source, time, whole total, names of each dimension.
 
-    One task writes it row by row and none holds it; for whole catalogs of many machines use write_catalog.
+    Names are in order; each is a line of its own until the commit, so no task holds a dimension.
     """
-    spark = catalog.sparkSession
-    end = spark.range(1).select(F.lit(2**63 - 1).alias("_ord"), F.lit(None).cast("string").alias("value"))
-    lines = catalog.select("_ord", F.to_json(F.struct(*(c for c in catalog.columns if c != "_ord"))).alias("value")).unionByName(end)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = False
-        for batch in batches:
-            out = []
-            for line in batch.column("value").to_pylist():
-                out.append(("" if opened else "[") + "]" if line is None else ("," if opened else "[") + line)
-                opened = True
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
-
-    lines.repartitionByRange(1, "_ord").sortWithinPartitions("_ord").select("value").mapInArrow(run, "value string").write.text(path)
-
-
-def write_vocabulary(vocabulary: DataFrame, path: str, total: int, harvested: str) -> None:
-    """A facet vocabulary ``(dim, name, count)`` as one JSON object a dimension, with its size, the whole's and the time."""
-    made = vocabulary.groupBy("dim").agg(F.count("*").alias("names"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "count")))).alias("vocabulary"))
-    made.withColumns({"unfilteredTotal": F.lit(total), "harvestedAt": F.lit(harvested)}).write.json(path)
+    counts = {r["dim"]: r["n"] for r in vocabulary.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a row a dimension
+    about = {"source": source, "harvestedAt": harvested, "unfilteredTotal": total, "counts": {d: counts.get(d, 0) for d in dims}}
+    first = vocabulary.groupBy("dim").agg(F.min("name").alias("first"))
+    key = F.regexp_extract(F.to_json(F.struct("name")), r'(?s)^\{"name":(.*)\}$', 1)
+    rows = vocabulary.join(F.broadcast(first), "dim").withColumn("at", F.array_position(F.array(*map(F.lit, dims)), c("dim"))).filter("at > 0")
+    known = [d for d in dims if counts.get(d)]
+    opening = F.concat(F.when(c("dim") == (known[0] if known else ""), "").otherwise("},"), F.lit('"'), c("dim"), F.lit('":{'))
+    value = F.concat(F.when(c("name") == c("first"), opening).otherwise(","), key, F.lit(":"), c("count").cast("string"))
+    lines = rows.select(F.struct("at", "name").alias("_ord"), value.alias("value"))
+    rest = "".join(f',"{d}":{{}}' for d in dims if not counts.get(d))
+    tail = ("}" + rest if known else rest[1:]) + "}}"
+    json_array.write_text(lines, path, head=json.dumps(about, separators=(",", ":"))[:-1] + ',"vocabulary":{', between="", tail=tail)
 
 
 def write_versioned(catalog: DataFrame, folder: str) -> str:

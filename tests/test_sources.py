@@ -76,8 +76,12 @@ def test_sinks(spark, tmp_path):
     assert catalog.clear_done(spark, done, complete=True) and catalog.read_done(spark, done).isEmpty()
     names = spark.createDataFrame([("fandom", "A", 3), ("fandom", "B", 1), ("license", "C", 2)], "dim string, name string, count int")
     catalog.write_vocabulary(names, str(tmp_path / "facets"), 2925, "2024-01-01T00:00:00Z")
-    got = {r["dim"]: r for r in spark.read.json(str(tmp_path / "facets")).collect()}
-    assert (got["fandom"]["names"], got["fandom"]["vocabulary"]["A"], got["license"]["unfilteredTotal"]) == (2, 3, 2925)
+    got = json.loads(text("facets"))
+    assert got == {"source": "https://www.funko.com", "harvestedAt": "2024-01-01T00:00:00Z", "unfilteredTotal": 2925, "counts": {"fandom": 2, "license": 1, "series": 0}, "vocabulary": {"fandom": {"A": 3, "B": 1}, "license": {"C": 2}, "series": {}}}
+    catalog.write_vocabulary(names.limit(0), str(tmp_path / "nothing"), -1, "t")
+    assert json.loads(text("nothing"))["vocabulary"] == {"fandom": {}, "license": {}, "series": {}}
+    catalog.write_vocabulary(names.filter("dim = 'license'").withColumn("name", F.lit('a "b" \\ é')), str(tmp_path / "odd"), 1, "t")
+    assert json.loads(text("odd"))["vocabulary"] == {"fandom": {}, "license": {'a "b" \\ é': 2}, "series": {}}
     judged = rows.withColumn("dropped", F.col("handle") == "a")
     catalog.write_split(judged, str(tmp_path / "kept"), str(tmp_path / "gone"))
     assert [r["handle"] for r in spark.read.json(str(tmp_path / "kept")).collect()] == ["b"]
