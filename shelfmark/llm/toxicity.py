@@ -9,6 +9,10 @@ report, clause end or other. Five transducers read that stream and rewrite or we
 * ``report``: what is said by others, a verb of saying in its clause, weighs less;
 * ``insult``: a second insult in a clause weighs more than the first.
 
+Besides its factor each weighted arc has marks: near a target, negated, reported. The weights that a
+text's insults and threats have under each of these, and under none, are features of the calibrator, so
+the labels decide how much a context counts; the factors are where it starts from.
+
 They are composed once into one deterministic machine, which walks each text clause by clause; a
 clause's score is the sum of its weighted arcs. Targets and verbs of saying count on either side of
 the word: where the clause has them anywhere, the walk starts in the state that they lead to. A
@@ -34,13 +38,18 @@ from pyspark.sql import functions as F
 from shelfmark.llm import fitting
 from shelfmark.llm.common import ALNUM_LOWER, as_bytes, crc_mod, per_batch, table
 
-#: Bounds of the fit.
+#: Bounds of the fit: labelled texts of a class, characters of a text that is learned from (all are scored
+#: whole), and terms that are kept.
 PER_CLASS = 3000
 MAX_CHARS = 20_000
 MAX_TERMS = 4000
 STEMS = (4, 5, 6)
 MIN_SHARE = 0.01
 
+#: Marks of a weighted arc.
+TARGETED, NEGATED, REPORTED = 1, 2, 4
+N_FEATURES = 8
+
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
 SEEDS: dict[int, str] = {
@@ -50,41 +59,48 @@ SEEDS: dict[int, str] = {
     NEGATION: "not no never isn aren wasn don doesn didn nicht kein keine nie pas jamais aucun nunca jamás",
     REPORT: "said says say told wrote claimed quoted called according sagte sagt schrieb dit disait écrit dijo dice escribió",
 }
+#: Endings of a threat's other forms; a last e goes before those that begin with a vowel.
+ENDINGS = ("", "s", "es", "d", "ed", "ing", "er", "t", "st", "en", "n")
 CLAUSE_END = frozenset(b".!?;:\n")
 
 
 class Transducer:
-    """A deterministic weighted machine over symbols: ``arcs[state][symbol] = (state, symbol out, factor)``."""
+    """A deterministic weighted machine over symbols: ``arcs[state][symbol] = (state, symbol out, factor, marks)``."""
 
-    def __init__(self, arcs: list[dict[int, tuple[int, int, float]]]):
-        self.arcs = [{s: a.get(s, (0 if s == END else i, s, 1.0)) for s in range(7)} for i, a in enumerate(arcs)]
+    def __init__(self, arcs: list[dict[int, tuple]]):
+        self.arcs = [{s: (*a.get(s, (0 if s == END else i, s, 1.0)), 0)[:4] for s in range(7)} for i, a in enumerate(arcs)]
 
     def __matmul__(self, other: Transducer) -> Transducer:
-        """Composition: this machine's output is the other's input, factors multiply."""
+        """Composition: this machine's output is the other's input, factors multiply, marks unite."""
         index, todo, made = {(0, 0): 0}, [(0, 0)], []
         while len(made) < len(todo):
             p, q = todo[len(made)]
             row = {}
             for s in range(7):
-                p2, mid, f = self.arcs[p][s]
-                q2, out, g = other.arcs[q][mid]
+                p2, mid, f, m = self.arcs[p][s]
+                q2, out, g, n = other.arcs[q][mid]
                 if (p2, q2) not in index:
                     index[(p2, q2)] = len(todo)
                     todo.append((p2, q2))
-                row[s] = (index[(p2, q2)], out, f * g)
+                row[s] = (index[(p2, q2)], out, f * g, m | n)
             made.append(row)
         return Transducer(made)
 
 
 def grammar() -> Transducer:
     threat = Transducer([{TARGET: (1, TARGET, 1.0), THREAT: (0, OTHER, 1.0)}, {THREAT: (1, INSULT, 1.0)}])
-    target = Transducer([{TARGET: (1, OTHER, 1.0)}, {INSULT: (1, INSULT, 1.5)}])
-    negation = Transducer([{NEGATION: (1, OTHER, 1.0)}, {INSULT: (1, INSULT, 0.5)}])
-    report = Transducer([{REPORT: (1, OTHER, 1.0)}, {INSULT: (1, INSULT, 0.5)}])
+    target = Transducer([{TARGET: (1, OTHER, 1.0)}, {INSULT: (1, INSULT, 1.5, TARGETED)}])
+    negation = Transducer([{NEGATION: (1, OTHER, 1.0)}, {INSULT: (1, INSULT, 0.5, NEGATED)}])
+    report = Transducer([{REPORT: (1, OTHER, 1.0)}, {INSULT: (1, INSULT, 0.5, REPORTED)}])
     insult = Transducer([{INSULT: (1, INSULT, 1.0)}, {INSULT: (1, INSULT, 1.25)}])
     return threat @ target @ negation @ report @ insult
 
 
+def forms(word: str) -> set[str]:
+    """A word with the endings of its other forms."""
+    return {(word[:-1] if word.endswith("e") and e[:1] in ("e", "i") else word) + e for e in ENDINGS}
+
+
 @dataclass
 class Grammar:
     words: dict[bytes, tuple[int, float]] = field(default_factory=dict)
@@ -92,20 +108,20 @@ class Grammar:
     calibrator: dict[str, list[float]] = field(default_factory=dict)
     machine: Transducer = field(default_factory=grammar)
 
-    def clauses(self, text: bytes | None) -> tuple[int, list[tuple[float, int, int]]]:
-        """Number of words, and (score, first byte, byte after) of each clause that scores."""
+    def clauses(self, text: bytes | None) -> tuple[int, list[tuple[float, int, int]], list[float]]:
+        """Number of words, (score, first byte, byte after) of each clause that scores, and the weight under each mark and none."""
         if not text:
-            return 0, []
+            return 0, [], [0.0] * 4
         words = text.translate(ALNUM_LOWER).split()
         known, stems = self.words, list(self.stems.items())
         if not any(w in known and known[w][0] in (INSULT, THREAT) for w in words) and not any(w[:n] in s for n, s in stems for w in words):
-            return len(words), []
-        found, run = [], []
+            return len(words), [], [0.0] * 4
+        found, run, marked = [], [], [0.0] * 4
         low, at, first = text.translate(ALNUM_LOWER), 0, 0
         for w in words:
             start = low.index(w, at)
             if any(c in CLAUSE_END for c in text[at:start]):
-                if score := self.weigh(run):
+                if score := self.weigh(run, marked):
                     found.append((score, first, at))
                 run, first = [], start
             symbol, weight = known.get(w, (OTHER, 0.0))
@@ -116,12 +132,12 @@ class Grammar:
             if symbol != OTHER:
                 run.append((symbol, weight))
             at = start + len(w)
-        if score := self.weigh(run):
+        if score := self.weigh(run, marked):
             found.append((score, first, at))
-        return len(words), found
+        return len(words), found, marked
 
-    def weigh(self, run: list[tuple[int, float]]) -> float:
-        """Score of one clause, given its symbols but OTHER, which no transducer acts on."""
+    def weigh(self, run: list[tuple[int, float]], marked: list[float] | None = None) -> float:
+        """Score of one clause, given its symbols but OTHER, which no transducer acts on; adds to ``marked`` what is marked."""
         symbols = {s for s, _ in run}
         if INSULT not in symbols and THREAT not in symbols:
             return 0.0
@@ -131,16 +147,19 @@ class Grammar:
             if context in symbols:
                 state = arcs[state][context][0]
         for symbol, weight in run:
-            state, out, factor = arcs[state][symbol]
+            state, out, factor, marks = arcs[state][symbol]
             if out == INSULT:
                 score += weight * factor
+                if marked is not None:
+                    for k in [i for i in range(3) if marks >> i & 1] or [3]:
+                        marked[k] += weight
         return score
 
-    def features(self, n: int, found: list[tuple[float, int, int]]) -> list[float]:
-        """What is calibrated, of a text of ``n`` words with the clauses ``found``."""
+    def features(self, n: int, found: list[tuple[float, int, int]], marked: list[float]) -> list[float]:
+        """What is calibrated, of a text of ``n`` words with the clauses ``found`` and weights by mark."""
         scores = [s for s, _, _ in found]
         total = sum(scores)
-        return [math.log1p(total), math.log1p(max(scores, default=0.0)), math.log1p(100 * total / (n + 20)), float(bool(scores))]
+        return [math.log1p(total), math.log1p(max(scores, default=0.0)), math.log1p(100 * total / (n + 20)), float(bool(scores)), *map(math.log1p, marked)]
 
 
 def _terms(text: bytes) -> set[tuple[int, bytes]]:
@@ -150,7 +169,8 @@ def _terms(text: bytes) -> set[tuple[int, bytes]]:
 
 def learn_terms(g: Grammar, shown: list[tuple[bytes, int]], totals: dict[int, int]) -> None:
     """Seeds, and the words and stems that the shown texts set apart."""
-    g.words = {w.encode(): (symbol, 3.0) for symbol, words in SEEDS.items() for w in words.split()}
+    g.words = {f.encode(): (THREAT, 3.0) for w in SEEDS[THREAT].split() for f in forms(w)}
+    g.words |= {w.encode(): (symbol, 3.0) for symbol, words in SEEDS.items() for w in words.split()}
     g.stems = {}
     toxic, clean = Counter(), Counter()
     n1 = n0 = 0
@@ -180,15 +200,15 @@ def learn_terms(g: Grammar, shown: list[tuple[bytes, int]], totals: dict[int, in
 def fit(sample: list[tuple[bytes, int]], totals: dict[int, int]) -> Grammar:
     """The calibrator is fitted on even rows under terms from odd ones; the terms kept are those of all rows."""
     g = Grammar()
-    shown, fitted = (sample[1::2], sample[::2]) if len(sample) >= 40 else (sample, sample)
+    shown, fitted = sample[1::2], sample[::2]
     learn_terms(g, shown, totals)
-    x = np.array([g.features(*g.clauses(t)) for t, _ in fitted]).reshape(-1, 4)
+    x = np.array([g.features(*g.clauses(t)) for t, _ in fitted]).reshape(-1, N_FEATURES)
     y = np.array([y for _, y in fitted], dtype=float)
     weight = np.array([totals.get(int(v), 1) / max(1, (y == v).sum()) for v in y])
     if len(y) and y.min() < y.max():
         g.calibrator = fitting.logistic(x, y, weight * len(y) / weight.sum(), 0.1)
     else:  # nothing to fit on: one full insult is even odds
-        g.calibrator = {"mean": [0.0] * 4, "scale": [1.0] * 4, "beta": [-4.0, 3.0, 0.0, 0.0, 0.0]}
+        g.calibrator = {"mean": [0.0] * N_FEATURES, "scale": [1.0] * N_FEATURES, "beta": [-4.0, 3.0, *[0.0] * (N_FEATURES - 1)]}
     learn_terms(g, sample, totals)
     return g
 
@@ -207,8 +227,8 @@ def score(docs: DataFrame, model: Grammar, keep: list[str]) -> DataFrame:
         def run(batch: pa.RecordBatch) -> dict[str, list]:
             texts = as_bytes(batch.column("text"))
             walked = [g.clauses(t) for t in texts]
-            x = np.array([g.features(n, found) for n, found in walked]).reshape(-1, 4)
-            spans = [found for _, found in walked]
+            x = np.array([g.features(*w) for w in walked]).reshape(-1, N_FEATURES)
+            spans = [found for _, found, _ in walked]
             top = [max(s, default=(0.0, None, None)) for s in spans]
             return {"score": fitting.probability(g.calibrator, x).tolist(), "n_clauses": [len(s) for s in spans], "clause_start": [t[1] for t in top], "clause_end": [t[2] for t in top]}
 

@@ -76,6 +76,40 @@ def test_context_counts_on_either_side():
     assert score("an idiot. he said") == score("an idiot")
 
 
+def test_threats_have_other_forms():
+    g = toxicity.fit([], {})
+    for text in ("they are killing you", "he hurts them", "you were burned", "she destroys you", "smashed them", "you got murdered"):
+        assert g.clauses(text.encode())[1], text
+
+
+def plain_sum(g, text):
+    """What isolated words give: the weight of the insult words, wherever they stand."""
+    return sum(g.words.get(w, (0, 0.0))[1] for w in text.translate(toxicity.ALNUM_LOWER).split() if g.words.get(w, (0,))[0] == toxicity.INSULT)
+
+
+def test_contexts_change_held_out_predictions():
+    """Texts of equal insult words, told apart by what stands around them: words alone cannot, the machine can."""
+    rng = random.Random(21)
+    filler = "river stone cloud window garden paper table winter morning letter".split()
+    prose = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+
+    def made(y):
+        word = rng.choice(["idiot", "moron", "loser"])
+        hit = rng.choice([f"you {word}", f"{word} they"]) if y else rng.choice([f"never a {word}", f"{word} she wrote", f"he said {word}", f"not one {word}"])
+        return f"{prose(12)}. {prose(3)} {hit} {prose(2)}. {prose(9)}".encode()
+
+    sample = [(made(i % 2), i % 2) for i in range(400)]
+    held = [(made(i % 2), i % 2) for i in range(200)]
+    g = toxicity.fit(sample, {0: 200, 1: 200})
+    p = toxicity.fitting.probability(g.calibrator, np.array([g.features(*g.clauses(t)) for t, _ in held]))
+    y = np.array([y for _, y in held])
+    assert ((p >= 0.5) == y).mean() > 0.97
+    # the same fit on the plain sum: a single value for nearly all, so about half of them are wrong
+    flat = lambda rows: np.array([[np.log1p(plain_sum(g, t))] for t, _ in rows])
+    model = toxicity.fitting.logistic(flat(sample), np.array([float(v) for _, v in sample]), np.ones(len(sample)))
+    assert ((toxicity.fitting.probability(model, flat(held)) >= 0.5) == y).mean() < 0.7
+
+
 def plainly(run):
     """Score of a clause by the rules as they are written, without a machine."""
     kinds = [s for s, _ in run]
