@@ -6,13 +6,16 @@ the base rules go into a log-linear histogram for each language, source and meas
 bits, so values are at most 1/64 off); such sketches merge by adding counts, in any order, to the same
 result. Fences are read from them and from nothing else: a quantile of the group, and as many times
 as ``MEASURES`` says its distance from the median beyond it. For word length there is one on either
-side. A text is kept if each of its measures' cells lies within the fences of its language and
+side. Where the quantile is the median, its distance says nothing: the fence is then half way from
+there to the lower quarter of what the sketch has beyond, and at least one cell away, so it never has
+width zero in a group that has anything beyond. A text is kept if each of its measures' cells lies within the fences of its language and
 source. Sources with under ``least`` such texts use the merged sketch of their language, small
 languages that of the corpus.
 
 The levels say which part of a group is looked on as its bulk, not what value is too much: where a
-tenth of a source is full of symbols, that is how the source is. Repeats have no bulk but zero, so
-theirs is the far end: some 5 in 1,000 texts of a group have more.
+tenth of a source is full of symbols, that is how the source is. Repeats have no bulk but zero, and
+labels show no tie between them and quality, so only what lies far beyond a group's last thousandth is
+rejected for them.
 
 Cases. Null and empty texts have no words: base_failed. A null language or source is a group of its
 own. A text of any length is measured whole. Repeated rows are measured each and count each. A group
@@ -22,6 +25,9 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,7 +38,9 @@ from shelfmark.session import stash
 
 LEAST = 50
 #: Measure: (thousandths of the group up to the fence's quantile, how many times its distance from the median lies beyond, a lower fence too).
-MEASURES: dict[str, tuple[int, int, bool]] = {"mean_len": (900, 3, True), "symbol_share": (900, 3, False), "dup_share": (995, 0, False), "repeat_share": (995, 0, False)}
+MEASURES: dict[str, tuple[int, int, bool]] = {"mean_len": (900, 3, True), "symbol_share": (900, 3, False), "dup_share": (999, 3, False), "repeat_share": (999, 3, False)}
+#: Thousandths of what lies beyond the median, where the quantile is the median: half way there is the fence.
+BEYOND = 250
 BITS = 7
 WINDOW_WORDS = 8
 SYMBOLS = b"#*$%&|<>"
@@ -120,7 +128,13 @@ def fences(sketch: DataFrame, least: int = LEAST) -> DataFrame:
     for m, (l, _, _) in MEASURES.items():
         level = F.when(F.col("measure") == m, l).otherwise(level)
     q = s.withColumn("high", level).groupBy(*group).agg(F.max("total").alias("total"), at(1000 - F.col("high")).alias("low"), at(F.lit(500)).alias("mid"), at(F.col("high")).alias("top"))
-    upper = {m: F.col("top") + reach * (F.col("top") - F.col("mid")) for m, (_, reach, _) in MEASURES.items()}
+    beyond = s.join(q.filter("top = mid").select(*(F.col(g).alias(f"_{g}") for g in group), "top"), reduce(and_, (F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group))).filter("bin > top")
+    past = F.sum("n").over(run)
+    rest = beyond.withColumns({"past": past, "all": F.sum("n").over(Window.partitionBy(*group))}).groupBy(*group).agg(F.min(F.when(F.col("past") * 1000 >= F.col("all") * BEYOND, F.col("bin"))).alias("next"))
+    rest = rest.select(*(F.col(g).alias(f"_{g}") for g in group), "next")
+    q = q.join(rest, reduce(and_, (F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group)), "left").drop(*(f"_{g}" for g in group))
+    half = F.col("top") + F.greatest(F.lit(1), F.expr("(next - top) div 2"))
+    upper = {m: F.when(F.col("next").isNotNull(), half).otherwise(F.col("top") + reach * (F.col("top") - F.col("mid"))) for m, (_, reach, _) in MEASURES.items()}
     lower = {m: F.col("low") - reach * (F.col("mid") - F.col("low")) if both else F.lit(0) for m, (_, reach, both) in MEASURES.items()}
     wide = q.groupBy("level", "lang", "source").agg(
         F.max("total").alias("total"),
@@ -187,9 +201,10 @@ s AS (SELECT g.lang, g.source, g.measure, CASE WHEN len(g.cells) >= 50 THEN g.ce
       FROM g JOIN g1 ON g1.measure = g.measure AND g1.lang IS NOT DISTINCT FROM g.lang JOIN g2 ON g2.measure = g.measure),
 f AS (SELECT lang, source, measure,
         CASE WHEN measure = 'mean_len' THEN q10 - 3 * (q50 - q10) ELSE 0 END AS lo,
-        CASE WHEN measure IN ('mean_len', 'symbol_share') THEN q90 + 3 * (q90 - q50) ELSE q995 END AS hi
-      FROM (SELECT lang, source, measure, c[greatest((len(c) * 100 + 999) // 1000, 1)] AS q10, c[(len(c) * 500 + 999) // 1000] AS q50,
-              c[(len(c) * 900 + 999) // 1000] AS q90, c[(len(c) * 995 + 999) // 1000] AS q995 FROM s)),
+        CASE WHEN qt = q50 AND len(far) > 0 THEN qt + greatest(1, (far[(len(far) * 250 + 999) // 1000] - qt) // 2) ELSE qt + 3 * (qt - q50) END AS hi
+      FROM (SELECT *, list_filter(c, lambda v: v > qt) AS far
+            FROM (SELECT lang, source, measure, c, c[greatest((len(c) * 100 + 999) // 1000, 1)] AS q10, c[(len(c) * 500 + 999) // 1000] AS q50,
+                    c[(len(c) * CASE WHEN measure IN ('mean_len', 'symbol_share') THEN 900 ELSE 999 END + 999) // 1000] AS qt FROM s))),
 o AS (SELECT x.rid, bool_and(cell BETWEEN lo AND hi) AS inside
       FROM x JOIN f ON f.measure = x.measure AND f.lang IS NOT DISTINCT FROM x.lang AND f.source IS NOT DISTINCT FROM x.source GROUP BY x.rid)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,

@@ -204,10 +204,25 @@ def test_fences_equal_quantiles_of_cells(spark):
         for m, (level, reach, both) in rules.MEASURES.items():
             cells = sorted(map(cell, values[m]))
             q = lambda p: cells[max(-(-len(cells) * p // 1000), 1) - 1]  # noqa: B023, E731
-            assert got[source][f"{m}_hi"] == q(level) + reach * (q(level) - q(500))
+            far = [c for c in cells if c > q(level)]
+            if q(level) == q(500) and far:
+                want = q(level) + max(1, (far[-(-len(far) * rules.BEYOND // 1000) - 1] - q(level)) // 2)
+            else:
+                want = q(level) + reach * (q(level) - q(500))
+            assert got[source][f"{m}_hi"] == want
             assert got[source][f"{m}_lo"] == (q(1000 - level) - reach * (q(500) - q(1000 - level)) if both else 0)
 
 
+def test_one_symbol_in_a_long_text_is_no_reason(spark):
+    """A source of clean texts and some full of symbols: its fence lies between, not at zero."""
+    names = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    rows = [(i, "en", "a", 1000, 5000, 500 + i if i < 6 else 1 if i == 6 else 0, 0, 0, 10) for i in range(100)]
+    got = {r["doc_id"]: r for r in rules.judge(spark.createDataFrame(rows, names)).collect()}
+    assert 0 < got[0]["symbol_share_hi"] < 10_000 and [i for i in range(100) if not got[i]["kept"]] == list(range(6))
+    clean = {r["doc_id"]: r for r in rules.judge(spark.createDataFrame([(*r[:5], 0, *r[6:]) for r in rows], names)).collect()}
+    assert all(r["kept"] for r in clean.values())
+
+
 def test_sketches_merge_to_the_same(spark):
     rows = many_measured(spark).filter("n_words > 19").withColumns(rules.shares())
     key = ["level", "lang", "source", "measure", "bin"]
