@@ -11,8 +11,11 @@ A match stands on whole words, and edits never change what names the licence: of
 ``names``, those of up to four letters stand in the span unchanged and longer ones within one edit,
 in order; and where the notice has a version, the span's numbers are the first of the notice's. So a
 short name is never edited into another. Names compete: of overlapping matches the one with the
-fewest edits for its length stays, and a match without a label (a text that denies the notice) takes
-its place and gives none. Text is compared as lower-case words with single blanks.
+fewest edits for its length stays; of equal ones the longer.
+
+A match is denied, whatever its notice, if one of the ``REACH`` words before it says so ("not", "isn't",
+"never") with no end of a sentence between, or if a word of it is one of the notice's with "un" or "non"
+before it. A denied match keeps its place and gives no label. Base labels are no matter of denial. Text is compared as lower-case words with single blanks.
 
 Cases. Null and empty texts have no words and no labels, score 0. A text is searched whole. Repeated
 rows are scanned each. Overlapping places of a phrase all count. Equal matches: the longer, the
@@ -21,9 +24,11 @@ earlier, then the lesser label stays. Extra columns are not read.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -59,10 +64,40 @@ NOTICES = (
     ("licensed under the epl license", "epl", 3, "epl"),
     ("subject to the terms of the mozilla public license v 2 0", "mpl-2", 4, "mozilla 2"),
     ("this is free and unencumbered software released into the public domain", "unlicense", 5, "domain"),
-    ("unlicensed under the mit license", "", 0, "mit"),
-    ("not licensed under the mit license", "", 0, "mit"),
-    ("not released under the mit license", "", 0, "mit"),
+    # names as people write them
+    ("the mit license", "mit", 1, "mit"),
+    ("mit license", "mit", 1, "mit"),
+    ("apache license 2 0", "apache-2", 1, "apache 2"),
+    ("apache 2 0 license", "apache-2", 1, "apache 2"),
+    ("gnu gpl v3", "gpl-3", 0, "gpl v3"),
+    ("gpl v3", "gpl-3", 0, "gpl v3"),
+    ("gplv3", "gpl-3", 0, "gplv3"),
+    ("gpl 3 0", "gpl-3", 0, "gpl 3"),
+    ("gpl v2", "gpl-2", 0, "gpl v2"),
+    ("gplv2", "gpl-2", 0, "gplv2"),
+    ("gpl 2 0", "gpl-2", 0, "gpl 2"),
+    ("lgpl v3", "lgpl", 0, "lgpl v3"),
+    ("lgplv3", "lgpl", 0, "lgplv3"),
+    ("agpl v3", "agpl", 0, "agpl v3"),
+    ("agplv3", "agpl", 0, "agplv3"),
+    ("bsd 3 clause license", "bsd-3", 2, "bsd 3"),
+    ("bsd 3 clause", "bsd-3", 1, "bsd 3"),
+    ("3 clause bsd license", "bsd-3", 2, "3 bsd"),
+    ("bsd 2 clause license", "bsd-2", 2, "bsd 2"),
+    ("bsd 2 clause", "bsd-2", 1, "bsd 2"),
+    ("2 clause bsd license", "bsd-2", 2, "2 bsd"),
+    ("mozilla public license 2 0", "mpl-2", 2, "mozilla 2"),
+    ("mpl 2 0", "mpl-2", 0, "mpl 2"),
+    ("boost software license", "bsl", 2, "boost"),
+    ("creative commons attribution 4 0", "cc-by", 3, "creative commons attribution 4"),
+    ("creative commons zero v1 0 universal", "cc0", 3, "creative commons zero"),
+    ("cc0 1 0 universal", "cc0", 1, "cc0"),
 )
+#: Words that deny a notice soon after them, and how many words back they count.
+DENIALS = frozenset(b"unlicensed unreleased not no never neither nor cannot without isn wasn aren weren hasn haven don doesn didn won".split())
+REACH = 5
+SENTENCE_END = re.compile(rb"[.!?;:\n]")
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
 #: Verified windows kept by their text; repeated lines ask for the same ones.
@@ -93,6 +128,7 @@ class Notice:
         self.verify = lru_cache(KEPT_WINDOWS)(self._verify)
         self.pattern = regex.compile(rb"(?b)(?<![^ ])(?:" + regex.escape(self.text) + rb"){e<=%d}(?![^ ])" % k)
         self.named = self.names.split()
+        self.words = frozenset(self.text.split())
         self.numbers = [w for w in self.text.split() if w.isdigit()]
         self.versioned = any(w.isdigit() for w in self.named)
 
@@ -106,6 +142,10 @@ class Notice:
         left = iter(words)
         return all(any(w == name or len(name) > 4 and _one_edit(w, name) for w in left) for name in self.named)
 
+    def undone(self, span: bytes) -> bool:
+        """A word of the notice stands in the span with "un" or "non" before it."""
+        return any(w.startswith(p) and w[len(p) :] in self.words for w in span.split() for p in (b"un", b"non"))
+
     def find(self, text: bytes) -> list[tuple[int, int, int]]:
         """``(start, end, edits)`` of matches around exact seeds, on whole words."""
         n, k, size = len(text), self.edits, len(self.text)
@@ -132,10 +172,31 @@ class Notice:
 
     def _verify(self, window: bytes, cut_before: bool, cut_after: bool) -> tuple[int, int, int] | None:
         # where a long word was cut, its rest is no word
-        m = self.pattern.search(b"x" * cut_before + window + b"x" * cut_after)
-        if m is None or not self.is_named(m[0]):
-            return None
-        return m.start() - cut_before, m.end() - cut_before, sum(m.fuzzy_counts)
+        text = b"x" * cut_before + window + b"x" * cut_after
+        low, high = 0, len(text)
+        while (m := self.pattern.search(text, low, high)) is not None:
+            if self.is_named(m[0]):
+                return m.start() - cut_before, m.end() - cut_before, sum(m.fuzzy_counts)
+            # the best match has other names or numbers: without its last word, then without its first
+            end = m[0].rfind(b" ")
+            if end > 0 and high - m.end() < self.edits + len(self.text) // 2:
+                high = m.start() + end
+            elif (start := m[0].find(b" ")) > 0:
+                low, high = m.start() + start + 1, len(text)
+            else:
+                return None
+        return None
+
+
+def denied(text: bytes, flat: bytes, start: int) -> bool:
+    """Whether one of the words before a match denies it, in the same sentence of the text."""
+    before = flat[max(0, start - 200) : start].split()[-REACH:]
+    at = next((k for k in range(len(before) - 1, -1, -1) if before[k] in DENIALS), None)
+    if at is None:
+        return False
+    place = flat.count(b" ", 0, start)  # the match's first word
+    words = list(islice(_WORD.finditer(text), place - (len(before) - at), place + 1))
+    return len(words) < 2 or not SENTENCE_END.search(text, words[0].end(), words[-1].start())
 
 
 class Scanner:
@@ -156,7 +217,8 @@ class Scanner:
                 places.append((words_before, label))
                 at = padded.find(needle, at + 1)
         base = {label for _, label in places}
-        found = sorted(((e / len(n.text), s, t, n.label, e) for n in self.notices for s, t, e in n.find(flat)), key=lambda f: (f[0], f[1] - f[2], f[1], f[3]))
+        matches = ((e / len(n.text), s, t, "" if n.undone(flat[s:t]) or denied(text, flat, s) else n.label, e) for n in self.notices for s, t, e in n.find(flat))
+        found = sorted(matches, key=lambda f: (f[0], f[1] - f[2], f[1], f[3]))
         taken: list[tuple] = []  # disjoint, in the order of their starts
         starts: list[int] = []
         for f in found:

@@ -277,6 +277,16 @@ def test_names_are_not_edited(text, labels):
     assert licenses.Scanner().scan(text.encode())["labels"] == labels
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("It is not licensed under the GPL license.", ""), ("This isn't released under the ISC License", ""), ("never licensed under the BSD 3-Clause License", ""), ("not licensed under the bsd license", ""),
+    ("This is not free. Licensed under the GPL license", "gpl"), ("unlicensed under the isc license", ""), ("no code; BSD-2-Clause", "bsd-2"), ("Not the MIT License", ""),
+    ("MIT License", "mit"), ("The MIT Licence", "mit"), ("BSD 3-Clause License", "bsd-3"), ("3-clause BSD license", "bsd-3"), ("BSD-2-Clause", "bsd-2"), ("GPLv3", "gpl-3"), ("GPL v2 or later", "gpl-2"), ("GNU GPL v3", "gpl-3"),
+    ("LGPL v3", "lgpl"), ("Apache License, 2.0", "apache-2"), ("MPL 2.0", "mpl-2"), ("Boost Software License", "bsl"), ("CC0 1.0 Universal", "cc0"), ("bsd 4 clause license", ""), ("gpl v4", ""),
+])
+def test_denials_and_written_names(text, labels):
+    assert licenses.Scanner().scan(text.encode())["labels"] == labels
+
+
 def test_a_denied_notice_is_none():
     for text in ("unlicensed under the mit license", "not licensed under the MIT license", "not released under the mit license"):
         got = licenses.Scanner().scan(text.encode())  # the base phrase stays
@@ -303,7 +313,7 @@ def test_scan_against_brute_force():
     for _ in range(500):
         words = []
         for _ in range(rng.randint(0, 3)):
-            t = list(rng.choice([*licenses.NOTICES, ("licensed under the zlib license",), ("under the mit license",), ("cc by nc",)])[0])
+            t = list(rng.choice([*notices, *notices, *licenses.NOTICES, ("licensed under the zlib license",), ("under the mit license",), ("cc by nc",)])[0])
             for _ in range(rng.choice([0, 0, 1, 2, 4])):
                 i = rng.randrange(len(t))
                 t[i : i + rng.randint(0, 1)] = rng.choice(["", "x", " ", "2"])
@@ -321,7 +331,8 @@ def test_scan_against_brute_force():
                             continue
                         rest = iter(words[i:j])
                         if all(any(w == n or len(n) > 4 and edits(w, n, 1) <= 1 for w in rest) for n in wanted):
-                            found.append((e / len(text), -len(span), i, j, label, e))
+                            no = any(w.encode() in licenses.DENIALS for w in words[max(0, i - licenses.REACH) : i]) or any(w[:2] == "un" and w[2:] in text.split() or w[:3] == "non" and w[3:] in text.split() for w in words[i:j])
+                            found.append((e / len(text), -len(span), i, j, "" if no else label, e))
         taken = []
         for f in sorted(found):
             if all(f[3] <= t[2] or f[2] >= t[3] for t in taken):
