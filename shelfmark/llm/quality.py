@@ -3,12 +3,12 @@
 Method. From a bounded sample of labelled rows two zstandard dictionaries are built, one from good
 and one from bad texts. Every text is cut into blocks of ``block`` bytes (the whole text; a block is
 short enough that the dictionary, not the text's own past, decides its size), each block is
-compressed with either dictionary and with none, and the summed sizes are compared. The normalised
-differences between these sizes, and how far the text compresses by itself, go through a weighted
-logistic calibrator fitted on labelled rows that no dictionary was built from.
+compressed with either dictionary and with none, and sizes are compared. What goes through a weighted
+logistic calibrator, fitted on labelled rows that no dictionary was built from, are differences that
+dictionaries make and nothing else: of the summed sizes, and the least and greatest of any block.
 
-Cases. Null and empty texts get the score of no evidence, which is a double as any other. A text of
-any length is scored whole. Repeated rows get equal scores. No usable labels: a score of 0.5 for all;
+Cases. Null and empty texts have no block, and get the score of no evidence: the share of good texts
+among the labels. A text of any length is scored whole. Repeated rows get equal scores. No usable labels: a score of 0.5 for all;
 one class only: its smoothed rate. Extra columns of the input are not read.
 """
 
@@ -29,7 +29,8 @@ from shelfmark.llm.common import as_bytes, crc_mod, named, per_batch, table
 PER_CLASS = 1500
 MAX_CHARS = 60_000
 DICTIONARY_BYTES = 96 * 1024
-BLOCK = 4096
+BLOCK = 256
+N_FEATURES = 7
 
 
 @dataclass
@@ -38,6 +39,7 @@ class CompressionModel:
     bad: bytes
     block: int = BLOCK
     calibrator: dict[str, list[float]] = field(default_factory=dict)
+    prior: float = 0.5
 
     def coders(self) -> list[zstandard.ZstdCompressor]:
         made = []
@@ -51,38 +53,40 @@ class CompressionModel:
         return made
 
     def features(self, text: bytes | None, coders: list[zstandard.ZstdCompressor]) -> list[float]:
-        """Normalised size differences: bad less good, plain less good, plain less bad, raw less whole."""
+        """Bad less good, plain less good, plain less bad, over the text; the first and second by block: least and greatest."""
         n = len(text or b"")
         if not n:
-            return [0.0] * 6
-        blocks = [text[i : i + self.block] for i in range(0, n, self.block)]
-        good, bad, plain = (sum(len(c.compress(b)) - 2 for b in blocks) for c in coders)
-        whole = len(coders[2].compress(text)) if len(blocks) > 1 else plain
-        return [(bad - good) / (bad + good), (plain - good) / n, (plain - bad) / n, 1 - whole / n, plain / n, float(np.log1p(n))]
+            return [0.0] * N_FEATURES
+        sizes = [[len(c.compress(text[i : i + self.block])) - 2 for i in range(0, n, self.block)] for c in coders]
+        good, bad, plain = map(sum, sizes)
+        by_block = [(b - g) / (b + g) for g, b, _ in zip(*sizes)]
+        saved = [(p - g) / p for g, _, p in zip(*sizes)]
+        return [(bad - good) / (bad + good), (plain - good) / n, (plain - bad) / n, min(by_block), max(by_block), min(saved), max(saved)]
+
+    def score(self, texts: list[bytes | None], coders: list[zstandard.ZstdCompressor]) -> np.ndarray:
+        x = np.array([self.features(t, coders) for t in texts]).reshape(-1, N_FEATURES)
+        return np.where([bool(t) for t in texts], fitting.probability(self.calibrator, x), self.prior)
 
 
 def _dictionary(texts: list[bytes], size: int, block: int) -> bytes:
     pieces = [t[i : i + block] for t in texts for i in range(0, len(t), block)]
     pieces = [p for p in pieces if len(p) >= 16]
-    if sum(map(len, pieces)) > 4 * size and len(pieces) >= 50:
-        try:
-            return zstandard.train_dictionary(size, pieces).as_bytes()
-        except zstandard.ZstdError:
-            pass  # too uniform to train on: its raw text serves
-    return b"".join(pieces)[:size]
+    try:
+        return zstandard.train_dictionary(size, pieces).as_bytes()
+    except zstandard.ZstdError:  # too little or too uniform to train on: its raw text serves
+        return b"".join(pieces)[:size]
 
 
 def fit(sample: list[tuple[bytes, int]], totals: dict[int, int], dictionary_bytes: int = DICTIONARY_BYTES, block: int = BLOCK) -> CompressionModel:
     """Odd rows of the sample build the dictionaries, even ones fit the calibrator."""
     halves = sample[1::2], sample[::2]
-    if len(sample) < 8:
-        halves = sample, sample
     model = CompressionModel(*(_dictionary([t for t, y in halves[0] if y == want], dictionary_bytes, block) for want in (1, 0)), block=block)
     coders = model.coders()
-    x = np.array([model.features(t, coders) for t, _ in halves[1]]).reshape(-1, 6)
+    x = np.array([model.features(t, coders) for t, _ in halves[1]]).reshape(-1, N_FEATURES)
     y = np.array([y for _, y in halves[1]], dtype=float)
     weight = np.array([totals.get(int(v), 1) / max(1, (y == v).sum()) for v in y])
     model.calibrator = fitting.logistic(x, y, weight * len(y) / max(weight.sum(), 1e-9))
+    model.prior = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
     return model
 
 
@@ -99,8 +103,7 @@ def score(docs: DataFrame, model: CompressionModel, keep: list[str], text: str =
         coders = model.coders()
 
         def run(batch: pa.RecordBatch) -> dict[str, list]:
-            x = np.array([model.features(t, coders) for t in as_bytes(batch.column(text))]).reshape(-1, 6)
-            return {name: fitting.probability(model.calibrator, x).tolist()}
+            return {name: model.score(as_bytes(batch.column(text)), coders).tolist()}
 
         return run
 

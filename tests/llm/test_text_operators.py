@@ -27,6 +27,30 @@ def test_quality_on_held_out_rows(spark):
     assert df.filter("score < 0 or score > 1 or score is null or held_out is null").isEmpty()
 
 
+def test_quality_features_are_differences_of_compressed_sizes():
+    import zstandard
+
+    rng = random.Random(4)
+    words = {1: "river stone cloud window garden".split(), 0: "buy now cheap $$$ click".split()}
+    text = lambda y: " ".join(rng.choice(words[y]) + str(rng.randrange(30)) for _ in range(rng.randrange(20, 300))).encode()
+    model = quality.fit([(text(i // 2 % 2), i // 2 % 2) for i in range(200)], {0: 30, 1: 70})
+    coders = model.coders()
+
+    def size(block, data):
+        kind = zstandard.DICT_TYPE_FULLDICT if data[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
+        how = {"dict_data": zstandard.ZstdCompressionDict(data, dict_type=kind)} if data else {}
+        return len(zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, **how).compress(block)) - 2
+
+    for t in [text(0), text(1), b"x", text(1)[:257]]:
+        blocks = [t[i : i + quality.BLOCK] for i in range(0, len(t), quality.BLOCK)]
+        g, b, p = ([size(x, d) for x in blocks] for d in (model.good, model.bad, b""))
+        d, e = [(y - x) / (x + y) for x, y in zip(g, b)], [(z - x) / z for x, z in zip(g, p)]
+        n = len(t)
+        assert model.features(t, coders) == pytest.approx([(sum(b) - sum(g)) / (sum(b) + sum(g)), (sum(p) - sum(g)) / n, (sum(p) - sum(b)) / n, min(d), max(d), min(e), max(e)])
+    scores = model.score([text(1), text(0), b"", None], coders)
+    assert scores[0] > 0.9 and scores[1] < 0.1 and scores[2] == scores[3] == 71 / 102
+
+
 def test_toxicity_on_held_out_rows(spark):
     acc, auc = accuracy(spark, toxicity.op3_toxicity(spark, SF), "toxic")
     assert acc > 0.93 and auc > 0.75
