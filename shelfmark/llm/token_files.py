@@ -398,10 +398,14 @@ def encoded(docs: DataFrame, tokenizer: str, bounds: np.ndarray, null_ranges: in
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, shard_ids: int = SHARD_IDS) -> Shards:
-    """Encode and write all rows of ``doc_id, text``, and the manifest.
+    """Encode and write all rows of ``doc_id, text``, and the manifest, to a folder that holds nothing yet.
 
     Rows of one id are dealt by their place in ``docs``, which should be a stored table.
     """
+    p = docs.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    store = p.getFileSystem(docs.sparkSession._jsc.hadoopConfiguration())
+    if store.exists(p) and len(store.listStatus(p)):
+        raise ValueError(f"the folder holds files already: {folder}")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     bounds, null_ranges = _ranges(rows)
     rows = encoded(rows.withColumn("tie", F.monotonically_increasing_id()), tokenizer, bounds, null_ranges)
@@ -468,7 +472,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, shard_ids: int = SHARD_I
 
 
 def read(spark: SparkSession, shards: Shards) -> DataFrame:
-    """One row a document, from the files: every key is looked up through the index."""
+    """One row a document, from the files: every key is looked up through the index; ``shard`` is the files' path."""
     n = shards.files.count()
     files = shards.files.select("name", "before").repartition(max(1, min(n, 100_000)))
     folder = shards.folder
@@ -490,7 +494,7 @@ def read(spark: SparkSession, shards: Shards) -> DataFrame:
                         out.append((doc_id, before + int(shard.offsets[r]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     row = found.stop
                 cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array([name] * len(out))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array([f"{folder}/{name}"] * len(out))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
 

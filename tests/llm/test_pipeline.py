@@ -1,4 +1,11 @@
+import json
+import subprocess
+import sys
+
+import pytest
+
 import corpus_pipeline as P
+from shelfmark.llm import token_files
 from shelfmark.llm.common import table
 from shelfmark.session import stash
 from tests.llm import brute
@@ -27,6 +34,36 @@ def test_stages(spark):
     assert P.run(spark, SF).count() == kept["tokens"].count()
 
 
+READ = """
+import sys, json
+from shelfmark.llm import token_files as T
+import pyarrow.fs
+folder = sys.argv[1]
+m = T._manifest(folder)
+fs, base = pyarrow.fs.FileSystem.from_uri(folder)
+out = []
+for part, sub in zip(m["part"].tolist(), m["sub"].tolist()):
+    shard = T.Shard(fs, f"{base}/{T._name(part, sub)}").load()
+    out += [(int(shard.ids[r]), shard.tokens(r).tolist()) for r in range(len(shard.ids))]
+print(json.dumps(out))
+"""
+
+
+def test_token_files_stay_and_another_process_reads_them(spark, tmp_path):
+    out = f"file://{tmp_path}/tokens"
+    rows = P.run(spark, SF, out)
+    assert {r["shard"].rpartition("/")[0] for r in rows.collect()} == {out}
+    found = json.loads(subprocess.run([sys.executable, "-c", READ, out], capture_output=True, check=True, cwd=".").stdout)
+    texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(token_files.tokenizer_path())
+    assert found == [[d, [*tk.encode(texts[d], add_special_tokens=False).ids, 0]] for d, _ in found] and found == sorted(found)
+    assert len(found) == rows.count() > 0
+    with pytest.raises(ValueError, match="holds files"):
+        P.token_stage(spark, table(spark, SF, "documents"), SF, out)
+
+
 def test_empty_corpus(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in P.STAGES:
