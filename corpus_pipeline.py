@@ -1,5 +1,9 @@
 """The training-data pipeline: documents in, token files out.
 
+``run(spark, sf_dir, out)`` leaves the files (``.ids``, ``.idx`` and ``manifest.idx``, see ``token_files``) in the
+folder ``out``, which must hold nothing yet; its rows name the file of each document. Without ``out`` they go to a
+new folder under the session's shared one.
+
 Cases, for all stages. Columns that ``documents`` lacks pass through the first four, whatever their
 names. An empty table gives empty results. Texts are read whole. A null language or source is a value
 like any other. Rows that are equal in all columns are told apart by nothing, so any of them may stand
@@ -50,12 +54,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mix(docs)
 
 
-def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the token files hold, read back by key: one row for each copy of a document.
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str | None = None) -> DataFrame:
+    """What the token files hold, read back by key: one row for each copy of a document, with its file's path.
 
     Null and empty texts are the end id alone. Null ids come last in the files; ids are whole numbers.
     """
-    return token_files.encode(docs)
+    return token_files.encode(docs, folder=out)
 
 
 STAGES = [
@@ -70,12 +74,13 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         with scratch(spark):
-            stage(spark, docs, sf_dir).write.parquet(path)
+            more = (out,) if stage is token_stage else ()
+            stage(spark, docs, sf_dir, *more).write.parquet(path)
         if before:
             drop_path(spark, before)
         docs, before = spark.read.parquet(path), path
