@@ -185,9 +185,13 @@ def strip_accents(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or t.isascii() else "".join(c for c in unicodedata.normalize("NFD", t) if not "\u0300" <= c <= "\u036f"))
 
 
+#: What a handle's parts become, in turn.
+HANDLE_PARTS = ((r"-?&amp;-?", "-"), (r"-?&[a-z]+;-?", "-"), (r"-?\[[^\]]*\]-?", "-"), (r"[()]", ""), (r"-?#\d*-?", "-"), (",", ""), (r"['\u2018\u2019./:]", "-"))
+
+
 def url_handle(handle: Column) -> Column:
     h = blank(handle)
-    for pattern, by in ((r"-?&amp;-?", "-"), (r"-?&[a-z]+;-?", "-"), (r"-?\[[^\]]*\]-?", "-"), (r"[()]", ""), (r"-?#\d*-?", "-"), (",", ""), (r"['\u2018\u2019./:]", "-")):
+    for pattern, by in HANDLE_PARTS:
         h = sub(h, pattern, by)
     return sub(sub(strip_accents(h), "-+", "-"), r"^-|-\z")
 

@@ -16,7 +16,7 @@ from shelfmark.operators import crawl, derive, incremental, match, predicates, r
 from shelfmark.plans import pricing
 from shelfmark.plans.catalog_queries import ORACLES, query, quoted, read
 from shelfmark.session import stash_path
-from shelfmark.sources import catalog, html, json_array
+from shelfmark.sources import catalog, html, json_array, registered
 
 c = F.col
 
@@ -293,6 +293,27 @@ def q_open_detail(spark, sf):
     return rows.select("page_id", "loose", "complete", "mint", "url", *(v.alias(k) for k, v in html.meta_fields(c("labels")).items()))
 
 
+# The same readers and functions in SQL text
+
+
+@query(ORACLES["q_open_listing"])
+def q_sql_listing(spark, sf):
+    registered.register(spark)
+    pages = _open_listing_pages(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    return spark.sql("SELECT p.page_id, r.id, r.name, r.console, r.loose, r.complete, r.mint FROM {pages} p, LATERAL listing_rows(p.html) r", pages=pages)
+
+
+@query("""
+SELECT p_partkey, 'Fish & Chips "' || p_name || '" &nope;' AS decoded, lower(replace(p_name, ' ', '-')) || '-cafe-' || p_partkey AS handle FROM part""")
+def q_sql_functions(spark, sf):
+    registered.register(spark)
+    return spark.sql(
+        """SELECT p_partkey, decode_entities(concat('Fish &amp; Chips &quot;', p_name, '&#34; &nope;')) AS decoded,
+             url_handle(concat('-', lower(replace(p_name, ' ', '-')), '&amp;-(caf\u00e9)-[x]-', p_partkey, '.')) AS handle FROM {part}""",
+        part=read(spark, sf, "part"),
+    )
+
+
 # Where a crawl ends
 
 

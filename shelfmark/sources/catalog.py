@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -93,13 +94,70 @@ def write_vocabulary(vocabulary: DataFrame, path: str, total: int, harvested: st
     json_array.write_text(lines, path, head=json.dumps(about, separators=(",", ":"))[:-1] + ',"vocabulary":{', between="", tail=tail)
 
 
+def _store(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def commit_text(spark: SparkSession, folder: str, text: str) -> int:
+    """Make ``text`` the current one of a folder of numbered pointers; returns its number.
+
+    A pointer is created only where none has its number, so of two writers one takes the next number. A pointer
+    without its whole text, of a writer that stopped in between, is passed over. Old pointers stay.
+    """
+    p, fs = _store(spark, folder)
+    fs.mkdirs(p)
+    number = max(_numbers(fs, p), default=0) + 1
+    while True:
+        made = spark._jvm.org.apache.hadoop.fs.Path(p, f"{number:012d}")
+        try:
+            if fs.getScheme() == "file":  # there only the system's own call is one step
+                if not spark._jvm.java.io.File(made.toUri().getPath()).createNewFile():
+                    number += 1
+                    continue
+                out = fs.create(made, True)
+            else:
+                out = fs.create(made, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in str(e.java_exception.getClass().getName()):
+                raise
+            number += 1
+            continue
+        out.write(bytearray((json.dumps(text) + "\n").encode()))
+        out.close()
+        return number
+
+
+def _numbers(fs, p) -> list[int]:
+    return [int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit()] if fs.exists(p) else []
+
+
+def latest_text(spark: SparkSession, folder: str) -> str | None:
+    """The text of the last whole pointer, or None."""
+    p, fs = _store(spark, folder)
+    for number in sorted(_numbers(fs, p), reverse=True):
+        stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(p, f"{number:012d}"))
+        raw = bytes(stream.readAllBytes())
+        stream.close()
+        if raw.endswith(b"\n"):
+            return json.loads(raw)
+    return None
+
+
 def write_versioned(catalog: DataFrame, folder: str) -> str:
-    """A new version beside the old ones, which stay as backups; returns its path."""
-    path = f"{folder.rstrip('/')}/v{time.time_ns()}"
+    """A new version beside the old ones, which stay as backups, made the current one; returns its path."""
+    path = f"{folder.rstrip('/')}/v-{time.time_ns()}-{uuid.uuid4().hex}"
     catalog.write.parquet(path)
+    commit_text(catalog.sparkSession, f"{folder.rstrip('/')}/_current", path)
     return path
 
 
+def read_latest(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The version that was made current last, whole; None before the first."""
+    path = latest_text(spark, f"{folder.rstrip('/')}/_current")
+    return None if path is None else spark.read.parquet(path)
+
+
 def write_split(judged: DataFrame, kept: str, removed: str, flag: str = "dropped") -> None:
     """Kept rows and a report of removed ones, to new paths."""
     judged.filter(~F.col(flag)).drop(flag).write.json(kept)
@@ -123,30 +181,25 @@ def write_delta(records: DataFrame, folder: str) -> str | None:
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:
-    """Keys of finished sets; a missing or unreadable file starts afresh."""
+    """Keys of finished sets, from write_done or a JSON file of them; a missing or unreadable one starts afresh."""
+    p, fs = _store(spark, path)
     empty = spark.createDataFrame([], "key string")
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+    if not fs.exists(p):
         return empty
+    if fs.getFileStatus(p).isDirectory():
+        text = latest_text(spark, path)
+        return empty if text is None else spark.createDataFrame([(k,) for k in json.loads(text)], "key string")
     raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("key"))
     return raw.filter(F.col("key").isNotNull())
 
 
 def write_done(done: DataFrame, path: str, key: str = "key") -> None:
-    """Keep the keys of finished sets beside the catalog, for read_done; they are few, and one file replaces the last."""
+    """Keep the keys of finished sets beside the catalog, for read_done; they are few, and each list is a commit of its own."""
     keys = sorted({r[0] for r in done.select(key).distinct().collect() if r[0] is not None})
-    spark = done.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    made = spark._jvm.org.apache.hadoop.fs.Path(path + ".new")
-    out = fs.create(made, True)
-    out.write(bytearray(json.dumps(keys).encode()))
-    out.close()
-    fs.delete(p, False)
-    fs.rename(made, p)
+    commit_text(done.sparkSession, path, json.dumps(keys))
 
 
 def clear_done(spark: SparkSession, path: str, complete: bool) -> bool:
     """Forget the finished sets once all are; a run that stopped early keeps them, to go on from there."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(complete and p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False))
+    p, fs = _store(spark, path)
+    return bool(complete and fs.delete(p, True))

@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -33,6 +34,34 @@ def test_pages_to_rows(spark):
     assert got[0]["labels"] == {"UPC": "456"}
 
 
+def test_reading_pages_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("lazy", "none")
+    pages = spark.createDataFrame([(1, LISTING)] * 50, "page_id long, html string").groupBy("page_id").agg(F.max("html").alias("html"))
+    made = html.read_pages(pages, html.listing_rows, "id string", partitions=3)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
+    assert made.count() == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_current_version(spark, tmp_path):
+    folder = str(tmp_path / "versions")
+    assert catalog.read_latest(spark, folder) is None
+    rows = lambda n: spark.range(n)
+    catalog.write_versioned(rows(1), folder)
+    with ThreadPoolExecutor(4) as pool:  # all are kept, and each commit has a number of its own
+        paths = list(pool.map(lambda n: catalog.write_versioned(rows(n), folder), (2, 3, 4, 5)))
+    pointers = sorted(p.name for p in (tmp_path / "versions" / "_current").iterdir() if not p.name.startswith("."))
+    assert pointers == [f"{i:012d}" for i in range(1, 6)] and len(set(paths)) == 4
+    now = catalog.read_latest(spark, folder).count()
+    assert now in (2, 3, 4, 5)
+    # a writer that stops before its commit, and one that stops within it, change nothing
+    rows(9).write.parquet(f"{folder}/v-lost")
+    (tmp_path / "versions" / "_current" / f"{6:012d}").write_text("")
+    assert catalog.read_latest(spark, folder).count() == now
+    catalog.write_versioned(rows(7), folder)
+    assert catalog.read_latest(spark, folder).count() == 7
+
+
 def test_flat_cases(spark):
     crumb = '<script type="application/ld+json">{bad</script><script type="application/ld+json">[{"@type":"X"},{"@type":"BreadcrumbList","itemListElement":[{"position":3,"item":{"name":"Z"}},{"position":1,"name":"H"},{"position":2,"name":"S"}]}]</script>'
     page = crumb + '<a href="/subjects/1-one-series">One</a><a href="/subjects/2-two-series"> Two </a><a href="/subjects/1-one-series">One</a><a href="/subjects/3-series-x">no</a> of 1,204 items\nRefine by Fandom: Animation (1,204)\nRefine by Fandom: Animation (7)\nRefine by Series: S (3)'
