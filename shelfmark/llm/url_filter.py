@@ -69,13 +69,15 @@ def tokens_of(url: Column) -> Column:
     return F.when((host != "") | (path != ""), F.filter(made, lambda t: ~t.endswith("="))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``(antecedent, verdict, confidence, support)`` from rows of ``(url, bad boolean)``."""
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, least: int = LEAST_COUNT) -> DataFrame:
+    """``(antecedent, verdict, confidence, support)`` from rows of ``(url, bad boolean)``.
+
+    A combination seen less than ``least`` times shows nothing, however few the labels, so the support is at least that.
+    """
     rows = labelled.filter(F.col("bad").isNotNull()).select(tokens_of(F.col("url")).alias("tokens"), "bad").filter(F.size("tokens") > 0)
     baskets = stash(rows.select(F.concat("tokens", F.array(F.when(F.col("bad"), BLOCK).otherwise(ALLOW))).alias("items")), "baskets")
     n = baskets.count()
-    # a combination seen less than LEAST_COUNT times shows nothing, however few the labels
-    support = min(1.0, max(min_support, LEAST_COUNT / max(n, 1)))
+    support = min(1.0, max(min_support, least / max(n, 1)))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     found = model.associationRules.filter(F.col("consequent")[0].isin(BLOCK, ALLOW))
     rules = stash(

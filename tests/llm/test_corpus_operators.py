@@ -407,3 +407,88 @@ def test_mined_rules_match_by_both_paths(spark):
     for (ante, verdict), conf in mined.items():
         hit = [bad for s, bad in sets if s >= set(ante)]
         assert conf == pytest.approx(sum(bad == (verdict == "block") for bad in hit) / len(hit))
+
+
+@pytest.mark.parametrize("seed,support,confidence", [(1, 0.05, 0.6), (2, 0.1, 0.3), (3, 0.02, 0.7)])
+def test_mined_rules_are_all_rules(spark, seed, support, confidence):
+    """Every token combination is counted; what passes the thresholds and no shorter rule makes idle is mined, and no more."""
+    rng = random.Random(seed)
+    rows = [(f"http://{rng.choice('ab')}.{rng.choice('xy')}.z/{rng.choice(['p', 'q'])}/{i}" + rng.choice(["", "?k=1", "#f"]), rng.random() < (0.8 if i % 3 else 0.2)) for i in range(150)]
+    rows += [(None, True), ("http://a.x.z/p/1", None), rows[0], rows[0]]
+    lab = spark.createDataFrame(rows, "url string, bad boolean")
+    got = {(tuple(r["antecedent"]), r["verdict"]): (round(r["confidence"], 9), round(r["support"], 9)) for r in url_filter.mine(lab, support, confidence, least=3).collect()}
+    sets = [(frozenset(r["t"]), r["bad"]) for r in lab.filter("bad is not null").select(url_filter.tokens_of(F.col("url")).alias("t"), "bad").collect() if r["t"]]
+    n, count, hits = len(sets), {}, {}
+    for tokens, bad in sets:
+        for k in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), k):
+                count[part] = count.get(part, 0) + 1
+                key = (part, "block" if bad else "allow")
+                hits[key] = hits.get(key, 0) + 1
+    least = max(support, 3 / n)
+    found = {k: h / count[k[0]] for k, h in hits.items() if h >= least * n and h / count[k[0]] >= confidence}
+    idle = {(part, v) for part, v in found for t in part if len(part) > 1 and found.get((tuple(x for x in part if x != t), v), -1) >= found[(part, v)]}
+    assert got == {k: (round(c, 9), round(hits[k] / n, 9)) for k, c in found.items() if k not in idle} and got
+
+
+def test_rendered_repairs_equal_brute_force(spark):
+    """What is rendered keeps all texts in order, is legal, and costs what the cheapest repair costs."""
+    rng = random.Random(17)
+    names = ["system", "user", "assistant", "tool"]
+    convs = {c: [rng.choice(names) for _ in range(rng.randint(1, 4))] for c in range(60)}
+    rows = [(c, i, r, f"<{c}.{i}>") for c, roles in convs.items() for i, r in enumerate(roles)]
+    by = {}
+    for r in chat.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect():
+        by.setdefault(r["conv_id"], []).append(r)
+    for c, roles in convs.items():
+        turns = sorted(by[c], key=lambda r: r["turn"])
+        text = "".join(t["rendered"] for t in turns)
+        blocks = [b.split("\n", 1) for b in text.split("<|im_start|>")[1:]]
+        assert all(body.endswith("<|im_end|>\n") for _, body in blocks)
+        assert legal([chat.ROLES.index(r) for r, _ in blocks])
+        assert "".join(body.removesuffix("<|im_end|>\n").replace("\n", "") for _, body in blocks) == "".join(f"<{c}.{i}>" for i in range(len(roles)))
+        # each turn's text stands in a block of the role that it was given
+        for t in turns:
+            assert next(r for r, body in blocks if f"<{c}.{t['turn']}>" in body) == t["new_role"]
+        cost = sum((chat.UNKNOWN if t["role"] == "tool" else chat.RELABEL) * (t["role"] != t["new_role"]) + chat.MERGE * ("merge" in t["action"]) + chat.INSERT * t["n_inserted"] for t in turns)
+        assert {t["cost"] for t in turns} == {cost} == {cheapest([chat.role_code(r) for r in roles])}
+        assert sum(t["n_inserted"] for t in turns) == sum(body == "<|im_end|>\n" for _, body in blocks)
+
+
+@pytest.mark.parametrize("shard_words", [40, 10**6])
+def test_near_matches_equal_brute_force(spark, monkeypatch, shard_words):
+    monkeypatch.setattr(decontam, "SHARD_WORDS", shard_words)
+    rng = random.Random(23)
+    vocab = [f"v{i}" for i in range(40)]
+    weight = [i + 1 for i in range(40)]
+    docs = [(d, " ".join(rng.choices(vocab, weight, k=rng.randint(0, 120)))) for d in range(40)]
+    bench = [(i, " ".join(rng.choices(vocab + ["absent"], weight + [5], k=rng.randint(1, 14)))) for i in range(30)]
+    count = {}
+    for _, t in docs:
+        for w in t.split():
+            count[w] = count.get(w, 0) + 1
+    want = {d: set() for d, _ in docs}
+    unsure = set()
+    for item, text in bench:
+        terms = sorted({w for w in text.split()}, key=lambda w: count.get(w, 0))
+        asked = min(decontam.NEAR_TERMS, len(terms))
+        rare = [w for w in terms if w in count]
+        if len(rare) < asked or asked < 2:
+            continue
+        tie = [count[w] for w in rare]
+        if tie[0] == tie[1] or len(rare) > asked and tie[asked - 1] == tie[asked]:
+            unsure.add(str(item))
+            continue
+        for d, t in docs:
+            ws = t.split()
+            at = {w: [i for i, x in enumerate(ws) if x == w] for w in rare[:asked]}
+            if any(all(any(abs(i - j) <= decontam.NEAR_SPAN for j in at[w]) for w in rare[1:asked]) for i in at[rare[0]]):
+                want[d].add(str(item))
+    exact = {r[0]: r for r in brute.decontam(docs, bench)}
+    found = decontam.hits(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(bench, "item_id long, text string"))
+    some = 0
+    for r in found.collect():
+        assert r["n_hit"] == exact[r["doc_id"]][2]
+        assert set(r["near"]) - unsure == want[r["doc_id"]] - unsure - set(r["items"]), r["doc_id"]
+        some += len(set(r["near"]) - unsure)
+    assert some > 20 and len(unsure) < 25
