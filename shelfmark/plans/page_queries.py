@@ -6,6 +6,7 @@ back out of the readers: every selector, every fallback, and the odd spellings.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,8 +16,9 @@ from shelfmark.functions import fixed_values as V
 from shelfmark.operators import crawl, derive, incremental, match, predicates, report
 from shelfmark.plans import pricing
 from shelfmark.plans.catalog_queries import ORACLES, query, quoted, read
-from shelfmark.session import stash_path
+from shelfmark.session import stash, stash_path
 from shelfmark.sources import catalog, html, json_array, registered
+from shelfmark.streaming import resume
 
 c = F.col
 
@@ -406,6 +408,61 @@ def q_vocabulary(spark, sf):
     return found.select("dim", F.explode("words").alias("name", "count"), F.element_at("counts", c("dim")).alias("names"), c("unfilteredTotal").alias("total"))
 
 
+# Versions, finished sets, resumed runs and counters
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_size > 10")
+def q_current_version(spark, sf):
+    """Three versions are committed, a fourth is written and never committed: the third is the current one."""
+    folder, p = stash_path(spark, "versions"), read(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    for least in (40, 25, 10):
+        catalog.write_versioned(p.filter(c("p_size") > least).drop("p_size"), folder)
+    p.write.parquet(f"{folder}/v-lost")
+    return catalog.read_latest(spark, folder)
+
+
+@query("SELECT DISTINCT p_brand AS key, 'kept' AS run FROM part UNION ALL SELECT DISTINCT p_brand, 'ended early' FROM part")
+def q_done_sets(spark, sf):
+    """Finished sets outlive a run that ended early and are forgotten after one that is complete."""
+    path, p = stash_path(spark, "done"), read(spark, sf, "part")
+    catalog.write_done(p.filter("p_size > 10"), path, "p_brand")
+    catalog.write_done(p, path, "p_brand")
+    kept = stash(catalog.read_done(spark, path).withColumn("run", F.lit("kept")))
+    catalog.clear_done(spark, path, complete=False)
+    early = stash(catalog.read_done(spark, path).withColumn("run", F.lit("ended early")))
+    catalog.clear_done(spark, path, complete=True)
+    return kept.unionByName(early).unionByName(catalog.read_done(spark, path).withColumn("run", F.lit("complete")))
+
+
+@query("SELECT p_partkey, 2 * p_size AS twice FROM part")
+def q_resumed_run(spark, sf):
+    """Files that land between two runs of a stream are worked on once each."""
+    src, out, check = (stash_path(spark, k) for k in ("landed", "worked", "progress"))
+    p = read(spark, sf, "part").select("p_partkey", "p_size")
+    for part in (c("p_partkey") % 3 == 0, c("p_partkey") % 3 > 0):
+        p.filter(part).repartition(3).write.mode("append").parquet(src)
+        resume.run_new_files(spark, src, p.schema, lambda b: b.select("p_partkey", (2 * c("p_size")).alias("twice")), out, check, 2).awaitTermination()
+    return spark.read.parquet(out).select("p_partkey", "twice")
+
+
+@query("SELECT p_partkey FROM part WHERE p_size % 2 = 0 ORDER BY p_partkey LIMIT 30")
+def q_limited_candidates(spark, sf):
+    """The limit of a pass: the first rows that still need work."""
+    k = c("p_partkey")
+    rows = read(spark, sf, "part").withColumn("_ord", k)
+    found = incremental.price_candidates(rows, c("p_size") % 2 == 1, F.lit("1"), F.lit(None), F.lit(None), limit=30)
+    return found.select("p_partkey")
+
+
+@query(f"SELECT total AS rows, priced, upc FROM ({_CATALOG_SQL})")
+def q_pass_counters(spark, sf):
+    """Counters that are counted while a pass writes its rows."""
+    price = predicates.has_price(c("marketValueLoose"), c("marketValueComplete"), c("marketValueNew"))
+    rows, seen = report.observed(_small_catalog(spark, sf), f"pass-{uuid.uuid4().hex}", priced=price, upc=c("upc") != "")
+    stash(rows, "pass")
+    return spark.createDataFrame([seen.get], "rows long, priced long, upc long")
+
+
 # Joins, merges and the pricing pass
 
 
