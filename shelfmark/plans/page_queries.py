@@ -18,7 +18,7 @@ from shelfmark.plans import pricing
 from shelfmark.plans.catalog_queries import ORACLES, query, quoted, read
 from shelfmark.session import stash, stash_path
 from shelfmark.sources import catalog, html, json_array, registered
-from shelfmark.streaming import resume
+from shelfmark.streaming import markers, resume
 
 c = F.col
 
@@ -445,6 +445,37 @@ def q_resumed_run(spark, sf):
     return spark.read.parquet(out).select("p_partkey", "twice")
 
 
+_MARKED = """
+WITH l AS (SELECT 'c' || o_custkey AS key, o_orderdate::TIMESTAMP AS seen, o_orderkey % 4 < 2 AS done FROM orders WHERE o_orderkey % 4 < 3)
+SELECT key, strftime(max(seen) FILTER (WHERE done), '%Y-%m-%d') AS done_at, coalesce(max(seen) FILTER (WHERE done) + INTERVAL 300 DAY <= (SELECT max(seen) FROM l), true) AS due FROM l GROUP BY key"""
+
+
+def _marker_log(spark, sf) -> DataFrame:
+    k = c("o_orderkey") % 4
+    status = F.when(k == 0, "found").when(k == 1, "none").when(k == 2, "error").otherwise("unknown")
+    return read(spark, sf, "orders").select(page("c", c("o_custkey")).alias("key"), c("o_orderdate").cast("timestamp").alias("at"), status.alias("status"))
+
+
+@query(_MARKED)
+def q_done_markers(spark, sf):
+    """Which sets are due again, by one pass over the log."""
+    return markers.now_due(_marker_log(spark, sf), 300).withColumn("done_at", F.date_format("done_at", "yyyy-MM-dd"))
+
+
+@query(f"SELECT * FROM ({_MARKED}) WHERE done_at IS NOT NULL")
+def q_marker_stream(spark, sf):
+    """The same by the stream's state and timers, over a restart: the log lands in two parts."""
+    src, out, check = (stash_path(spark, k) for k in ("log", "events", "progress"))
+    log = _marker_log(spark, sf)
+    middle = log.agg(F.expr("percentile(unix_seconds(at), 0.5)")).first()[0]
+    for part in (F.unix_seconds("at") < middle, F.unix_seconds("at") >= middle):
+        log.filter(part).coalesce(1).write.mode("append").parquet(src)
+        markers.run_markers(spark, src, out, check, 300).awaitTermination()
+    last = lambda event: F.max(F.when(c("event") == event, c("at")))
+    events = spark.read.parquet(out).groupBy("key").agg(last("finished").alias("f"), last("due").alias("d"))
+    return events.select("key", F.date_format("f", "yyyy-MM-dd").alias("done_at"), F.coalesce(c("d") > c("f"), F.lit(False)).alias("due"))
+
+
 @query("SELECT p_partkey FROM part WHERE p_size % 2 = 0 ORDER BY p_partkey LIMIT 30")
 def q_limited_candidates(spark, sf):
     """The limit of a pass: the first rows that still need work."""
