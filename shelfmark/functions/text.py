@@ -225,9 +225,34 @@ def franchise_from_series(series: Column) -> Column:
     return F.when(low.isin(*V.SERIES_HARD_NOISE) | ((F.size(F.split(seg, r"\s+")) <= 4) & event), "").otherwise(seg)
 
 
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
+
+
+def named_date(raw: Column) -> Column:
+    """``yyyy-M-d`` of a date with a month's name, in any order and with or without a weekday; without a day its first one.
+
+    Names count by their first three letters. Of two numbers the one that is no day is the year; a year of two
+    digits is one of 1950 to 2049. With anything else in the text it is no date.
+    """
+    t = F.lower(trim(blank(raw)))
+    number = lambda i: F.get(F.regexp_extract_all(t, F.lit(r"\d+"), 0), F.lit(i)).try_cast("int")
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.regexp_extract(t, rf"\b({'|'.join(MONTHS)})", 1))
+    one, two = number(0), number(1)
+    year_first = two.isNull() | (one > 31)
+    year, day = F.when(year_first, one).otherwise(two), F.when(two.isNull(), 1).when(one > 31, two).otherwise(one)
+    year = F.when(year < 50, year + 2000).when(year < 100, year + 1900).otherwise(year)
+    word = rf"(?:{'|'.join(MONTHS)})[a-z]*\.?"
+    rest = rf"(?:(?:{'|'.join(WEEKDAYS)})[a-z]*[,.]?\s+)?"
+    plain = t.rlike(rf"^{rest}(?:{word}(?:[\s,-]+\d{{1,2}})?[\s,-]+\d{{2,4}}|\d{{1,2}}[\s,-]+{word}[\s,-]+\d{{2,4}}|\d{{3,4}}[\s,-]+{word}(?:[\s,-]+\d{{1,2}})?)$")
+    return F.when(plain, F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month.cast("string"), day.cast("string")))
+
+
 def release_date(raw: Column) -> Column:
-    t = blank(raw)
-    return F.coalesce(*(F.try_to_date(t, f) for f in ("MMMM d, yyyy", "MMM d, yyyy", "yyyy-MM-dd", "M/d/yyyy"))).cast("string")
+    """The calendar date of a text in the forms that people write: by numbers, year first or month first, or with a month's name."""
+    t = trim(blank(raw))
+    forms = ("yyyy-MM-dd", "yyyy-MM", "yyyy", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy")
+    return F.coalesce(*(F.try_to_date(t, f) for f in forms), F.try_to_date(named_date(raw), "yyyy-M-d")).cast("string")
 
 
 def digits(c: Column) -> Column:

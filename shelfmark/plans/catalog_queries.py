@@ -527,6 +527,16 @@ def q_release_date(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", X.release_date(raw).alias("released"))
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 12 WHEN 3 THEN strftime(o_orderdate, '%Y-%m') || '-01' WHEN 4 THEN strftime(o_orderdate, '%Y') || '-01-01' WHEN 9 THEN strftime(o_orderdate, '%Y-%m') || '-01' WHEN 10 THEN NULL WHEN 11 THEN NULL
+  ELSE strftime(o_orderdate, '%Y-%m-%d') END AS released FROM orders""")
+def q_free_dates(spark, sf):
+    """Release dates in the free forms that pages have."""
+    d, k = c("o_orderdate"), c("o_orderkey") % 12
+    forms = ("EEEE, MMMM d, yyyy", "d MMM yyyy", "MMM. d yyyy", "MMMM yyyy", "yyyy", "M/d/yyyy", "yyyy/M/d", "d-MMM-yy", "yyyy MMMM d", "yyyy-MM")
+    made = F.get(F.array(*(F.date_format(d, f) for f in forms), F.date_format(d, "'about' MMMM yyyy"), F.lit("June 99, 2020")), k.cast("int"))
+    return read(spark, sf, "orders").select("o_orderkey", X.release_date(F.concat(F.lit(" "), made)).alias("released"))
+
+
 @query("SELECT sum((p_size % 2 = 0)::INT)::BIGINT AS p_size, sum((p_name LIKE 'red%')::INT)::BIGINT AS p_name, sum((p_size % 2 = 0 OR p_name LIKE 'red%')::INT)::BIGINT AS any_field FROM part")
 def q_change_count(spark, sf):
     p = read(spark, sf, "part")

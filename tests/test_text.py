@@ -89,3 +89,12 @@ def test_golden_scalars(spark):
 def test_word_boundaries_are_ascii(spark, text, found):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(F.col("t").rlike(X.words_of("pin")).alias("x")).first()["x"] is found
+
+
+def test_release_dates_in_free_forms(spark):
+    cases = {
+        "June 5, 2020": "2020-06-05", "jun 2020": "2020-06-01", "5 June 2020": "2020-06-05", "Fri, Jun 5 2020": "2020-06-05", "2020-06": "2020-06-01", "2020": "2020-01-01", "6/5/2020": "2020-06-05", "2020 June": "2020-06-01",
+        "Sept 9, 2021": "2021-09-09", "5-Jun-20": "2020-06-05", "5-Jun-98": "1998-06-05", "June": None, "none": None, "": None, None: None, "early June 2020": None, "June 31, 2020": None, "June 5, 2020 (US)": None, "13/13/2020": None, "May 1st, 2020": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", X.release_date(F.col("t")).alias("d"))
+    assert {r["t"]: r["d"] for r in df.collect()} == cases
