@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 from shelfmark.operators import crawl
+from shelfmark.plans import page_queries
 
 PAGES = "set_key string, page int, _ord int, rows int, declared int, ended boolean"
 
@@ -32,3 +33,11 @@ def test_attempts(spark):
         "d": ("waiting", 2, 503, None, at + timedelta(minutes=1, seconds=4)), "e": ("refused", 3, 500, None, None), "f": ("failed", 3, None, None, None), "g": ("accepted", 1, 301, "g0", None),
     }
     assert "WindowGroupLimit" in crawl.attempts(df)._jdf.queryExecution().toString()
+
+
+def test_attempts_query_takes_tied_lines_in_one_order(spark, tmp_path):
+    lines = [(1, 2, 1, datetime(1995, 1, 1)), (1, 2, 1, datetime(1996, 1, 1)), (2, 3, 1, datetime(1997, 1, 1)), (2, 3, 1, datetime(1994, 1, 1))]
+    for name, rows in (("a", lines), ("b", lines[::-1])):
+        spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp").coalesce(1).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        got = sorted((r["address"], r["outcome"], r["due"]) for r in page_queries.q_attempts(spark, f"{tmp_path}/{name}").collect())
+        assert got == [(1, "waiting", "1996-01-01 00:00:04"), (2, "waiting", "1997-01-01 00:00:04")]
