@@ -315,7 +315,8 @@ def gate(title: Column, row: Column, matched_by: Column | None = None, strict_ba
 
 def best_rows(candidates: DataFrame, key: str, score_col: str = "score", pos: str = "pos") -> DataFrame:
     """The row of most score a key, earlier listed rows a hundredth better each."""
-    w = Window.partitionBy(key).orderBy((F.col(score_col) - 0.01 * F.col(pos)).desc(), F.col(pos))
+    # in hundredths, so that whole scores stay exact: binary fractions would part rows that are level
+    w = Window.partitionBy(key).orderBy((F.col(score_col) * F.lit(100).cast("long") - F.col(pos)).desc(), F.col(pos))
     return candidates.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as X
 from shelfmark.operators import derive, incremental, match, merge, predicates
 from shelfmark.operators.graph import components
+from shelfmark.plans import catalog_queries as Q
 from shelfmark.plans import postprocess
 from shelfmark.sources.catalog import CATALOG
 
@@ -226,3 +227,20 @@ def test_reports(spark):
     assert seen.get == {"rows": 3, "priced": 2}
     pairs = spark.createDataFrame([(0, 1)], "_ord long, target long")
     assert [tuple(r) for r in merge_report(pairs, df, df).collect()] == [(None, "A #1", "B")]
+
+
+def test_best_rows_that_are_level_go_by_place(spark):
+    rows = [(k, lead * 100 + k, score) for k in range(200) for lead, score in ((0, 9), (1, 10), (10, 19))]
+    got = match.best_rows(spark.createDataFrame(rows, "k int, pos long, score int"), "k").select("k", "pos").collect()
+    assert {(r["k"], r["pos"]) for r in got} == {(k, k) for k in range(200)}
+
+
+def test_best_row_query_equals_sql_where_rows_are_level(spark, tmp_path):
+    import duckdb
+
+    rows = [(102_300 + g + 100 * i, "n", g, "t", f"b{i}") for g in range(100) for i in (0, 1)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int, p_type string, p_brand string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    want = sorted(con.execute(Q.ORACLES["q_best_row"]).fetchall())
+    assert sorted(map(tuple, Q.q_best_row(spark, str(tmp_path)).collect())) == want
