@@ -28,9 +28,9 @@ def page(*parts: object) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
-def read_pages(pages: DataFrame, reader, schema: str) -> DataFrame:
-    """The tables are one file each, so their pages are spread over the session's cores."""
-    return html.read_pages(pages, reader, schema, partitions=pages.sparkSession.sparkContext.defaultParallelism)
+def spread(spark, sf, table: str, key: str) -> DataFrame:
+    """A table's rows by key over the session's cores: the tables are one file each, and pages made of rows are read where they are made."""
+    return read(spark, sf, table).repartition(4 * spark.sparkContext.defaultParallelism, key)
 
 
 def pages_of(rows: DataFrame, key: str, made: Column) -> DataFrame:
@@ -42,7 +42,7 @@ TILE = "pid string, handle string, title string, price string, available boolean
 
 def _tile_pages(spark, sf) -> DataFrame:
     """One page a part, by the seven ways of marking a tile up and one without any."""
-    p, k, name = read(spark, sf, "part"), c("p_partkey"), c("p_name")
+    p, k, name = spread(spark, sf, "part", "p_partkey"), c("p_partkey"), c("p_name")
     way = k % 8
     open_, close = (
         [page('<div class="x product-tile" data-pid="', k, '">'), page('<div class="b-product-tile" data-product-id="', k, '">'), page('<li data-pid="', k, '">'), page('<div class="product-grid-item" data-itemid="', k, '">'),
@@ -72,12 +72,12 @@ FROM part WHERE p_partkey % 8 NOT IN (6, 7)"""
 
 @query(_TILE_SQL)
 def q_tiles(spark, sf):
-    return read_pages(_tile_pages(spark, sf), html.tiles, TILE).withColumn("series", F.array_join("series", ";")).drop("pos")
+    return html.read_pages(_tile_pages(spark, sf), html.tiles, TILE).withColumn("series", F.array_join("series", ";")).drop("pos")
 
 
 @query(f"SELECT page_id, pid, handle, title FROM ({_TILE_SQL})")
 def q_short_tiles(spark, sf):
-    return read_pages(_tile_pages(spark, sf), html.short_tiles, "pid string, handle string, title string").drop("pos")
+    return html.read_pages(_tile_pages(spark, sf), html.short_tiles, "pid string, handle string, title string").drop("pos")
 
 
 def _money(cents: Column) -> Column:
@@ -105,7 +105,7 @@ def q_listing_rows(spark, sf):
     cells = page("<td>", link, '</td><td class="title"><a href="', href, '">Figure  ', c("o_custkey"), "</a>\n #", k, "</td><td>c</td><td>", _money(_cents()), "</td><td>", F.when(k % 4 == 0, _money(_cents() + 1)).otherwise(page("-")), "</td><td>ask</td>")
     row = F.when(k % 7 == 0, page('<td><a href="/offers">no item</a></td>')).otherwise(cells)
     made = page('<table><tr><td><a href="/game/a/b">other table</a></td></tr></table><table id="games_table"><thead><tr><th><a href="/game/a/b">head</a></th></tr></thead><tbody><tr>', row, "</tr></tbody></table>")
-    return read_pages(pages_of(read(spark, sf, "orders"), "o_orderkey", made), html.listing_rows, "id string, name string, console string, href string, loose string, complete string, mint string").drop("pos")
+    return html.read_pages(pages_of(spread(spark, sf, "orders", "o_orderkey"), "o_orderkey", made), html.listing_rows, "id string, name string, console string, href string, loose string, complete string, mint string").drop("pos")
 
 
 def _detail_pages(spark, sf) -> DataFrame:
@@ -117,7 +117,7 @@ def _detail_pages(spark, sf) -> DataFrame:
         "<tr><td>Release Date:</td><td>", F.when(k % 2 == 0, F.date_format("o_orderdate", "MMMM d, yyyy")).otherwise("soon"), "</td></tr><tr><td>Publisher</td><td>no colon</td></tr>",
         "<tr><td>ePID (eBay):</td><td>", k, "</td></tr><tr><td>ASIN (Amazon):</td><td></td></tr><tr><td>Print Run:</td><td>", c("o_orderpriority"), "</td></tr><tr><td>Description:</td><td>d</td></tr></table>",
     )
-    return pages_of(read(spark, sf, "orders"), "o_orderkey", page('<link rel="canonical" href="https://x/', k, '">', price, meta))
+    return pages_of(spread(spark, sf, "orders", "o_orderkey"), "o_orderkey", page('<link rel="canonical" href="https://x/', k, '">', price, meta))
 
 
 DETAIL = "loose string, complete string, mint string, url string, labels map<string,string>"
@@ -128,14 +128,14 @@ SELECT o_orderkey AS page_id, CASE WHEN cents > 0 AND cents <= 10000000 THEN cen
   CASE WHEN o_orderkey % 3 = 2 THEN '1.25' END AS complete, NULL::VARCHAR AS mint, 'https://x/' || o_orderkey AS url
 FROM (SELECT *, round(o_totalprice * 100)::BIGINT AS cents FROM orders)""")
 def q_detail_prices(spark, sf):
-    return read_pages(_detail_pages(spark, sf), html.detail, DETAIL).select("page_id", "loose", "complete", "mint", "url")
+    return html.read_pages(_detail_pages(spark, sf), html.detail, DETAIL).select("page_id", "loose", "complete", "mint", "url")
 
 
 @query("""
 SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS releaseDate, CASE WHEN o_orderkey % 4 = 1 THEN '88969812' || lpad((o_orderkey % 10000)::VARCHAR, 4, '0') END AS upc,
   o_orderkey::VARCHAR AS funkoNumber, 'S ' || o_custkey AS pcSeries, o_orderkey::VARCHAR AS ebayEpid, NULL::VARCHAR AS amazonAsin, o_orderpriority::VARCHAR AS printRun, NULL::VARCHAR AS publisher, 'd' AS pcDescription FROM orders""")
 def q_detail_fields(spark, sf):
-    rows = read_pages(_detail_pages(spark, sf), html.detail, DETAIL)
+    rows = html.read_pages(_detail_pages(spark, sf), html.detail, DETAIL)
     return rows.select("page_id", *(v.alias(k) for k, v in html.meta_fields(c("labels")).items()))
 
 
@@ -150,7 +150,7 @@ def q_reference_numbers(spark, sf):
         '<strong class="spaced-field">Target</strong><i class="ng-binding">t', k, "</i>", box("Walmart SKU:", F.when(k % 5 == 0, page("w")).otherwise(F.repeat(F.lit("w"), 50))), box("Amazon SKU:", page("a b")), box("Other:", page("x")), '<a href="?itemId=1">i</a>',
     )
     fields = [*("hdbid", "upc", "funkoNumber"), *V.SKU_LABELS.values()]
-    return read_pages(pages_of(read(spark, sf, "supplier"), "s_suppkey", made), html.reference_numbers, ", ".join(f"{f} string" for f in fields)).drop("pos")
+    return html.read_pages(pages_of(spread(spark, sf, "supplier", "s_suppkey"), "s_suppkey", made), html.reference_numbers, ", ".join(f"{f} string" for f in fields)).drop("pos")
 
 
 @query("""SELECT c_custkey AS page_id, CASE WHEN c_custkey % 3 > 0 THEN 'Pop! Vinyl;N' || c_nationkey || CASE WHEN c_custkey % 3 = 2 THEN ';Event' ELSE '' END END AS tags FROM customer""")
@@ -275,7 +275,7 @@ def _open_listing_pages(spark, sf) -> DataFrame:
     row = F.when(k % 2 == 0, page("<tr><td>", link, '<td class="title">Figure<p>', k, "<td>c<td>", _money(_cents()), "<td><td>$1.25<td><table><tr><td>in a cell<td>$9.99</table>")).otherwise(
         page("<tr><td>", link, '</a></td><td class="title"> Figure', k, "</td><td>c</td><td>", _money(_cents()), "</td><td></td><td>$1.25</td></tr>")
     )
-    rows = read(spark, sf, "orders").groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
+    rows = spread(spark, sf, "orders", "o_custkey").groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(row)), "\n").alias("rows"))
     head = F.when(c("o_custkey") % 3 == 0, page('<thead><tr><th><a href="/game/a/b">head</a><tbody>')).otherwise(page(""))
     return pages_of(rows, "o_custkey", page('<ul><li>one<li><p>two<div><table id="games_table">', head, c("rows"), '<tfoot><tr><td><a href="/game/a/foot">foot</a></table><p>end'))
 
@@ -284,14 +284,14 @@ def _open_listing_pages(spark, sf) -> DataFrame:
 SELECT o_custkey AS page_id, 'T' || o_orderkey AS id, 'Figure' || o_orderkey AS name, 'funko-pop-rides' AS console, cents // 100 || '.' || lpad((cents % 100)::VARCHAR, 2, '0') AS loose, NULL::VARCHAR AS complete, '1.25' AS mint
 FROM (SELECT *, round(o_totalprice * 100)::BIGINT AS cents FROM orders)""")
 def q_open_listing(spark, sf):
-    return read_pages(_open_listing_pages(spark, sf), html.listing_rows, "id string, name string, console string, loose string, complete string, mint string").drop("pos")
+    return html.read_pages(_open_listing_pages(spark, sf), html.listing_rows, "id string, name string, console string, loose string, complete string, mint string").drop("pos")
 
 
 @query(f"SELECT * FROM ({ORACLES['q_detail_prices']}) JOIN ({ORACLES['q_detail_fields']}) USING (page_id)")
 def q_open_detail(spark, sf):
     pages = _detail_pages(spark, sf)
     opened = F.when(c("page_id") % 2 == 0, F.regexp_replace("html", "</(td|tr|th|p|div)>", "")).otherwise(c("html"))
-    rows = read_pages(pages.withColumn("html", page("<p>before<ul><li>x", opened)), html.detail, DETAIL)
+    rows = html.read_pages(pages.withColumn("html", page("<p>before<ul><li>x", opened)), html.detail, DETAIL)
     return rows.select("page_id", "loose", "complete", "mint", "url", *(v.alias(k) for k, v in html.meta_fields(c("labels")).items()))
 
 
@@ -301,7 +301,7 @@ def q_open_detail(spark, sf):
 @query(ORACLES["q_open_listing"])
 def q_sql_listing(spark, sf):
     registered.register(spark)
-    pages = _open_listing_pages(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    pages = _open_listing_pages(spark, sf)
     return spark.sql("SELECT p.page_id, r.id, r.name, r.console, r.loose, r.complete, r.mint FROM {pages} p, LATERAL listing_rows(p.html) r", pages=pages)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import fixed_values as V
 from shelfmark.functions import text as X
-from shelfmark.sources.tree import Node, parse
+from shelfmark.sources.tree import Layouts, Node, parse
 
 MONEY = re.compile(V.MONEY)
 
@@ -83,42 +83,86 @@ def short_tiles(page: str | None) -> list[dict] | None:
     return None if found is None else [{k: t[k] for k in ("pid", "handle", "title")} for t in found]
 
 
+def _listing_parts(root: Node) -> tuple[list[int], list[str | None]]:
+    """For each row of the table's body its links (address and title), cells of title and fourth to sixth cell; the shape is the links' number."""
+    table = root.first(lambda n: n.attrs.get("id") == "games_table")
+    links, out = [], []
+    for tr in table.tagged("tr") if table else ():
+        if not tr.within("tbody", table):
+            continue
+        below = tr.tagged("a", "td")
+        found = [n for n in below if n.tag == "a" and "href" in n.attrs]
+        cells = [n for n in below if n.tag == "td"]
+        links.append(len(found))
+        for n in found:
+            out += (n.attrs["href"], n.attrs.get("title", ""))
+        out.append("".join([c.content() for c in cells if c.has("title")]))
+        out += [cells[i].content() if i < len(cells) else None for i in (3, 4, 5)]
+    return links, out
+
+
+_listings = Layouts(_listing_parts)
+
+
 def listing_rows(page: str | None, base: str = V.PRICED_BASE) -> list[dict]:
     """Rows of the listing table's body that link to an item."""
-    table = parse(page).first(lambda n: n.attrs.get("id") == "games_table")
-    out = []
-    for tr in table.find(lambda n: n.tag == "tr" and n.within("tbody", table)) if table else ():
-        link = tr.first(lambda n: n.tag == "a" and "/game/" in n.attrs.get("href", ""))
+    links, found = _listings.of(page)
+    out, at = [], 0
+    for n in links:
+        end = at + 2 * n
+        link = next((i for i in range(at, end, 2) if "/game/" in found[i]), None)
+        at = end + 4
         if link is None:
             continue
-        href = link.attrs["href"]
+        href = found[link]
         slug = next((p for p in reversed(href.split("/")) if p), href)
         console = re.search("/game/([^/]+)/", href)
-        cells = tr.find(lambda n: n.tag == "td")
-        worth = [money(cells[i].raw()) if i < len(cells) else None for i in (3, 4, 5)]
-        name = " ".join("".join(c.content() for c in cells if c.has("title")).split())
+        worth = [money(text) for text in found[end + 1 : at]]
         out.append({
-            "id": link.attrs.get("title", "").strip() or slug, "name": name, "console": console[1] if console else "", "href": href if href.startswith("http") else base + href,
+            "id": found[link + 1].strip() or slug, "name": " ".join(found[end].split()), "console": console[1] if console else "", "href": href if href.startswith("http") else base + href,
             "loose": worth[0], "complete": worth[1], "mint": worth[2],
         })
     return out
 
 
+PRICES = {"used_price": "loose", "complete_price": "complete", "new_price": "mint"}
+
+
+def _detail_parts(root: Node) -> tuple[None, list[str | None]]:
+    """Texts of the three prices, the canonical address, and label and value of each row of two cells or more."""
+    first: dict[str, Node] = {}
+    canonical = None
+    rows = []
+    for n in root.walk():
+        if n.tag == "tr":
+            rows.append(n)
+        if n.attrs:
+            if (name := n.attrs.get("id")) in PRICES and name not in first:
+                first[name] = n
+            if canonical is None and n.tag == "link" and n.attrs.get("rel") == "canonical":
+                canonical = n
+    out = [first[name].content() if name in first else None for name in PRICES]
+    out.append(canonical.attrs.get("href") if canonical is not None else None)
+    for tr in rows:
+        cells = tr.tagged("td")
+        if len(cells) > 1:
+            out += (cells[0].content(), cells[1].content())
+    return None, out
+
+
+_details = Layouts(_detail_parts)
+
+
 def detail(page: str | None) -> dict:
     """Prices, canonical address and labelled rows of a detail page; the last of a repeated label wins."""
-    root = parse(page)
-    by_id: dict[str, Node] = {}
-    for n in root.walk():
-        by_id.setdefault(n.attrs.get("id", ""), n)
-    worth = {k: grade(by_id[i].raw()) if i in by_id else None for k, i in (("loose", "used_price"), ("complete", "complete_price"), ("mint", "new_price"))}
-    canonical = root.first(lambda n: n.tag == "link" and n.attrs.get("rel") == "canonical")
+    found = _details.of(page)[1]
+    out = {k: grade(text) for k, text in zip(PRICES.values(), found)}
     labels = {}
-    for tr in root.find(lambda n: n.tag == "tr"):
-        cells = tr.find(lambda n: n.tag == "td")
-        label, value = (c.text() for c in cells[:2]) if len(cells) > 1 else ("", "")
+    for i in range(4, len(found), 2):
+        label, value = " ".join(found[i].split()), " ".join(found[i + 1].split())
         if label.endswith(":") and value and value.lower() not in ("none", "n/a"):
             labels[label[:-1].strip()] = value
-    return worth | {"url": (canonical and canonical.attrs.get("href")) or None, "labels": labels}
+    return out | {"url": found[3] or None, "labels": labels}
 
 
 def _reference_field(label: str) -> str | None:

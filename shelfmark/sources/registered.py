@@ -27,9 +27,11 @@ def _names(schema: str) -> list[str]:
 
 
 class ListingRows:
+    names = _names(LISTING)
+
     def eval(self, page: str) -> Iterator[tuple]:
         for row in html.listing_rows(page):
-            yield tuple(row[n] for n in _names(LISTING))
+            yield tuple([row[n] for n in self.names])
 
 
 class Tiles:

@@ -1,8 +1,10 @@
 """Tree construction: the trees that the standard's rules give."""
 
+import random
+
 import pytest
 
-from shelfmark.sources import html
+from shelfmark.sources import html, tree
 from shelfmark.sources.tree import parse
 
 
@@ -46,3 +48,57 @@ def test_readers_of_pages_that_leave_end_tags_out():
     assert [(t["pid"], t["title"], t["series"]) for t in html.tiles(tiles)] == [("1", "A", ["X Y"]), ("2", "B", [])]
     field = '<div class=spaced-field><strong>UPC: </strong><span class=ng-binding>1</span></div><div class=spaced-field><strong>UPC:</strong><span class=ng-binding>2</span>'
     assert html.reference_numbers(field) == {"upc": "2"}
+
+
+def test_regular_pages_have_the_trees_of_html_parser():
+    rnd = random.Random(5)
+    parts = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", '<td class="title">', "<th>", "<tbody>", "<tfoot>", '<a href="/game/x/y">', "</a>", "<b>", "</b>", "<p>", "</p>", "<br/>", "<LI>", "<ul>", "x", " ", "\n", "&amp;", "&nbsp;", "a > b", "<td\n id=\"q\" hidden>", "<caption>", "<td id=q>", "< b", "<script>", "<!-- c -->", "<h1>", "<select>", "<option>", '<b title="a > b">']
+    regular = 0
+    for _ in range(3000):
+        page = "".join(rnd.choice(parts[:27] if rnd.random() < 0.8 else parts) for _ in range(rnd.randint(1, 25)))
+        by_parser = tree.TreeBuilder()
+        by_parser.feed(page)
+        by_parser.close()
+        assert shown(parse(page)) == shown(by_parser.root), page
+        regular += tree.TreeBuilder().feed_regular(page)
+    assert regular > 1000
+
+
+def test_pages_of_one_layout_are_parsed_few_times(monkeypatch):
+    built = []
+    start = tree.TreeBuilder.__init__
+    monkeypatch.setattr(tree.TreeBuilder, "__init__", lambda self: (built.append(1), start(self))[1])
+    for i in range(1, 200):
+        row = f'<tr><td><a href="/game/s{i}/n-{i}" title=" T{i}">p</a></td><td class="title">N <b>M</b> {i}</td><td>c</td><td>${i}.25</td><td> </td><td>$1,{i:03}.00</td></tr>'
+        got = html.listing_rows(f'<table id="games_table"><tbody>{row}</tbody></table>')
+        assert [(r["id"], r["name"], r["console"], r["loose"], r["complete"], r["mint"]) for r in got] == [(f"T{i}", f"N M {i}", f"s{i}", f"{i}.25", None, f"1{i:03}.00")]
+        other = html.listing_rows(f'<table id="games_table"><tbody>{row.replace("/game/", "/offer/")}</tbody></table>')
+        assert other == []  # where a link leads is no part of a layout
+        found = html.detail(f'<link rel="canonical" href="https://x/{i}"><p id="used_price">$ {i}.5 $ {i}.50</p><table><tr><td>UPC{i % 3}:</td><td> {"none" if i % 2 else i} </td></tr></table>')
+        assert found["url"] == f"https://x/{i}" and found["loose"] == f"{i}.50" and found["labels"] == ({} if i % 2 else {f"UPC{i % 3}": str(i)})
+    assert len(built) < 20
+
+
+def test_layouts_take_pages_that_are_not_alike_one_by_one():
+    row = lambda text: f'<table id="games_table"><tbody><tr><td><a href="/game/a/b">{text}</a></td><td class="title">{text}</td></tr></table>'
+    for text in ("x", "a > b", "", " ", "&nbsp;", "&lt;td&gt;", "1", "<i>x</i>", "<!-- c -->x", "1 < 2"):
+        for _ in range(3):
+            assert html.listing_rows(row(text)) == [{"id": "b", "name": "" if text == "&nbsp;" else {"&lt;td&gt;": "<td>", "<i>x</i>": "x", "<!-- c -->x": "x"}.get(text, text.strip()), "console": "a", "href": "https://www.pricecharting.com/game/a/b", "loose": None, "complete": None, "mint": None}]
+
+
+@pytest.mark.parametrize("name", ["q_listing_rows", "q_detail_prices", "q_detail_fields", "q_open_listing", "q_open_detail", "q_sql_listing"])
+def test_whole_pages_are_not_shuffled(spark, name):
+    from shelfmark.plans import catalog_queries, page_queries  # noqa: F401
+
+    plan = catalog_queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    moved = [str(plan.apply(0).getClass())]
+    for i in range(60):
+        try:
+            node = plan.apply(i)
+        except Exception:
+            break
+        if node is None:
+            break
+        if "Repartition" in node.nodeName():
+            moved.append(node.output().mkString(","))
+    assert len(moved) == 2 and "html" not in moved[1]
