@@ -470,7 +470,7 @@ def q_marker_stream(spark, sf):
     log = _marker_log(spark, sf)
     middle = log.agg(F.expr("percentile(unix_seconds(at), 0.5)")).first()[0]
     for part in (F.unix_seconds("at") < middle, F.unix_seconds("at") >= middle):
-        log.filter(part).coalesce(1).write.mode("append").parquet(src)
+        log.filter(part).write.mode("append").parquet(src)
         markers.run_markers(spark, src, out, check, 300).awaitTermination()
     last = lambda event: F.max(F.when(c("event") == event, c("at")))
     events = spark.read.parquet(out).groupBy("key").agg(last("finished").alias("f"), last("due").alias("d"))

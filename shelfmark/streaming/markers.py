@@ -3,6 +3,8 @@
 The log has one row an outcome: ``key, at, status``. ``found`` and ``none`` finish a set at that time, whatever came
 before; ``error`` leaves it as it is. The state holds one time for each finished set; a timer of event time clears it
 when the log has moved on by ``days`` from there, and says so. ``now_due`` is the same by one pass over the whole log.
+Sets share their state and timer in ``BLOCKS`` blocks by hash, since a call of the worker for each set costs far more than
+the set's rows: a block's timer stands at its earliest marker. A checkpoint of single sets is not read.
 
 Cases. Rows without key, time or a known status change nothing. Of several rows the latest finish counts, so repeats
 and late rows change nothing either. A restart goes on from the checkpoint.
@@ -20,9 +22,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 LOG = T.StructType([T.StructField("key", T.StringType()), T.StructField("at", T.TimestampType()), T.StructField("status", T.StringType())])
-OUT = "key string, event string, at timestamp"
+OUT = "key string, event string, ms bigint"
 DAY_MS = 86_400_000
 FINISHED = ("found", "none")
+#: A checkpoint's blocks stay as many as it began with.
+BLOCKS = 1024
 
 
 def valid(log: DataFrame) -> DataFrame:
@@ -33,31 +37,51 @@ class DoneMarkers(StatefulProcessor):
     """``finished`` when a set's marker is set or moved on, ``due`` when it runs out."""
 
     def __init__(self, days: int):
-        self.days = days
+        self.wait = days * DAY_MS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.done = handle.getValueState("done", "at bigint")
+        self.block = handle.getValueState("block", "keys array<string>, at array<bigint>, timer bigint")
+
+    def _load(self) -> tuple[dict[str, int], int | None]:
+        found = self.block.get()
+        return (dict(zip(found[0], found[1])), found[2]) if found else ({}, None)
+
+    def _store(self, done: dict[str, int], timer: int | None) -> None:
+        """Keep the markers, with the timer at the earliest that runs out."""
+        due = min(done.values()) + self.wait if done else None
+        if timer != due:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if done:
+            self.block.update((list(done), list(done.values()), due))
+        else:
+            self.block.clear()
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        last = None
+        last: dict[str, int] = {}
         for batch in rows:
-            at = batch.loc[batch["status"].isin(FINISHED), "at"]
-            if len(at):
-                ms = int(at.max().value // 1_000_000)
-                last = ms if last is None else max(last, ms)
-        before = self.done.get()[0] if self.done.exists() else None
-        if last is None or before is not None and last <= before:
+            finished = batch.loc[batch["status"].isin(FINISHED)]
+            for k, ms in finished.groupby("key")["ms"].max().items():
+                last[k] = max(int(ms), last.get(k, int(ms)))
+        if not last:
             return
-        if before is not None:
-            self.handle.deleteTimer(before + self.days * DAY_MS)
-        self.done.update((last,))
-        self.handle.registerTimer(last + self.days * DAY_MS)
-        yield pd.DataFrame({"key": [key[0]], "event": ["finished"], "at": [pd.Timestamp(last, unit="ms")]})
+        done, timer = self._load()
+        moved = {k: ms for k, ms in last.items() if k not in done or ms > done[k]}
+        if moved:
+            self._store(done | moved, timer)
+            yield pd.DataFrame({"key": list(moved), "event": "finished", "ms": list(moved.values())})
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        self.done.clear()
-        yield pd.DataFrame({"key": [key[0]], "event": ["due"], "at": [pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")]})
+        done, timer = self._load()
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(fired, timerValues.getCurrentWatermarkInMs())
+        due = {k: ms + self.wait for k, ms in done.items() if ms + self.wait <= now}
+        self._store({k: ms for k, ms in done.items() if k not in due}, None if timer == fired else timer)
+        if due:
+            yield pd.DataFrame({"key": list(due), "event": "due", "ms": list(due.values())})
 
     def close(self) -> None:
         pass
@@ -67,7 +91,9 @@ def run_markers(spark: SparkSession, folder: str, output: str, checkpoint: str,
     """Follow the log files of ``folder`` that no earlier run has seen, then stop."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     log = valid(spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1000).parquet(folder)).withWatermark("at", "0 seconds")
-    events = log.groupBy("key").transformWithStateInPandas(DoneMarkers(days), OUT, "append", "eventtime")
+    rows = log.select(F.pmod(F.xxhash64("key"), F.lit(BLOCKS)).alias("block"), "key", "status", F.unix_millis("at").alias("ms"), "at")
+    found = rows.groupBy("block").transformWithStateInPandas(DoneMarkers(days), OUT, "append", "eventtime")
+    events = found.select("key", "event", F.timestamp_millis("ms").alias("at"))
     return events.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
