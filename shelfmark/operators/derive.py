@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import fixed_values as V
 from shelfmark.functions import text as X
 from shelfmark.operators import merge, predicates
+from shelfmark.session import stash
 from shelfmark.sources import html
 
 
@@ -19,7 +20,8 @@ def tag_frequency(rows: DataFrame, tags: str = "series") -> DataFrame:
 def rarest_tag(rows: DataFrame, key: str, tags: str = "series", usable=predicates.is_named_set_tag) -> DataFrame:
     """``(key, set_tag)``: each row's rarest usable tag, the earlier one in a tie."""
     # the rule is asked of each distinct tag, not of each occurrence
-    freq = tag_frequency(rows, tags).filter(usable(F.col("tag")))
+    # and stored: where the tags are few, their size is then known, they are broadcast, and no row is shuffled by its tag
+    freq = stash(tag_frequency(rows, tags).filter(usable(F.col("tag"))), "tags")
     placed = rows.select(key, F.posexplode(tags).alias("pos", "tag"))
     return placed.join(freq, "tag").groupBy(key).agg(F.min_by("tag", F.struct("freq", "pos")).alias("set_tag"))
 

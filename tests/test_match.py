@@ -244,3 +244,11 @@ def test_best_row_query_equals_sql_where_rows_are_level(spark, tmp_path):
     con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
     want = sorted(con.execute(Q.ORACLES["q_best_row"]).fetchall())
     assert sorted(map(tuple, Q.q_best_row(spark, str(tmp_path)).collect())) == want
+
+
+def test_rarest_tag_counts_tags_once_and_moves_no_row_by_its_tag(spark):
+    rows = [(1, ["a gift set", "b gift set"]), (2, ["b gift set", "a gift set", "pop! x"]), (3, ["b gift set"]), (4, ["pop! x"]), (5, None), (6, ["c gift set", "b gift set", "c gift set"])]
+    df = derive.rarest_tag(spark.createDataFrame(rows, "k int, series array<string>").repartition(3, "k"), "k")
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate ") == 1 and "BroadcastHashJoin" in plan
+    assert {tuple(r) for r in df.collect()} == {(1, "a gift set"), (2, "a gift set"), (3, "b gift set"), (6, "c gift set")}
