@@ -316,10 +316,36 @@ def gate(title: Column, row: Column, matched_by: Column | None = None, strict_ba
 def best_rows(candidates: DataFrame, key: str, score_col: str = "score", pos: str = "pos") -> DataFrame:
     """The row of most score a key, earlier listed rows a hundredth better each."""
     # in hundredths, so that whole scores stay exact: binary fractions would part rows that are level
-    w = Window.partitionBy(key).orderBy((F.col(score_col) * F.lit(100).cast("long") - F.col(pos)).desc(), F.col(pos))
+    w = Window.partitionBy(key).orderBy((F.col(score_col) * F.lit(100).cast("long") - F.col(pos)).desc(), F.col(pos).asc_nulls_last())
     return candidates.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def contenders(rows: DataFrame, key: str, group: list[str], like: str, unlike: str) -> DataFrame:
+    """``(rec, pos, same_like, same_unlike)``: each row beside those of its group of which one is its ``best_rows``, five at most.
+
+    For scores of these two alone, that an equal ``like`` does not lower and an equal ``unlike`` does not raise; ``pos`` is the other
+    row's key. Any row but the first and the first of another ``unlike`` is then behind one of these two, among the rows of the
+    same ``like`` as well as in the group. A row that lacks either field has no scores: the first of its group is its best.
+    """
+    lacks, one = F.col(like).isNull() | F.col(unlike).isNull(), F.struct("_pos", like, unlike)
+
+    def two(df: DataFrame, by: list[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(lacks, F.col("_pos").asc_nulls_last())
+        return df.withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2").groupBy(*by)
+
+    firsts = rows.groupBy(*group, like, unlike).agg(F.min(key).alias("_pos"))
+    near = two(firsts, [*group, like]).agg(F.collect_list(one).alias("_near"))
+    far = two(firsts.filter(~lacks).groupBy(*group, unlike).agg(F.min_by(like, "_pos").alias(like), F.min("_pos").alias("_pos")), group).agg(F.collect_list(one).alias("_far"))
+    least = firsts.groupBy(*group).agg(F.array(F.min_by(one, F.col("_pos"))).alias("_least"))
+    leads = near.join(least, group).join(far, group, "left")
+    met = F.array_distinct(F.concat("_near", "_least", F.coalesce("_far", F.array().cast(far.schema["_far"].dataType))))
+    # stored, so that their size is known: where there are few, they are broadcast and no row is shuffled by its group
+    leads = stash(leads.select(*(F.col(g).alias(f"_{g}") for g in group), F.col(like).alias("_like"), met.alias("_met")), "leads")
+    same = reduce(Column.__and__, (F.col(g) == F.col(f"_{g}") for g in group), F.col(like).eqNullSafe(F.col("_like")))
+    pairs = rows.join(leads, same).select(F.col(key).alias("rec"), like, unlike, F.explode("_met").alias("_b"))
+    return pairs.select("rec", F.col("_b._pos").alias("pos"), (F.col(f"_b.{like}") == F.col(like)).alias("same_like"), (F.col(f"_b.{unlike}") == F.col(unlike)).alias("same_unlike"))
+
+
 def match_listings(records: DataFrame, listings: DataFrame) -> DataFrame:
     """The best listing row of each record and the gate's decision.
 

@@ -301,10 +301,9 @@ def q_match_gate(spark, sf):
 @query("""WITH x AS (SELECT a.p_partkey AS rec, b.p_partkey AS pos, 10 * (b.p_type = a.p_type)::INT - (b.p_brand = a.p_brand)::INT AS score FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_size = b.p_size)
 SELECT rec, arg_min(pos, (-(score - 0.01 * pos), pos)) AS pos FROM x GROUP BY rec""")
 def q_best_row(spark, sf):
-    p = read(spark, sf, "part")
-    a, b = p.alias("a"), p.alias("b")
-    x = a.join(b, (c("a.p_name") == c("b.p_name")) & (c("a.p_size") == c("b.p_size"))).select(c("a.p_partkey").alias("rec"), c("b.p_partkey").alias("pos"), (10 * (c("a.p_type") == c("b.p_type")).cast("int") - (c("a.p_brand") == c("b.p_brand")).cast("int")).alias("score"))
-    return match.best_rows(x, "rec").select("rec", "pos")
+    x = match.contenders(read(spark, sf, "part"), "p_partkey", ["p_name", "p_size"], like="p_type", unlike="p_brand")
+    score = 10 * c("same_like").cast("int") - c("same_unlike").cast("int")
+    return match.best_rows(x.select("rec", "pos", score.alias("score")), "rec").select("rec", "pos")
 
 
 def _order_tags(spark, sf) -> DataFrame:

@@ -246,6 +246,25 @@ def test_best_row_query_equals_sql_where_rows_are_level(spark, tmp_path):
     assert sorted(map(tuple, Q.q_best_row(spark, str(tmp_path)).collect())) == want
 
 
+@pytest.mark.parametrize("seed,brands,types,lack", [(0, 3, 2, 0), (1, 40, 40, 0), (2, 5, 3, 0.3), (3, 1, 1, 0), (4, 300, 2, 0.1)])
+def test_best_row_query_meets_few_rows_of_a_group(spark, tmp_path, monkeypatch, seed, brands, types, lack):
+    import duckdb
+
+    rng = random.Random(seed)
+    pick = lambda p, n: None if rng.random() < lack else f"{p}{rng.randrange(n)}"
+    keys = [None if rng.random() < lack / 5 else rng.choice([i, 50 * i, 7]) for i in range(400)]  # some twice, some missing
+    rows = [(k, pick("n", 1), 5, pick("t", types), pick("b", brands)) for k in keys]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int, p_type string, p_brand string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    order = lambda r: tuple((v is None, v or 0) for v in r)
+    met, best = [], match.best_rows
+    monkeypatch.setattr(match, "best_rows", lambda x, *a: (met.append(x.count()), best(x, *a))[1])
+    got = sorted(map(tuple, Q.q_best_row(spark, str(tmp_path)).collect()), key=order)
+    assert got == sorted(con.execute(Q.ORACLES["q_best_row"]).fetchall(), key=order)
+    assert met[0] <= 5 * len(rows)
+
+
 def test_rarest_tag_counts_tags_once_and_moves_no_row_by_its_tag(spark):
     rows = [(1, ["a gift set", "b gift set"]), (2, ["b gift set", "a gift set", "pop! x"]), (3, ["b gift set"]), (4, ["pop! x"]), (5, None), (6, ["c gift set", "b gift set", "c gift set"])]
     df = derive.rarest_tag(spark.createDataFrame(rows, "k int, series array<string>").repartition(3, "k"), "k")
